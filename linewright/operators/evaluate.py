@@ -82,7 +82,7 @@ def ranking_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def confusion_counts(label: Column, predicted: Column) -> list[Column]:
-    hit, called = label == 1, predicted == 1
+    hit, called = label == 1, predicted.cast("int") == 1
     return [
         F.count_if(hit & called).alias("tp"),
         F.count_if(~hit & called).alias("fp"),
