@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import cumulate, range_bounds
+from .ranking import bounds_sketch, cumulate
 
 STEPS = 101  # thresholds 0.00, 0.01 ... 1.00
 
@@ -19,17 +21,28 @@ def _or_zero(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
 
 
-def score_points(df: DataFrame, label: str, score: str) -> DataFrame:
+@dataclass(frozen=True)
+class ScoreProfile:
+    """Class sizes and range bounds of a scored table, from one scan."""
+
+    positives: int
+    negatives: int
+    bounds: list[float]
+
+
+def score_profile(df: DataFrame, label: str, score: str) -> ScoreProfile:
+    rows = _scored(df, label, score)
+    sizes = [F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")]
+    row = rows.agg(*sizes, bounds_sketch(rows, "p").alias("bounds")).first()
+    return ScoreProfile(row["pos"], row["neg"], sorted(set(row["bounds"] or [])))
+
+
+def score_points(df: DataFrame, label: str, score: str, profile: ScoreProfile) -> DataFrame:
     """Per distinct score, from the highest down: positives and negatives at it (``pos``,
     ``neg``) and at or above it (``cum_pos``, ``cum_neg``)."""
     rows = _scored(df, label, score)
     points = rows.groupBy("p").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
-    return cumulate(points, "p", ["pos", "neg"], range_bounds(rows, "p"), descending=True)
-
-
-def _class_sizes(df: DataFrame, label: str, score: str) -> tuple[int, int]:
-    row = _scored(df, label, score).agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") != 1)).first()
-    return row[0], row[1]
+    return cumulate(points, "p", ["pos", "neg"], profile.bounds, descending=True)
 
 
 def _with_anchor(points: DataFrame, **values: float) -> DataFrame:
@@ -44,22 +57,22 @@ def _with_anchor(points: DataFrame, **values: float) -> DataFrame:
 def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """Precision and recall when everything scored at or above the threshold is called positive;
     one row per distinct score and the end point (1, 0)."""
-    positives, _ = _class_sizes(df, label, score)
-    points = score_points(df, label, score).select(
+    profile = score_profile(df, label, score)
+    points = score_points(df, label, score, profile).select(
         F.col("p").alias("threshold"),
         (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
-        _or_zero(F.col("cum_pos"), F.lit(positives)).alias("recall"),
+        _or_zero(F.col("cum_pos"), F.lit(profile.positives)).alias("recall"),
     )
     return _with_anchor(points, precision=1.0, recall=0.0)
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """False and true positive rate per distinct score and the end point (0, 0)."""
-    positives, negatives = _class_sizes(df, label, score)
-    points = score_points(df, label, score).select(
+    profile = score_profile(df, label, score)
+    points = score_points(df, label, score, profile).select(
         F.col("p").alias("threshold"),
-        _or_zero(F.col("cum_neg"), F.lit(negatives)).alias("fpr"),
-        _or_zero(F.col("cum_pos"), F.lit(positives)).alias("tpr"),
+        _or_zero(F.col("cum_neg"), F.lit(profile.negatives)).alias("fpr"),
+        _or_zero(F.col("cum_pos"), F.lit(profile.positives)).alias("tpr"),
     )
     return _with_anchor(points, fpr=0.0, tpr=0.0)
 
@@ -67,14 +80,14 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
 def ranking_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
     """Average precision, area under the ROC curve and trapezoid area under the PR curve; tied
     scores count together. NULL when a class is absent that the measure needs."""
-    positives, negatives = _class_sizes(df, label, score)
+    profile = score_profile(df, label, score)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     cum_pos, cum_neg = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
     above = cum_pos + cum_neg
     precision = cum_pos / above
     precision_before = F.coalesce(F.try_divide(cum_pos - pos, above - pos - neg), precision)
-    p, n = F.lit(float(positives) or None), F.lit(float(negatives) or None)
-    return score_points(df, label, score).agg(
+    p, n = F.lit(float(profile.positives) or None), F.lit(float(profile.negatives) or None)
+    return score_points(df, label, score, profile).agg(
         (F.sum(pos * precision) / p).alias("avg_precision"),
         (F.sum(neg * (cum_pos - pos / 2)) / (p * n)).alias("auc_roc"),
         (F.sum(pos * (precision + precision_before) / 2) / p).alias("auc_pr_trapezoid"),
@@ -102,7 +115,11 @@ def _quality(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column
 
 
 def threshold_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
-    counts = _scored(df, label, score).agg(*confusion_counts(F.col("y"), F.col("p") >= threshold))
+    return measures_of(_scored(df, label, score).agg(*confusion_counts(F.col("y"), F.col("p") >= threshold)))
+
+
+def measures_of(counts: DataFrame) -> DataFrame:
+    """Measures from columns ``tp, fp, fn, tn``."""
     measures = _quality(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))
     return counts.select("tp", "fp", "fn", "tn", *[m.alias(name) for name, m in measures.items()])
 
@@ -219,7 +236,10 @@ def threshold_sweep(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def best_threshold(df: DataFrame, label: str, score: str) -> DataFrame:
     """The lowest threshold with the highest F1; 0.5 when no threshold has a positive F1."""
-    counts = threshold_counts(df, label, score)
+    return best_of(threshold_counts(df, label, score))
+
+
+def best_of(counts: DataFrame) -> DataFrame:
     f1 = _quality(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))["f1"]
     best = counts.withColumn("f1", f1).agg(
         F.max("f1").alias("best_f1"), F.max_by("threshold", F.struct("f1", -F.col("step"))).alias("t")

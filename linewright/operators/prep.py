@@ -20,10 +20,10 @@ VARIANCE_THRESHOLD = 0.01
 def fit_imputer(
     df: DataFrame, columns: list[str], strategy: str = "median", accuracy: int = 10_000, exact: bool = False
 ) -> dict[str, float]:
-    """Median or mean of each column, all in one job (exact medians: one job per column).
+    """Median or mean of each column, all in one job (exact medians take a few).
     A column without values gets no entry and stays as it is."""
     if strategy == "median" and exact:
-        values = {c: exact_quantiles(df, c, [0.5])[0] for c in columns}
+        values = {c: found[0] for c, found in exact_quantiles(df, {c: [0.5] for c in columns}).items()}
     else:
         measure = (lambda c: F.percentile_approx(c, 0.5, accuracy)) if strategy == "median" else F.avg
         values = df.agg(*[measure(F.col(c).cast("double")).alias(c) for c in columns]).first().asDict()
@@ -90,7 +90,7 @@ def fit_quantile_splits(
     """Bucket limits at the quantiles of a column, open at both ends; equal limits merge."""
     probabilities = [i / buckets for i in range(1, buckets)]
     if exact:
-        inner = exact_quantiles(df, column, probabilities)
+        inner = exact_quantiles(df, {column: probabilities})[column]
     else:
         value = F.col(column).cast("double")
         inner = df.agg(F.percentile_approx(value, probabilities, int(1 / relative_error)).alias("q")).first()["q"]

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+from fractions import Fraction
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def range_bounds(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
-    """Values that cut a column into ranges of about equal row count. One scan whose tasks send
-    a sketch each; at most a thousand numbers reach the driver."""
+def bounds_sketch(df: DataFrame, column: str, ranges: int | None = None) -> Column:
+    """Aggregate for the values that cut a column into ranges of about equal row count. Tasks
+    send a sketch each; the result is at most a thousand numbers."""
     if ranges is None:
         ranges = min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2), 1000)
     probabilities = [i / ranges for i in range(1, ranges)]
-    value = F.col(column).cast("double")
-    found = df.agg(F.percentile_approx(value, probabilities, max(10_000, 20 * ranges)).alias("b")).first()["b"]
-    return sorted(set(found or []))
+    return F.percentile_approx(F.col(column).cast("double"), probabilities, max(10_000, 20 * ranges))
 
 
 def cumulate(
@@ -55,17 +57,97 @@ def cumulate(
     )
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> list[float | None]:
-    """The smallest value with at least ``p * n`` values at or below it, for each ``p``."""
-    present = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    counts = present.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    ranked = cumulate(counts, "v", ["n"], range_bounds(present, "v"))
-    total = present.count()
-    if not total:
-        return [None] * len(probabilities)
-    import math
-    from fractions import Fraction
-
-    ranks = [max(1, math.ceil(Fraction(str(p)) * total)) for p in probabilities]
-    picks = [F.min(F.when(F.col("cum_n") >= rank, F.col("v"))).alias(f"q{i}") for i, rank in enumerate(ranks)]
-    return list(ranked.agg(*picks).first())
+# below this many rows the last candidates for a quantile are counted value by value
+FEW = 100_000
+
+
+def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float | None]]:
+    """For each column and each ``p`` the smallest value with at least ``p * n`` values at or
+    below it.
+
+    Each quantile is held between two values and the gap is narrowed by sketches: one scan
+    counts the rows beside and inside every gap, the next one sketches the inside. A scan
+    shrinks a gap some thousandfold, so a few of them reach a gap whose values can be counted.
+    Nothing is shuffled but sketches and those last counts.
+    """
+    value = {c: F.col(c).cast("double") for c in wanted}
+    sizes = df.agg(*[F.count(c).alias(c) for c in wanted]).first()
+    gaps = [
+        _Gap(c, i, max(1, math.ceil(Fraction(str(p)) * sizes[c])))
+        for c, ps in wanted.items()
+        for i, p in enumerate(ps)
+        if sizes[c]
+    ]
+    inside_rows = {id(g): sizes[g.column] for g in gaps}
+    below = {id(g): 0 for g in gaps}
+    while open_gaps := [g for g in gaps if g.answer is None]:
+        wide = [g for g in open_gaps if inside_rows[id(g)] > FEW]
+        if not wide:
+            _count_out(df, value, open_gaps, below)
+            break
+        cells = []
+        for k, g in enumerate(wide):
+            share = (g.rank - below[id(g)]) / inside_rows[id(g)]
+            ends = [max(share - 4 / _ACCURACY, 0.0), min(share + 4 / _ACCURACY, 1.0)]
+            cells.append(F.percentile_approx(F.when(g.inside(value), value[g.column]), ends, _ACCURACY).alias(f"s{k}"))
+        row = df.agg(*cells).first()
+        for k, g in enumerate(wide):
+            g.low, g.high = row[f"s{k}"]
+        cells = []
+        for k, g in enumerate(wide):
+            v = value[g.column]
+            for name, test in {"lt": v < g.low, "le": v <= g.low, "lh": v < g.high, "eh": v <= g.high}.items():
+                cells.append(F.count_if(test).alias(f"{name}{k}"))
+        row = df.agg(*cells).first()
+        for k, g in enumerate(wide):
+            lt, le, lh, eh = (row[f"{n}{k}"] for n in ("lt", "le", "lh", "eh"))
+            if not lt < g.rank <= eh:
+                raise RuntimeError(f"quantile of {g.column} left its gap")
+            if g.rank <= le:
+                g.answer = g.low
+            elif g.rank > lh:
+                g.answer = g.high
+            below[id(g)], inside_rows[id(g)] = le, lh - le
+    out: dict[str, list[float | None]] = {c: [None] * len(ps) for c, ps in wanted.items()}
+    for g in gaps:
+        out[g.column][g.index] = g.answer
+    return out
+
+
+_ACCURACY = 10_000
+
+
+@dataclass
+class _Gap:
+    """The open interval that holds one quantile."""
+
+    column: str
+    index: int
+    rank: int
+    low: float | None = None
+    high: float | None = None
+    answer: float | None = None
+
+    def inside(self, value: dict[str, Column]) -> Column:
+        v = value[self.column]
+        if self.low is None:
+            return v.isNotNull()
+        return (v > self.low) & (v < self.high)
+
+
+def _count_out(df: DataFrame, value: dict[str, Column], gaps: list[_Gap], below: dict[int, int]) -> None:
+    """Answer gaps of at most ``FEW`` rows by counting their values."""
+    cells = [
+        F.struct(F.lit(k).alias("k"), F.when(g.inside(value), value[g.column]).alias("v")) for k, g in enumerate(gaps)
+    ]
+    counts = (
+        df.select(F.explode(F.array(*cells)).alias("c")).filter("c.v IS NOT NULL").groupBy("c.k", "c.v").count()
+    )
+    found = counts.collect()
+    for k, g in enumerate(gaps):
+        seen = below[id(g)]
+        for v, n in sorted((row["v"], row["count"]) for row in found if row["k"] == k):
+            seen += n
+            if seen >= g.rank:
+                g.answer = v
+                break

@@ -15,24 +15,37 @@ from pyspark.sql import functions as F
 from ..functions import as_fixed, epoch_us, fixed_mean, from_epoch_us, percent, seconds_of
 
 
-def _totals(measures: list[str], label: str | None, digits: int | None, known: Column | None) -> list[Column]:
+def _label_values(
+    df: DataFrame, time: str, label: str | None, label_known: str | None, sizes: list[str]
+) -> dict[str, Column]:
+    """The label as counted by windows of each size. With ``label_known`` it counts only if it
+    was available when the row's window of that size closed: the rate holds no later knowledge."""
+    if not label:
+        return {}
+    value = F.col(label).cast("long")
+    if not label_known:
+        return {"label": value}
+    out = {}
+    for size in sizes:
+        width = F.lit(seconds_of(size) * 1_000_000).cast("long")
+        closes = F.floor(epoch_us(time) / width).cast("long") * width + width
+        out[f"label_{seconds_of(size)}"] = F.when(epoch_us(label_known) <= closes, value)
+    return out
+
+
+def _totals(measures: list[str], labels: dict[str, Column], digits: int | None) -> list[Column]:
     """Additive parts from which every window measure follows."""
     parts = [F.count(F.lit(1)).alias("n")]
     for name in measures:
         reading = as_fixed(name, digits) if digits is not None else F.col(name).cast("double")
         parts += [F.sum(reading).alias(f"t_{name}"), F.count(name).alias(f"c_{name}")]
-    if label:
-        value = F.col(label).cast("long")
-        if known is not None:
-            value = F.when(known, value)
-        parts += [F.sum(value).alias("t_label"), F.count(value).alias("c_label")]
+    for name, value in labels.items():
+        parts += [F.sum(value).alias(f"t_{name}"), F.count(value).alias(f"c_{name}")]
     return parts
 
 
-def _merge(measures: list[str], label: str | None) -> list[Column]:
-    names = ["n"] + [f"{p}_{m}" for m in measures for p in ("t", "c")]
-    if label:
-        names += ["t_label", "c_label"]
+def _merge(totals: DataFrame) -> list[Column]:
+    names = [c for c in totals.columns if c == "n" or c.startswith(("t_", "c_"))]
     return [F.sum(name).alias(name) for name in names]
 
 
@@ -43,7 +56,7 @@ def _measures(measures: list[str], label: str | None, digits: int | None) -> lis
         mean = fixed_mean(total, count, digits) if digits is not None else F.try_divide(total, count)
         out.append(mean.alias(f"avg_{name}"))
     if label:
-        out.append(percent(F.col("t_label"), F.col("c_label")).alias("defect_rate_labelled_pct"))
+        out.append(percent(F.col(f"t_{label}"), F.col(f"c_{label}")).alias("defect_rate_labelled_pct"))
     return out + [F.col("n").alias("inspection_count")]
 
 
@@ -62,17 +75,13 @@ def window_totals(
     time: str,
     size: str,
     measures: list[str],
-    label: str | None = None,
-    label_known: str | None = None,
+    labels: dict[str, Column],
     digits: int | None = None,
     slide: str | None = None,
 ) -> DataFrame:
-    """Additive totals per key and window ``w``. With ``label_known`` a label counts only if
-    it was available when its window closed, so that the rate holds no later knowledge."""
+    """Additive totals per key and window ``w``."""
     window = F.window(time, size, slide) if slide else F.window(time, size)
-    placed = df.withColumn("w", window)
-    known = F.col(label_known) <= F.col("w.end") if label_known else None
-    return placed.groupBy("w", *keys).agg(*_totals(measures, label, digits, known))
+    return df.groupBy(window.alias("w"), *keys).agg(*_totals(measures, labels, digits))
 
 
 def tumbling(
@@ -87,8 +96,9 @@ def tumbling(
 ) -> DataFrame:
     """Means, labelled defect rate and row count per key and window, aligned to 1970 in UTC.
     One shuffle of per-task partial totals; also runs on a stream with a watermark."""
-    totals = window_totals(df, keys, time, size, measures, label, label_known, digits)
-    return _shown(totals, keys, measures, label, digits)
+    labels = _label_values(df, time, label, label_known, [size])
+    totals = window_totals(df, keys, time, size, measures, labels, digits)
+    return _shown(totals, keys, measures, next(iter(labels), None), digits)
 
 
 def sliding(
@@ -104,12 +114,14 @@ def sliding(
     """Overlapping windows. Rows are first totalled into panes as wide as the common step of
     size and slide, and only the panes are copied into the windows that hold them.
 
-    Bounded input only: on a stream use ``window_totals(..., slide=...)``.
+    Bounded input only; on a stream :func:`tumbling` runs, sliding needs ``window_totals``
+    with ``slide``.
     """
+    labels = _label_values(df, time, label, None, [size])
     length, step = seconds_of(size), seconds_of(slide)
     pane = math.gcd(length, step)
     kind = df.schema[time].dataType
-    panes = window_totals(df, keys, time, f"{pane} seconds", measures, label, digits=digits)
+    panes = window_totals(df, keys, time, f"{pane} seconds", measures, labels, digits)
     at = epoch_us("w.start")
     us = 1_000_000
     last = at - F.pmod(at, F.lit(step * us))
@@ -117,7 +129,7 @@ def sliding(
     earliest = last - F.lit((length // step) * step * us)
     starts = F.filter(F.sequence(earliest, last, F.lit(step * us).cast("long")), lambda s: s >= first_after)
     spread = panes.withColumn("_s", F.explode(starts)).drop("w")
-    merged = spread.groupBy("_s", *keys).agg(*_merge(measures, label))
+    merged = spread.groupBy("_s", *keys).agg(*_merge(spread))
     window = F.struct(
         from_epoch_us(F.col("_s"), kind).alias("start"),
         from_epoch_us(F.col("_s") + F.lit(length * us), kind).alias("end"),
@@ -125,12 +137,11 @@ def sliding(
     return _shown(merged.withColumn("w", window), keys, measures, label, digits)
 
 
-def rollup_totals(
-    totals: DataFrame, keys: list[str], size: str, measures: list[str], label: str | None = None
-) -> DataFrame:
+def rollup_totals(totals: DataFrame, keys: list[str], size: str) -> DataFrame:
     """Totals of wider windows out of narrower ones that fit in them."""
-    wider = F.window(F.col("w.start"), size)
-    return totals.withColumn("wider", wider).groupBy(F.col("wider").alias("w"), *keys).agg(*_merge(measures, label))
+    wider = F.window(F.col("w.start"), size).alias("wider")
+    placed = totals.select("*", wider)
+    return placed.groupBy(F.col("wider").alias("w"), *keys).agg(*_merge(totals))
 
 
 def window_family(
@@ -140,6 +151,7 @@ def window_family(
     sizes: list[str],
     measures: list[str],
     label: str | None = None,
+    label_known: str | None = None,
     digits: int | None = None,
     keep=None,
 ) -> dict[str, DataFrame]:
@@ -147,19 +159,21 @@ def window_family(
     from the widest smaller one that divides it. ``keep(frame, name)`` stores the totals of
     a width that others build on, so that they are computed once."""
     ordered = sorted(sizes, key=seconds_of)
+    labels = _label_values(df, time, label, label_known, sizes)
     totals: dict[str, DataFrame] = {}
     out = {}
     for i, size in enumerate(ordered):
         base = [s for s in ordered[:i] if seconds_of(size) % seconds_of(s) == 0]
         if base:
-            frame = rollup_totals(totals[base[-1]], keys, size, measures, label)
+            frame = rollup_totals(totals[base[-1]], keys, size)
         else:
-            frame = window_totals(df, keys, time, size, measures, label, digits=digits)
+            frame = window_totals(df, keys, time, size, measures, labels, digits)
         builds_on = any(seconds_of(s) % seconds_of(size) == 0 for s in ordered[i + 1 :])
         if keep and builds_on:
             frame = keep(frame, f"totals_{seconds_of(size)}s")
         totals[size] = frame
-        out[size] = _shown(frame, keys, measures, label, digits)
+        counted = f"label_{seconds_of(size)}" if label_known else "label" if label else None
+        out[size] = _shown(frame, keys, measures, counted, digits)
     return out
 
 
