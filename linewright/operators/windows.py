@@ -35,29 +35,29 @@ def _label_values(
 
 def _totals(measures: list[str], labels: dict[str, Column], digits: int | None) -> list[Column]:
     """Additive parts from which every window measure follows."""
-    parts = [F.count(F.lit(1)).alias("n")]
+    parts = [F.count(F.lit(1)).alias("_n")]
     for name in measures:
         reading = as_fixed(name, digits) if digits is not None else F.col(name).cast("double")
-        parts += [F.sum(reading).alias(f"t_{name}"), F.count(name).alias(f"c_{name}")]
+        parts += [F.sum(reading).alias(f"_t_{name}"), F.count(name).alias(f"_c_{name}")]
     for name, value in labels.items():
-        parts += [F.sum(value).alias(f"t_{name}"), F.count(value).alias(f"c_{name}")]
+        parts += [F.sum(value).alias(f"_t_{name}"), F.count(value).alias(f"_c_{name}")]
     return parts
 
 
 def _merge(totals: DataFrame) -> list[Column]:
-    names = [c for c in totals.columns if c == "n" or c.startswith(("t_", "c_"))]
+    names = [c for c in totals.columns if c == "_n" or c.startswith(("_t_", "_c_"))]
     return [F.sum(name).alias(name) for name in names]
 
 
 def _measures(measures: list[str], label: str | None, digits: int | None) -> list[Column]:
     out = []
     for name in measures:
-        total, count = F.col(f"t_{name}"), F.col(f"c_{name}")
+        total, count = F.col(f"_t_{name}"), F.col(f"_c_{name}")
         mean = fixed_mean(total, count, digits) if digits is not None else F.try_divide(total, count)
         out.append(mean.alias(f"avg_{name}"))
     if label:
-        out.append(percent(F.col(f"t_{label}"), F.col(f"c_{label}")).alias("defect_rate_labelled_pct"))
-    return out + [F.col("n").alias("inspection_count")]
+        out.append(percent(F.col(f"_t_{label}"), F.col(f"_c_{label}")).alias("defect_rate_labelled_pct"))
+    return out + [F.col("_n").alias("inspection_count")]
 
 
 def _shown(df: DataFrame, keys: list[str], measures: list[str], label: str | None, digits: int | None) -> DataFrame:
@@ -93,11 +93,15 @@ def tumbling(
     label: str | None = None,
     label_known: str | None = None,
     digits: int | None = None,
+    slide: str | None = None,
 ) -> DataFrame:
     """Means, labelled defect rate and row count per key and window, aligned to 1970 in UTC.
-    One shuffle of per-task partial totals; also runs on a stream with a watermark."""
+    One shuffle of per-task partial totals; also runs on a stream with a watermark. With
+    ``slide`` every row is copied into its windows; on bounded input use :func:`sliding`."""
+    if slide and label_known:
+        raise ValueError("a row of sliding windows has no single closing time")
     labels = _label_values(df, time, label, label_known, [size])
-    totals = window_totals(df, keys, time, size, measures, labels, digits)
+    totals = window_totals(df, keys, time, size, measures, labels, digits, slide)
     return _shown(totals, keys, measures, next(iter(labels), None), digits)
 
 
@@ -114,11 +118,12 @@ def sliding(
     """Overlapping windows. Rows are first totalled into panes as wide as the common step of
     size and slide, and only the panes are copied into the windows that hold them.
 
-    Bounded input only; on a stream :func:`tumbling` runs, sliding needs ``window_totals``
-    with ``slide``.
+    Bounded input only; on a stream use :func:`tumbling` with ``slide``.
     """
     labels = _label_values(df, time, label, None, [size])
     length, step = seconds_of(size), seconds_of(slide)
+    if step > length:
+        raise ValueError("slide must not exceed size")
     pane = math.gcd(length, step)
     kind = df.schema[time].dataType
     panes = window_totals(df, keys, time, f"{pane} seconds", measures, labels, digits)
@@ -134,7 +139,7 @@ def sliding(
         from_epoch_us(F.col("_s"), kind).alias("start"),
         from_epoch_us(F.col("_s") + F.lit(length * us), kind).alias("end"),
     )
-    return _shown(merged.withColumn("w", window), keys, measures, label, digits)
+    return _shown(merged.withColumn("w", window), keys, measures, next(iter(labels), None), digits)
 
 
 def rollup_totals(totals: DataFrame, keys: list[str], size: str) -> DataFrame:

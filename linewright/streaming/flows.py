@@ -55,10 +55,12 @@ def windowed_stream(
     label_known: str | None = None,
     delay: str = WINDOW_DELAY,
     digits: int | None = None,
+    slide: str | None = None,
 ) -> DataFrame:
-    """Window table of a stream; a window appears once the watermark has passed its end, and
+    """Window table of a stream, tumbling or with ``slide`` overlapping; a window appears once the watermark has passed its end, and
     rows later than that are left out."""
-    return tumbling(watermarked(events, time, delay), keys, time, size, measures, label, label_known, digits)
+    rows = watermarked(events, time, delay)
+    return tumbling(rows, keys, time, size, measures, label, label_known, digits, slide)
 
 
 def run_to_end(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> None:

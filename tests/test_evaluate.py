@@ -1,0 +1,144 @@
+import math
+import random
+
+import pytest
+
+from linewright.operators import drift, evaluate, lifecycle
+
+
+def frame(spark, pairs):
+    return spark.createDataFrame(pairs, "y int, p double")
+
+
+def brute(pairs):
+    pos = sum(y for y, _ in pairs)
+    neg = len(pairs) - pos
+    scores = sorted({p for _, p in pairs}, reverse=True)
+    ap, trapezoid, last_r, last_p = 0.0, 0.0, 0.0, None
+    for t in scores:
+        tp = sum(1 for y, p in pairs if p >= t and y)
+        n = sum(1 for _, p in pairs if p >= t)
+        precision, recall = tp / n, tp / pos
+        ap += (recall - last_r) * precision
+        trapezoid += (recall - last_r) * (precision + (precision if last_p is None else last_p)) / 2
+        last_r, last_p = recall, precision
+    wins = sum((a > b) + (a == b) / 2 for y, a in pairs if y for z, b in pairs if not z)
+    return ap, wins / (pos * neg), trapezoid
+
+
+PAIRS = [(1, 0.9), (0, 0.9), (1, 0.8), (0, 0.3), (0, 0.3), (1, 0.3), (0, 0.0), (1, 1.0)]
+
+
+def test_ranking_metrics_with_ties(spark):
+    rng = random.Random(6)
+    many = [(int(rng.random() < 0.3), 0.25 if rng.random() < 0.4 else rng.random()) for _ in range(300)]
+    for pairs in (PAIRS, many):
+        got = evaluate.ranking_metrics(frame(spark, [*pairs, (None, 0.5), (1, None)]), "y", "p").first()
+        assert tuple(got) == pytest.approx(brute(pairs))
+
+
+def test_mllib_agrees_on_the_trapezoid(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    df = frame(spark, PAIRS).selectExpr("cast(y AS double) y", "p")
+    got = evaluate.ranking_metrics(df, "y", "p").first()
+    evaluator = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="p", numBins=0)
+    assert got.auc_roc == pytest.approx(evaluator.evaluate(df, {evaluator.metricName: "areaUnderROC"}))
+    assert got.auc_pr_trapezoid == pytest.approx(evaluator.evaluate(df, {evaluator.metricName: "areaUnderPR"}))
+
+
+def test_single_class(spark):
+    row = evaluate.ranking_metrics(frame(spark, [(1, 0.5), (1, 0.7)]), "y", "p").first()
+    assert (row.avg_precision, row.auc_roc) == (1.0, None)
+    row = evaluate.ranking_metrics(frame(spark, [(0, 0.5)]), "y", "p").first()
+    assert row.avg_precision is None
+
+
+def test_curves_have_their_end_points(spark):
+    pr = [tuple(r) for r in evaluate.pr_curve(frame(spark, PAIRS), "y", "p").collect()]
+    assert (None, 1.0, 0.0) in pr and (0.0, 0.5, 1.0) in pr and len(pr) == 6
+    roc = [tuple(r) for r in evaluate.roc_curve(frame(spark, PAIRS), "y", "p").collect()]
+    assert (None, 0.0, 0.0) in roc and (0.0, 1.0, 1.0) in roc
+
+
+def test_measures_are_zero_when_undefined(spark):
+    row = evaluate.threshold_metrics(frame(spark, [(1, 0.1), (0, 0.2)]), "y", "p", 0.9).first()
+    assert (row.precision, row.recall, row.f1, row.accuracy) == (0.0, 0.0, 0.0, 0.5)
+
+
+def test_confusion_matrix_is_dense(spark):
+    cells = {(r.label, r.prediction): r.n_rows for r in evaluate.confusion_matrix(
+        frame(spark, [(1, 0.9)]), "y", "p").collect()}
+    assert cells == {(0, 0): 0, (0, 1): 0, (1, 0): 0, (1, 1): 1}
+
+
+def test_threshold_sweep_and_best(spark):
+    rng = random.Random(7)
+    edges = [(i % 2, i * 0.01) for i in range(101)]  # scores on the thresholds themselves
+    pairs = edges + [(int(rng.random() < 0.3), rng.random()) for _ in range(200)]
+    sweep = {r.step: (r.precision, r.recall) for r in evaluate.threshold_sweep(frame(spark, pairs), "y", "p").collect()}
+    best, best_f1 = 0.5, 0.0
+    for i in range(101):
+        t = i * 0.01
+        tp = sum(1 for y, p in pairs if p >= t and y)
+        n = sum(1 for _, p in pairs if p >= t)
+        pos = sum(y for y, _ in pairs)
+        assert sweep[i] == pytest.approx((tp / n if n else 1.0, tp / pos))
+        f1 = 2 * tp / (n + pos)
+        if f1 > best_f1:
+            best, best_f1 = t, f1
+    row = evaluate.best_threshold(frame(spark, pairs), "y", "p").first()
+    assert tuple(row) == pytest.approx((best, best_f1))
+
+
+def test_no_positive_gives_default_threshold(spark):
+    assert tuple(evaluate.best_threshold(frame(spark, [(0, 0.4)]), "y", "p").first()) == (0.5, 0.0)
+
+
+def test_calibration_edges(spark):
+    got = {r.bin: r.n_rows for r in evaluate.calibration(
+        frame(spark, [(1, 0.0), (0, 0.1), (1, 0.1000001), (1, 1.0)]), "y", "p").collect()}
+    assert got == {0: 2, 1: 1, 9: 1}
+
+
+def test_class_report(spark):
+    rows = {r["class"]: r for r in evaluate.class_report(frame(spark, PAIRS), "y", "p", 0.5).collect()}
+    assert rows["defective"].precision == pytest.approx(3 / 4) and rows["good"].support == 4
+    assert rows["accuracy"].f1 == pytest.approx(6 / 8)
+    assert rows["weighted avg"].recall == pytest.approx(6 / 8)
+
+
+def test_odds_and_cost(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 1), ("a", 1, 0), ("a", 0, 1), ("b", 0, 0), ("b", None, 1)], "line string, y int, q int"
+    )
+    odds = {r.line: (r.tpr, r.fpr) for r in evaluate.equalized_odds(df, "line", "y", "q").collect()}
+    assert odds == {"a": (0.5, 1.0), "b": (None, 0.0)}
+    assert evaluate.error_cost(df, "y", "q").first().cost_eur == 210
+
+
+def test_promotion(spark):
+    a = spark.createDataFrame([("new", 0.5), ("up", 0.6), ("tie", 0.5), ("down", 0.4)], "k string, s double")
+    b = spark.createDataFrame([("up", 0.5), ("tie", 0.5), ("down", 0.5)], "k string, s double")
+    got = {r.k: r.promoted for r in lifecycle.promotion_decision(a, b, "k", "s").collect()}
+    assert got == {"new": True, "up": True, "tie": False, "down": False}
+
+
+def test_alias_events(spark):
+    won = lifecycle.promotion_events(spark.range(1), True, 3, 4, 2, {"test_auc_pr": "0.7"})
+    assert {r.version: r.alias for r in won.collect()} == {2: "retired", 4: "champion"}
+    lost = lifecycle.promotion_events(spark.range(1), False, 3, None, 2, {}).first()
+    assert (lost.version, lost.alias) == (3, "rejected")
+    first = lifecycle.promotion_events(spark.range(1), True, 1, 2, None, {})
+    assert [r.alias for r in first.collect()] == ["champion"]
+
+
+def test_drift(spark):
+    rows = [(False, float(i % 10), 1.0) for i in range(200)] + [(True, float(i % 10) + 5, 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "now boolean, a double, b double")
+    edges = drift.fit_edges(df.filter("NOT now"), ["a", "b"], 5)
+    found = {r.feature: r for r in drift.drift(df, "now", edges).collect()}
+    assert found["a"].psi > 0.5 and found["a"].ks > 0.3
+    assert found["b"].psi == pytest.approx(0.0) and found["b"].ks == pytest.approx(0.0)
+    shares = drift.binned_shares(df, "now", edges).filter("feature = 'a'").collect()
+    assert math.isclose(sum(r.cur_share for r in shares), 1.0)
