@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse_timestamp
@@ -38,6 +38,11 @@ FLOWS = ("history", "production")
 LABELLED_DELAY = "60 days"
 
 
+def _is_dead() -> Column:
+    """Of a partition column, so either side of the split reads its own files only."""
+    return F.col("is_quarantined").cast("boolean")
+
+
 @dataclass(frozen=True)
 class TableInfo:
     layer: str
@@ -86,10 +91,10 @@ class Plant:
         run_to_end(df, self.path(table), self.checkpoint(table), list(TABLES[table].partition_by))
 
     def valid(self, name: str) -> DataFrame:
-        return self.read(f"silver_{name}").filter(~F.col("is_quarantined"))
+        return self.read(f"silver_{name}").filter(~_is_dead())
 
     def quarantined(self, name: str) -> DataFrame:
-        return self.read(f"silver_{name}").filter("is_quarantined")
+        return self.read(f"silver_{name}").filter(_is_dead())
 
     def register(self, database: str) -> None:
         """Catalogue entries with comment and layer for the tables written so far."""
@@ -204,7 +209,7 @@ def run_streams(plant: Plant, as_of: str) -> None:
         plant.append_stream(f"silver_{name}", quarantine_stream(arrived, name, time))
 
     def valid(name: str, columns: list[str]) -> DataFrame:
-        return stream_table(spark, plant.path(f"silver_{name}")).filter(~F.col("is_quarantined")).select(*columns)
+        return stream_table(spark, plant.path(f"silver_{name}")).filter(~_is_dead()).select(*columns)
 
     joined = labelled_stream(valid("inspections", _labelled_columns()), valid("labels", LABEL_COLUMNS))
     plant.append_stream("silver_inspections_labeled", with_month_partitions(joined, "timestamp"))
