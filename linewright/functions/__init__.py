@@ -11,6 +11,7 @@ from .exprs import (
     parse_timestamp,
     percent,
     seconds_of,
+    slice_start,
 )
 
 __all__ = [
@@ -26,4 +27,5 @@ __all__ = [
     "parse_timestamp",
     "percent",
     "seconds_of",
+    "slice_start",
 ]

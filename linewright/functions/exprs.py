@@ -31,6 +31,13 @@ def epoch_us(column: Column | str) -> Column:
     return F.unix_micros(value.cast("timestamp"))
 
 
+def slice_start(column: Column | str, seconds: int) -> Column:
+    """Start, in microseconds since 1970, of the time slice that holds a moment. Whole-number
+    arithmetic, also right before 1970."""
+    at = epoch_us(column)
+    return at - F.pmod(at, F.lit(seconds * 1_000_000).cast("long"))
+
+
 def from_epoch_us(micros: Column, like: T.DataType) -> Column:
     """The inverse of :func:`epoch_us`, in the timestamp type of another column."""
     return F.timestamp_micros(micros).cast(like)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import epoch_us, seconds_of
+from ..functions import epoch_us, seconds_of, slice_start
 
 _US = 1_000_000
 
@@ -37,12 +37,13 @@ def interval_left_join(
     in_range = (F.col(right_time) >= F.col(left_time)) & (F.col(right_time) <= F.col(left_time) + reach)
     if slices is None:
         return left.join(b, (F.col(key) == F.col("_rkey")) & in_range, "left").drop("_rkey")
-    if seconds_of(within) * _US % slices:
-        raise ValueError("within must be a whole number of slices")
-    width = F.lit(seconds_of(within) * _US // slices).cast("long")
-    a = left.withColumn("_ls", F.floor(epoch_us(left_time) / width).cast("long"))
-    at = F.floor(epoch_us(right_time) / width).cast("long")
-    b = b.withColumn("_rs", F.explode(F.sequence(at - slices, at)))
+    if seconds_of(within) % slices:
+        raise ValueError("slices must be whole seconds")
+    width = seconds_of(within) // slices
+    step = F.lit(width * _US).cast("long")
+    a = left.withColumn("_ls", slice_start(left_time, width))
+    at = slice_start(right_time, width)
+    b = b.withColumn("_rs", F.explode(F.sequence(at - slices * step, at, step)))
     same = (F.col(key) == F.col("_rkey")) & (F.col("_ls") == F.col("_rs"))
     return a.join(b, same & in_range, "left").drop("_ls", "_rs", "_rkey")
 
@@ -98,14 +99,13 @@ def attach_windows(spine: DataFrame, features: list[WindowFeatures], keys: list[
     on (key, cell), whatever the number of tables. They are never sorted by time, and a hot key
     is spread over its cells (a hot cell is split by adaptive execution).
     """
-    grid = reduce(math.gcd, [seconds_of(f.size) for f in features]) * _US
-    cell = lambda c: F.floor(epoch_us(c) / F.lit(grid).cast("long")).cast("long")
-    rows = spine.withColumn("_cell", cell(time))
+    grid = reduce(math.gcd, [seconds_of(f.size) for f in features])
+    rows = spine.withColumn("_cell", slice_start(time, grid))
     asked = rows.select(*keys, "_cell").distinct().withColumn("_asked", F.lit(True))
     parts = []
     for i, f in enumerate(features):
         packed = F.struct(*[F.col(c).alias(f.prefix + c) for c in f.columns(keys)]).alias(f"_f{i}")
-        parts.append(f.table.select(*keys, cell("window_end").alias("_cell"), packed))
+        parts.append(f.table.select(*keys, slice_start("window_end", grid).alias("_cell"), packed))
     events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, asked)
     past = Window.partitionBy(*keys).orderBy("_cell").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     newest = {f"_f{i}": F.last(f"_f{i}", ignorenulls=True).over(past) for i in range(len(features))}
@@ -135,16 +135,16 @@ def asof_join(
     key in one slice, and with ``salts`` the spine rows of such a group are dealt by content
     hash over that many groups, each with its own copy of the slice's feature rows.
     """
-    width = F.lit(seconds_of(slice_size) * _US).cast("long")
+    width = seconds_of(slice_size)
     payload = [c for c in features.columns if c not in (*keys, feature_time)]
     packed = F.struct(F.col(feature_time), *payload)
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, feature_time]])
     f = features.filter(present).select(*keys, epoch_us(feature_time).alias("_t"), packed.alias("_p"))
-    f = f.withColumn("_slice", F.floor(F.col("_t") / width).cast("long"))
+    f = f.withColumn("_slice", F.col("_t") - F.pmod(F.col("_t"), F.lit(width * _US).cast("long")))
     s = spine.withColumns(
         {
             "_t": epoch_us(spine_time),
-            "_slice": F.floor(epoch_us(spine_time) / width).cast("long"),
+            "_slice": slice_start(spine_time, width),
             "_salt": F.pmod(F.xxhash64(*spine.columns), F.lit(salts)).cast("int"),
         }
     )
@@ -156,7 +156,7 @@ def asof_join(
         asked.unionByName(ends, allowMissingColumns=True)
         .withColumn("_p", F.last("_p", ignorenulls=True).over(earlier))
         .filter(F.col("_asked") & F.col("_p").isNotNull())
-        .select(*keys, "_slice", (F.col("_slice") * width).alias("_t"), F.lit(0).alias("_kind"), "_p")
+        .select(*keys, "_slice", F.col("_slice").alias("_t"), F.lit(0).alias("_kind"), "_p")
     )
     inside = f.select(*keys, "_slice", "_t", F.lit(1).alias("_kind"), "_p")
     copies = starts.unionByName(inside).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -11,8 +11,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from ..functions import as_fixed, epoch_us, fixed_mean, from_epoch_us, percent, seconds_of
+from ..functions import as_fixed, epoch_us, fixed_mean, from_epoch_us, percent, seconds_of, slice_start
 
 
 def _label_values(
@@ -27,8 +28,7 @@ def _label_values(
         return {"label": value}
     out = {}
     for size in sizes:
-        width = F.lit(seconds_of(size) * 1_000_000).cast("long")
-        closes = F.floor(epoch_us(time) / width).cast("long") * width + width
+        closes = slice_start(time, seconds_of(size)) + F.lit(seconds_of(size) * 1_000_000)
         out[f"label_{seconds_of(size)}"] = F.when(epoch_us(label_known) <= closes, value)
     return out
 
@@ -69,6 +69,12 @@ def _shown(df: DataFrame, keys: list[str], measures: list[str], label: str | Non
     )
 
 
+def _window_of(start: Column, seconds: int, kind: DataType) -> Column:
+    """The window struct that starts at a number of microseconds."""
+    end = start + F.lit(seconds * 1_000_000)
+    return F.struct(from_epoch_us(start, kind).alias("start"), from_epoch_us(end, kind).alias("end"))
+
+
 def window_totals(
     df: DataFrame,
     keys: list[str],
@@ -129,26 +135,16 @@ def sliding(
     panes = window_totals(df, keys, time, f"{pane} seconds", measures, labels, digits)
     at = epoch_us("w.start")
     us = 1_000_000
-    last = at - F.pmod(at, F.lit(step * us))
+    last = slice_start("w.start", step)
     first_after = at + F.lit((pane - length) * us)
     earliest = last - F.lit((length // step) * step * us)
     starts = F.filter(F.sequence(earliest, last, F.lit(step * us).cast("long")), lambda s: s >= first_after)
     spread = panes.withColumn("_s", F.explode(starts)).drop("w")
     merged = spread.groupBy("_s", *keys).agg(*_merge(spread))
-    window = F.struct(
-        from_epoch_us(F.col("_s"), kind).alias("start"),
-        from_epoch_us(F.col("_s") + F.lit(length * us), kind).alias("end"),
-    )
+    window = _window_of(F.col("_s"), length, kind)
     return _shown(merged.withColumn("w", window), keys, measures, next(iter(labels), None), digits)
 
 
-def rollup_totals(totals: DataFrame, keys: list[str], size: str) -> DataFrame:
-    """Totals of wider windows out of narrower ones that fit in them."""
-    wider = F.window(F.col("w.start"), size).alias("wider")
-    placed = totals.select("*", wider)
-    return placed.groupBy(F.col("wider").alias("w"), *keys).agg(*_merge(totals))
-
-
 def window_family(
     df: DataFrame,
     keys: list[str],
@@ -165,20 +161,27 @@ def window_family(
     a width that others build on, so that they are computed once."""
     ordered = sorted(sizes, key=seconds_of)
     labels = _label_values(df, time, label, label_known, sizes)
+    kind = df.schema[time].dataType
+    timed = df.filter(F.col(time).isNotNull())
     totals: dict[str, DataFrame] = {}
     out = {}
     for i, size in enumerate(ordered):
-        base = [s for s in ordered[:i] if seconds_of(size) % seconds_of(s) == 0]
+        width = seconds_of(size)
+        base = [s for s in ordered[:i] if width % seconds_of(s) == 0]
         if base:
-            frame = rollup_totals(totals[base[-1]], keys, size)
+            narrow = totals[base[-1]]
+            wider = F.col("_s") - F.pmod(F.col("_s"), F.lit(width * 1_000_000).cast("long"))
+            frame = narrow.groupBy(wider.alias("_s"), *keys).agg(*_merge(narrow))
         else:
-            frame = window_totals(df, keys, time, size, measures, labels, digits)
+            cells = _totals(measures, labels, digits)
+            frame = timed.groupBy(slice_start(time, width).alias("_s"), *keys).agg(*cells)
         builds_on = any(seconds_of(s) % seconds_of(size) == 0 for s in ordered[i + 1 :])
         if keep and builds_on:
-            frame = keep(frame, f"totals_{seconds_of(size)}s")
+            frame = keep(frame, f"totals_{width}s")
         totals[size] = frame
-        counted = f"label_{seconds_of(size)}" if label_known else "label" if label else None
-        out[size] = _shown(frame, keys, measures, counted, digits)
+        counted = f"label_{width}" if label_known else "label" if label else None
+        window = _window_of(F.col("_s"), width, kind)
+        out[size] = _shown(frame.withColumn("w", window), keys, measures, counted, digits)
     return out
 
 
@@ -204,21 +207,21 @@ def rolling(
     length, width = seconds_of(size) * 1_000_000, seconds_of(step) * 1_000_000
     if length % width:
         raise ValueError("size must be a multiple of step")
-    slices = length // width
     base = df.select(
         *keep,
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         epoch_us(time).alias("_t"),
         as_fixed(measure, digits).alias("_v"),
-    ).withColumn("_slice", F.floor(F.col("_t") / F.lit(width)).cast("long"))
+        slice_start(time, seconds_of(step)).alias("_slice"),
+    )
     group = [f"_k{i}" for i in range(len(keys))]
 
     per_slice = base.groupBy(*group, "_slice").agg(F.count("_v").alias("_n"), F.sum("_v").alias("_s"))
-    before = Window.partitionBy(*group).orderBy("_slice").rangeBetween(-slices, -1)
+    before = Window.partitionBy(*group).orderBy("_slice").rangeBetween(-length, -width)
     carried = per_slice.select(
         *group,
         "_slice",
-        (F.col("_slice") * width).alias("_t"),
+        F.col("_slice").alias("_t"),
         F.lit(0).alias("_kind"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"),
         F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s"),
@@ -232,14 +235,14 @@ def rolling(
     )
     moves = base.select(*group, "_slice", F.explode(F.array(entry, leave)).alias("_m")).select(
         *group,
-        F.when(F.col("_m.n") < 0, F.col("_slice") + slices).otherwise(F.col("_slice")).alias("_slice"),
+        F.when(F.col("_m.n") < 0, F.col("_slice") + length).otherwise(F.col("_slice")).alias("_slice"),
         F.col("_m.t").alias("_t"),
         F.col("_m.kind").alias("_kind"),
         F.col("_m.n").alias("_n"),
         F.col("_m.s").alias("_s"),
     )
     # a move on the edge of its slice is already part of the next slice's starting totals
-    moves = moves.filter(F.col("_t") < (F.col("_slice") + 1) * width)
+    moves = moves.filter(F.col("_t") < F.col("_slice") + width)
     asked = base.withColumns(
         {"_kind": F.lit(1), "_n": F.lit(0).cast("long"), "_s": F.lit(0).cast("long")}
     ).drop("_v")

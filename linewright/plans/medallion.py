@@ -17,6 +17,7 @@ from ..operators.profiles import machine_profile, spine, supplier_profile
 from ..operators.rules import flag_quarantine, rules_for
 from ..operators.windows import window_family
 from ..schemas import CATALOGS, INSPECTION_KEYS, LABEL_COLUMNS, SENSORS
+from ..session import materialize
 from ..sources import (
     append_flows,
     overwrite,
@@ -140,6 +141,7 @@ def write_gold(plant: Plant, as_of: str, digits: int = 6) -> None:
         "is_defective",
         label_known="label_available_date",
         digits=digits,
+        keep=materialize,
     )
     for tag, size in WINDOW_SIZES.items():
         plant.write(f"gold_machine_agg_{tag}", family[size])
