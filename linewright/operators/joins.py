@@ -29,8 +29,8 @@ def interval_left_join(
     With a selective key (one unit, few labels) the plain form is right: hash on the key,
     range as a residual. For a coarse key give ``slices``: time is cut into ``within / slices``
     and becomes part of the join key. Each left row lies in one slice and each right row is
-    copied to the slices that can see it, so a hot key spreads over time and a row meets only
-    rows near it.
+    copied to the ``slices + 1`` that can see it, so a hot key spreads over time and a row meets
+    only rows near it: at most ``1 + 1 / slices`` times the range.
     """
     reach = F.expr(f"INTERVAL {seconds_of(within)} SECONDS")
     b = right.withColumnRenamed(key, "_rkey")
@@ -71,9 +71,14 @@ def duplicate_keys(features: DataFrame, keys: list[str]) -> DataFrame:
     return features.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
-def lookup(spine: DataFrame, features: DataFrame, keys: list[str], prefix: str = "") -> DataFrame:
+def lookup(
+    spine: DataFrame, features: DataFrame, keys: list[str], prefix: str = "", check: bool = False
+) -> DataFrame:
     """Feature columns by key. No hint: Spark broadcasts the table when its size allows it,
-    else it shuffles and adaptive execution splits hot keys."""
+    else it shuffles and adaptive execution splits hot keys. With ``check`` a table that holds
+    a key twice is refused, as it would repeat spine rows."""
+    if check and (twice := duplicate_keys(features, keys).first()):
+        raise ValueError(f"lookup table holds a key more than once: {twice}")
     named = features.select(*keys, *[F.col(c).alias(prefix + c) for c in features.columns if c not in keys])
     return spine.join(named, keys, "left")
 
@@ -125,7 +130,7 @@ def asof_join(
     feature_time: str,
     prefix: str = "",
     slice_size: str = "1 day",
-    salts: int = 1,
+    salts: int = 4,
 ) -> DataFrame:
     """For each spine row the newest feature row of its key with time at or before its own;
     feature rows are unique per (key, time) and may lie anywhere in time.

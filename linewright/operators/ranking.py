@@ -39,6 +39,7 @@ def cumulate(
     ranged = Bucketizer(splits=splits, inputCol="_key", outputCol="_range", handleInvalid="keep").transform(
         points.withColumn("_key", F.col(order).cast("double"))
     )
+    ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
     range_order = F.col("_range").desc() if descending else F.col("_range").asc()
     point_order = F.col(order).desc() if descending else F.col(order).asc()
     before = Window.orderBy(range_order).rowsBetween(Window.unboundedPreceding, -1)

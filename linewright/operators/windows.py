@@ -226,27 +226,30 @@ def rolling(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"),
         F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s"),
     )
-    one = F.when(F.col("_v").isNull(), 0).otherwise(1).cast("long")
+    # each row three times: itself (kind 1, no weight), its entry and its exit (kind 0)
+    held = F.struct(*keep)
+    nothing = F.lit(None).cast(df.select(held.alias("r")).schema["r"].dataType)
+    counted = F.col("_v").isNotNull().cast("long")
     amount = F.coalesce("_v", F.lit(0))
-    # each row: itself (kind 1, no weight), its entry (kind 0) and its exit (kind 0)
-    entry = F.struct((F.col("_t") + 1).alias("t"), F.lit(0).alias("kind"), one.alias("n"), amount.alias("s"))
-    leave = F.struct(
-        (F.col("_t") + length + 1).alias("t"), F.lit(0).alias("kind"), (-one).alias("n"), (-amount).alias("s")
-    )
-    moves = base.select(*group, "_slice", F.explode(F.array(entry, leave)).alias("_m")).select(
+
+    def event(slice_of: Column, at: Column, kind: int, n: Column, s: Column, row: Column) -> Column:
+        parts = {"_slice": slice_of, "_t": at, "_kind": F.lit(kind), "_n": n, "_s": s, "_row": row}
+        return F.struct(*[part.alias(name) for name, part in parts.items()])
+
+    t, own, none = F.col("_t"), F.col("_slice"), F.lit(0).cast("long")
+    events = base.select(
         *group,
-        F.when(F.col("_m.n") < 0, F.col("_slice") + length).otherwise(F.col("_slice")).alias("_slice"),
-        F.col("_m.t").alias("_t"),
-        F.col("_m.kind").alias("_kind"),
-        F.col("_m.n").alias("_n"),
-        F.col("_m.s").alias("_s"),
+        F.inline(
+            F.array(
+                event(own, t, 1, none, none, held),
+                event(own, t + 1, 0, counted, amount, nothing),
+                event(own + length, t + length + 1, 0, -counted, -amount, nothing),
+            )
+        ),
     )
     # a move on the edge of its slice is already part of the next slice's starting totals
-    moves = moves.filter(F.col("_t") < F.col("_slice") + width)
-    asked = base.withColumns(
-        {"_kind": F.lit(1), "_n": F.lit(0).cast("long"), "_s": F.lit(0).cast("long")}
-    ).drop("_v")
-    everything = asked.unionByName(carried, allowMissingColumns=True).unionByName(moves, allowMissingColumns=True)
+    events = events.filter((F.col("_kind") == 1) | (F.col("_t") < F.col("_slice") + width))
+    everything = events.unionByName(carried, allowMissingColumns=True)
     running = (
         Window.partitionBy(*group, "_slice")
         .orderBy("_t", "_kind")
@@ -257,7 +260,7 @@ def rolling(
         everything.withColumns({"_count": count, "_total": total})
         .filter("_kind = 1")
         .select(
-            *keep,
+            *[F.col(f"_row.{c}").alias(c) for c in keep],
             F.col("_count").alias("rolling_count"),
             fixed_mean(F.col("_total"), F.col("_count"), digits).alias(f"rolling_avg_{measure}"),
         )

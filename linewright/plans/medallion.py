@@ -85,8 +85,8 @@ class Plant:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
-    def write(self, table: str, df: DataFrame) -> None:
-        overwrite(df, self.path(table), list(TABLES[table].partition_by))
+    def write(self, table: str, df: DataFrame, gather: bool = False) -> None:
+        overwrite(df, self.path(table), list(TABLES[table].partition_by), gather)
 
     def append_stream(self, table: str, df: DataFrame) -> None:
         run_to_end(df, self.path(table), self.checkpoint(table), list(TABLES[table].partition_by))
@@ -189,7 +189,7 @@ def run_batch(plant: Plant, as_of: str, only_first_label: bool = False) -> None:
         plant.valid("labels").select(*LABEL_COLUMNS),
         only_first_label,
     )
-    plant.write("silver_inspections_labeled", with_month_partitions(joined, "timestamp"))
+    plant.write("silver_inspections_labeled", with_month_partitions(joined, "timestamp"), gather=True)
     plant.write("gold_inspection_spine", _spine(plant.read("silver_inspections_labeled")))
     write_gold(plant, as_of)
     write_training_dataset(plant)

@@ -11,11 +11,24 @@ from pyspark.sql import functions as F
 from ..ml import models
 from ..operators.dataset import training_rows
 from ..operators.lifecycle import promotion_decision, promotion_events
-from ..sources.writers import overwrite
+from ..sources.writers import overwrite, overwrite_table, set_properties
 
 METRIC = "avg_precision"
 
 
+def publish_baseline(scored: DataFrame, table: str, measures: dict, version: int, test_end: str) -> None:
+    """The scored test rows as a catalogue table that carries what is needed to compare with
+    it: rows, measures, model version and the day the test rows end."""
+    overwrite_table(scored, table, "Scored test rows of the current champion")
+    facts = {f"baseline.{k}": v for k, v in measures.items() if v is not None}
+    rows = scored.sparkSession.table(table).count()
+    set_properties(
+        scored.sparkSession,
+        table,
+        {**facts, "baseline.rows": rows, "baseline.model_version": version, "baseline.test_end": test_end},
+    )
+
+
 @dataclass
 class Promotion:
     promoted: bool

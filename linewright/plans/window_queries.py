@@ -137,7 +137,7 @@ def _(spark, folder):
         return events.filter(F.col("event_type") == kind).select(*named)
 
     return interval_left_join(
-        side("click"), side("purchase"), "user_id", "click_ts", "purchase_ts", "24 hours", slices=24
+        side("click"), side("purchase"), "user_id", "click_ts", "purchase_ts", "24 hours", slices=2
     )
 
 

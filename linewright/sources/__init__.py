@@ -18,6 +18,7 @@ from .writers import (
     get_properties,
     latest_per_key,
     overwrite,
+    overwrite_table,
     set_properties,
     stream_to_table,
     with_month_partitions,
@@ -35,6 +36,7 @@ __all__ = [
     "latest_per_key",
     "load_schema",
     "overwrite",
+    "overwrite_table",
     "read_catalog",
     "read_events",
     "read_table",

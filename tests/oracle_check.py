@@ -68,7 +68,7 @@ def main() -> None:
     folder, wanted = sys.argv[1], sys.argv[2:]
     spark = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("SHUFFLE", "8"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")

@@ -11,6 +11,7 @@ from linewright.operators.joins import (
     duplicate_keys,
     inspection_labels,
     interval_left_join,
+    lookup,
     training_set,
 )
 
@@ -149,11 +150,20 @@ def test_training_set_keeps_unlabelled_rows_and_puts_the_label_last(spark):
         "is_defective",
         exclude=("unit_id",),
     )
-    assert out.columns == ["machine", "t", "x_ft", "x_z", "age", "w_v", "is_defective"] or out.columns[-1] == "is_defective"
+    assert set(out.columns) == {"machine", "t", "x_ft", "x_z", "age", "w_v", "is_defective"}
+    assert out.columns[-1] == "is_defective"
     rows = {r.machine: (r.age, r.w_v, r.x_z, r.is_defective) for r in out.collect()}
     assert rows == {"m": (5, 2.0, 9.0, 1), "n": (None, None, None, None)}
 
 
+def test_checked_lookup_refuses_repeated_keys(spark):
+    spine = spark.createDataFrame([(1,), (2,)], "k int")
+    table = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    assert lookup(spine, table, ["k"]).count() == 3
+    with pytest.raises(ValueError):
+        lookup(spine, table, ["k"], check=True)
+
+
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert [tuple(r) for r in duplicate_keys(df, ["k"]).collect()] == [(1, 2)]

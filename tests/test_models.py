@@ -98,7 +98,8 @@ def test_grid_goes_on_after_a_failing_setting(data, prepared):
 
 
 def test_promotion_flow(spark, data, prepared, tmp_path):
-    from linewright.plans.promotion import promote
+    from linewright.plans.promotion import promote, publish_baseline
+    from linewright.sources import get_properties
 
     tagged = data.withColumn(
         "split", F.when(F.col("id") < 200, "train").when(F.col("id") < 300, "validation").otherwise("test")
@@ -107,6 +108,11 @@ def test_promotion_flow(spark, data, prepared, tmp_path):
     assert first.promoted and first.champion is not None
     baseline = spark.read.parquet(str(tmp_path / "baseline"))
     assert baseline.count() == 100 and "probability_defective" in baseline.columns
+    publish_baseline(baseline, "test_baseline", {"avg_precision": 0.5, "auc_roc": None}, 2, "2024-02-01")
+    facts = get_properties(spark, "test_baseline")
+    spark.sql("DROP TABLE test_baseline")
+    assert (facts["baseline.rows"], facts["baseline.avg_precision"]) == ("100", "0.5")
+    assert "baseline.auc_roc" not in facts
     aliases = {r.version: r.alias for r in first.events.collect()}
     assert aliases == {2: "champion"}
     again = promote(prepared, tagged, "y", {"reg": 0.01}, 3, (2, first.challenger_model), str(tmp_path / "b2"))
