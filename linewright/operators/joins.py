@@ -6,7 +6,7 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import epoch_us, seconds_of, slice_start
@@ -131,27 +131,39 @@ def asof_join(
     prefix: str = "",
     slice_size: str = "1 day",
     salts: int = 4,
+    forward: bool = False,
+    within: str | None = None,
 ) -> DataFrame:
     """For each spine row the newest feature row of its key with time at or before its own;
-    feature rows are unique per (key, time) and may lie anywhere in time.
+    feature rows are unique per (key, time) and may lie anywhere in time. ``forward`` looks for
+    the first one at or after the row instead, ``within`` limits the distance.
 
     Time is cut into slices. The value at the start of a slice comes from one row per (key,
     slice); inside a slice spine and feature rows are merged in time order. Groups are thus one
     key in one slice, and with ``salts`` the spine rows of such a group are dealt by content
     hash over that many groups, each with its own copy of the slice's feature rows.
     """
-    width = seconds_of(slice_size)
+    width = F.lit(seconds_of(slice_size) * _US).cast("long")
+
+    def clock(column: str) -> Column:
+        return -epoch_us(column) if forward else epoch_us(column)
+
+    def slice_of(column: Column) -> Column:
+        return column - F.pmod(column, width)
+
     payload = [c for c in features.columns if c not in (*keys, feature_time)]
     packed = F.struct(F.col(feature_time), *payload)
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, feature_time]])
-    f = features.filter(present).select(*keys, epoch_us(feature_time).alias("_t"), packed.alias("_p"))
-    f = f.withColumn("_slice", F.col("_t") - F.pmod(F.col("_t"), F.lit(width * _US).cast("long")))
-    s = spine.withColumns(
-        {
-            "_t": epoch_us(spine_time),
-            "_slice": slice_start(spine_time, width),
-            "_salt": F.pmod(F.xxhash64(*spine.columns), F.lit(salts)).cast("int"),
-        }
+    f = features.filter(present).select(*keys, clock(feature_time).alias("_t"), packed.alias("_p"))
+    f = f.withColumn("_slice", slice_of(F.col("_t")))
+    own = [c for c in spine.columns if c not in keys]
+    s = spine.select(
+        *keys,
+        clock(spine_time).alias("_t"),
+        slice_of(clock(spine_time)).alias("_slice"),
+        F.pmod(F.xxhash64(*spine.columns), F.lit(salts)).cast("int").alias("_salt"),
+        F.lit(2).alias("_kind"),
+        F.struct(*own).alias("_row"),
     )
 
     ends = f.groupBy(*keys, "_slice").agg(F.max_by("_p", "_t").alias("_p"))
@@ -165,23 +177,31 @@ def asof_join(
     )
     inside = f.select(*keys, "_slice", "_t", F.lit(1).alias("_kind"), "_p")
     copies = starts.unionByName(inside).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    own = [c for c in spine.columns if c not in keys]
-    merged = s.select(
-        *keys, "_slice", "_salt", "_t", F.lit(2).alias("_kind"), F.struct(*own).alias("_row")
-    ).unionByName(copies, allowMissingColumns=True)
     order = (
         Window.partitionBy(*keys, "_slice", "_salt")
         .orderBy("_t", "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    found = merged.withColumn("_p", F.last("_p", ignorenulls=True).over(order)).filter("_kind = 2")
-    fields = [feature_time, *payload]
-    return found.select(
+    found = F.last("_p", ignorenulls=True).over(order)
+    merged = s.unionByName(copies, allowMissingColumns=True).withColumn("_p", found).filter("_kind = 2")
+    if within:
+        apart = F.col("_t") - clock(f"_p.{feature_time}")
+        merged = merged.withColumn("_p", F.when(apart <= seconds_of(within) * _US, F.col("_p")))
+    return merged.select(
         *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in spine.columns],
-        *[F.col(f"_p.{c}").alias(prefix + c) for c in fields],
+        *[F.col(f"_p.{c}").alias(prefix + c) for c in [feature_time, *payload]],
     )
 
 
+def first_in_range(
+    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, within: str
+) -> DataFrame:
+    """Every left row with the first right row of its key that lies 0 to ``within`` after it, or
+    none. One row out per row in, without forming the pairs in range; right rows are unique
+    per (key, time)."""
+    return asof_join(left, right, [key], left_time, right_time, forward=True, within=within)
+
+
 @dataclass(frozen=True)
 class FeatureLookup:
     """Where one set of features comes from: a static table by key, a window table on its

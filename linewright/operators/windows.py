@@ -198,71 +198,54 @@ def rolling(
     """For every row, count and mean of the earlier rows of its key within ``size`` before it
     (the row itself and rows at the same instant excluded).
 
-    A row enters the running total just after its own time and leaves just after
-    ``size`` has passed. Time is cut into slices of ``step``; a slice starts from the totals of
-    the slices that lie in the window at its start, so slices of one key run as separate
-    groups and a hot key spreads over many tasks. Totals are whole numbers: nothing is lost
-    by the subtraction.
+    A row adds its value at its own time and takes it back ``size`` later; a row's answer is the
+    running total just before its time. Time is cut into slices of ``step``; a slice starts
+    from the totals of the slices that lie in the window at its start, so slices of one key
+    run as separate groups and a hot key spreads over many tasks. Totals are whole numbers:
+    nothing is lost by the subtraction.
     """
     length, width = seconds_of(size) * 1_000_000, seconds_of(step) * 1_000_000
     if length % width:
         raise ValueError("size must be a multiple of step")
+    group = [f"_k{i}" for i in range(len(keys))]
     base = df.select(
-        *keep,
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.struct(*keep).alias("_row"),
+        *[F.col(k).alias(g) for k, g in zip(keys, group)],
         epoch_us(time).alias("_t"),
-        as_fixed(measure, digits).alias("_v"),
         slice_start(time, seconds_of(step)).alias("_slice"),
+        as_fixed(measure, digits).alias("_v"),
     )
-    group = [f"_k{i}" for i in range(len(keys))]
-
     per_slice = base.groupBy(*group, "_slice").agg(F.count("_v").alias("_n"), F.sum("_v").alias("_s"))
-    before = Window.partitionBy(*group).orderBy("_slice").rangeBetween(-length, -width)
+    earlier = Window.partitionBy(*group).orderBy("_slice").rangeBetween(-length, -width)
     carried = per_slice.select(
         *group,
         "_slice",
-        F.col("_slice").alias("_t"),
-        F.lit(0).alias("_kind"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"),
-        F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s"),
+        (F.col("_slice") - 1).alias("_t"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n"),
+        F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_s"),
     )
-    # each row three times: itself (kind 1, no weight), its entry and its exit (kind 0)
-    held = F.struct(*keep)
-    nothing = F.lit(None).cast(df.select(held.alias("r")).schema["r"].dataType)
-    counted = F.col("_v").isNotNull().cast("long")
-    amount = F.coalesce("_v", F.lit(0))
-
-    def event(slice_of: Column, at: Column, kind: int, n: Column, s: Column, row: Column) -> Column:
-        parts = {"_slice": slice_of, "_t": at, "_kind": F.lit(kind), "_n": n, "_s": s, "_row": row}
-        return F.struct(*[part.alias(name) for name, part in parts.items()])
-
-    t, own, none = F.col("_t"), F.col("_slice"), F.lit(0).cast("long")
-    events = base.select(
-        *group,
-        F.inline(
-            F.array(
-                event(own, t, 1, none, none, held),
-                event(own, t + 1, 0, counted, amount, nothing),
-                event(own + length, t + length + 1, 0, -counted, -amount, nothing),
-            )
-        ),
-    )
-    # a move on the edge of its slice is already part of the next slice's starting totals
-    events = events.filter((F.col("_kind") == 1) | (F.col("_t") < F.col("_slice") + width))
-    everything = events.unionByName(carried, allowMissingColumns=True)
-    running = (
-        Window.partitionBy(*group, "_slice")
-        .orderBy("_t", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    count, total = F.sum("_n").over(running), F.sum("_s").over(running)
+
+    def move(later: int, sign: int, row: Column) -> Column:
+        count, amount = F.col("_v").isNotNull().cast("long"), F.coalesce("_v", F.lit(0))
+        return F.struct(
+            (F.col("_slice") + later).alias("_slice"),
+            (F.col("_t") + later).alias("_t"),
+            (count * sign).alias("_n"),
+            (amount * sign).alias("_s"),
+            row.alias("_row"),
+        )
+
+    nothing = F.lit(None).cast(base.schema["_row"].dataType)
+    moves = base.select(*group, F.inline(F.array(move(0, 1, F.col("_row")), move(length, -1, nothing))))
+    until = Window.partitionBy(*group, "_slice").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
     return (
-        everything.withColumns({"_count": count, "_total": total})
-        .filter("_kind = 1")
+        moves.unionByName(carried, allowMissingColumns=True)
+        .withColumns({"_n": F.sum("_n").over(until), "_s": F.sum("_s").over(until)})
+        .filter(F.col("_row").isNotNull())
         .select(
             *[F.col(f"_row.{c}").alias(c) for c in keep],
-            F.col("_count").alias("rolling_count"),
-            fixed_mean(F.col("_total"), F.col("_count"), digits).alias(f"rolling_avg_{measure}"),
+            F.coalesce("_n", F.lit(0)).alias("rolling_count"),
+            fixed_mean(F.col("_s"), F.col("_n"), digits).alias(f"rolling_avg_{measure}"),
         )
     )
 

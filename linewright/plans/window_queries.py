@@ -6,7 +6,15 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ..operators.joins import FeatureLookup, WindowFeatures, asof_join, attach_windows, interval_left_join, training_set
+from ..operators.joins import (
+    FeatureLookup,
+    WindowFeatures,
+    asof_join,
+    attach_windows,
+    first_in_range,
+    interval_left_join,
+    training_set,
+)
 from ..operators.windows import degradation_signal, rolling, sliding, tumbling, window_family
 from .registry import EVENT_LABEL, LINE_LABEL, labelled_events, labelled_lines, query, table
 
@@ -141,6 +149,27 @@ def _(spark, folder):
     )
 
 
+@query(
+    "interval_join_first",
+    """SELECT c.event_id AS click_id, c.user_id, c.ts AS click_ts,
+      CASE WHEN p.ts <= c.ts + INTERVAL '24 hours' THEN p.purchase_id END AS purchase_id,
+      CASE WHEN p.ts <= c.ts + INTERVAL '24 hours' THEN p.ts END AS purchase_ts
+    FROM (SELECT * FROM events WHERE event_type = 'click') c
+    ASOF LEFT JOIN (SELECT user_id, ts, min(event_id) AS purchase_id FROM events WHERE event_type = 'purchase'
+      GROUP BY 1, 2) p ON c.user_id = p.user_id AND p.ts >= c.ts""",
+)
+def _(spark, folder):
+    events = table(spark, folder, "events")
+    clicks = events.filter("event_type = 'click'").select(
+        F.col("event_id").alias("click_id"), "user_id", F.col("ts").alias("click_ts")
+    )
+    purchases = events.filter("event_type = 'purchase'")
+    purchases = purchases.groupBy("user_id", F.col("ts").alias("purchase_ts")).agg(
+        F.min("event_id").alias("purchase_id")
+    )
+    return first_in_range(clicks, purchases, "user_id", "click_ts", "purchase_ts", "24 hours")
+
+
 UNIT_LABELS_SQL = f"""SELECT o_orderkey AS unit_id, o_orderdate AS event_time, o_totalprice, l_shipdate AS label_time,
       {LINE_LABEL} AS is_defective FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
       AND l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL '30 days'"""

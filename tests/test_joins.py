@@ -9,6 +9,7 @@ from linewright.operators.joins import (
     asof_join,
     attach_windows,
     duplicate_keys,
+    first_in_range,
     inspection_labels,
     interval_left_join,
     lookup,
@@ -100,6 +101,25 @@ def test_asof_against_brute_force(spark, salts, size):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+@pytest.mark.parametrize("salts,size", [(1, "1 day"), (3, "100 seconds")])
+def test_first_in_range_against_brute_force(spark, salts, size):
+    rng = random.Random(9)
+    key = lambda: 0 if rng.random() < 0.4 else rng.randrange(1, 6)
+    left = [(i, key(), at(rng.randrange(0, 3000))) for i in range(200)]
+    right = [(k, at(s), float(s)) for k, s in sorted({(key(), rng.randrange(0, 3000)) for _ in range(60)})]
+    a = spark.createDataFrame(left, "id int, k int, t timestamp")
+    b = spark.createDataFrame(right, "k int, rt timestamp, v double")
+    got = asof_join(
+        a, b, ["k"], "t", "rt", slice_size=size, salts=salts, forward=True, within="150 seconds"
+    ).select("id", "v")
+    want = []
+    for i, k, t in left:
+        seen = [v for rk, rt, v in right if rk == k and t <= rt <= t + timedelta(seconds=150)]
+        want.append((i, min(seen) if seen else None))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert first_in_range(a, b, "k", "t", "rt", "150 seconds").count() == 200
+
+
 def test_asof_rows_come_from_one_feature_row_even_with_null_values(spark):
     a = spark.createDataFrame([(1, 7, at(100))], "id int, k int, t timestamp")
     b = spark.createDataFrame([(7, at(10), 1.0, 2.0), (7, at(20), None, 3.0)], "k int, ft timestamp, v double, w double")
