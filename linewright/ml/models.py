@@ -121,10 +121,8 @@ def measure(scored: DataFrame, label: str) -> dict[str, float | None]:
     depends on a threshold comes from one count per threshold."""
     p = "probability_defective"
     ranking = evaluate.ranking_metrics(scored, label, p).first().asDict()
-    per_step = materialize(evaluate.threshold_counts(scored, label, p), "thresholds").coalesce(1)
-    half = evaluate.measures_of(per_step.filter("step = 50")).first().asDict()
-    best = evaluate.best_of(per_step).first().asDict()
-    return {k: float(v) if v is not None else None for k, v in {**ranking, **half, **best}.items()}
+    found = {**ranking, **evaluate.threshold_summary(scored, label, p).first().asDict()}
+    return {k: float(v) if v is not None else None for k, v in found.items()}
 
 
 MEASURES = ["avg_precision", "auc_roc", "auc_pr_trapezoid", "precision", "recall", "f1", "accuracy"]

@@ -236,15 +236,23 @@ def threshold_sweep(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def best_threshold(df: DataFrame, label: str, score: str) -> DataFrame:
     """The lowest threshold with the highest F1; 0.5 when no threshold has a positive F1."""
-    return best_of(threshold_counts(df, label, score))
+    return threshold_summary(df, label, score).select("best_threshold", "best_f1")
 
 
-def best_of(counts: DataFrame) -> DataFrame:
+def threshold_summary(df: DataFrame, label: str, score: str, step: int = 50) -> DataFrame:
+    """Measures at one threshold (a step of 0.01) beside the best threshold, in one row."""
+    counts = threshold_counts(df, label, score)
+    at = [F.max(F.when(F.col("step") == step, F.col(c))).alias(c) for c in ("tp", "fp", "fn", "tn")]
     f1 = _quality(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))["f1"]
-    best = counts.withColumn("f1", f1).agg(
-        F.max("f1").alias("best_f1"), F.max_by("threshold", F.struct("f1", -F.col("step"))).alias("t")
+    row = counts.withColumn("f1", f1).agg(
+        *at, F.max("f1").alias("best_f1"), F.max_by("threshold", F.struct("f1", -F.col("step"))).alias("t")
+    )
+    measures = _quality(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))
+    return row.select(
+        *[m.alias(name) for name, m in measures.items()],
+        F.when(F.col("best_f1") > 0, F.col("t")).otherwise(0.5).alias("best_threshold"),
+        "best_f1",
     )
-    return best.select(F.when(F.col("best_f1") > 0, F.col("t")).otherwise(0.5).alias("best_threshold"), "best_f1")
 
 
 def equalized_odds(df: DataFrame, group: str, label: str, prediction: str) -> DataFrame:

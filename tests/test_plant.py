@@ -6,6 +6,7 @@ import pytest
 from plant_files import T0, inspection, label, write_flush, write_landing, write_lines
 
 from linewright.plans.medallion import TABLES, WINDOW_SIZES, Plant, run_batch, run_streams, write_training_dataset
+from linewright.sources import stream_to_table
 from linewright.streaming import run_to_end, windowed_stream
 
 
@@ -162,3 +163,13 @@ def test_sliding_stream(spark, tmp_path):
     run_to_end(windows, str(tmp_path / "out"), str(tmp_path / "cp"))
     got = {r.window_start: r.avg_v for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {T0 + timedelta(hours=h): v for h, v in ((-1, 0.0), (0, 0.5), (1, 1.5), (2, 2.0))}
+
+
+def test_continuous_trigger_is_the_same_code(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([("m", T0, 1.0)], "machine_id string, timestamp timestamp, v double").write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    query = stream_to_table(stream, str(tmp_path / "out"), str(tmp_path / "cp"), every="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1

@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Row
 
 from linewright.operators.rules import RULES, Rule, rule_violations, rules_for, split_quarantine
@@ -97,3 +99,25 @@ def test_no_rules_means_valid(spark):
     valid, dead = split_quarantine(spark.range(3), [])
     assert valid.count() == 3 and dead.count() == 0
     assert Rule("t", "n", "true").tag == "t"
+
+
+VALUES = {
+    "voltage_v": st.one_of(st.none(), st.floats(0, 10), st.just(float("nan"))),
+    "shift": st.one_of(st.none(), st.sampled_from(["morning", "noon"])),
+    "unit_id": st.one_of(st.none(), st.just("u")),
+}
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.fixed_dictionaries(VALUES), min_size=1, max_size=20))
+def test_every_row_is_in_exactly_one_table(spark, changes):
+    rows = [{**GOOD, **c} for c in changes]
+    valid, dead = split_quarantine(frame(spark, rows), rules_for("inspections"))
+    good = sum(
+        c["unit_id"] is not None
+        and c["shift"] == "morning"
+        and c["voltage_v"] is not None
+        and 2.5 <= c["voltage_v"] <= 4.5
+        for c in changes
+    )
+    assert (valid.count(), dead.count()) == (good, len(rows) - good)
