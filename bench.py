@@ -81,7 +81,7 @@ def main() -> None:
         times[name] = round(min(runs[1:]), 3)
     spark.stop()
     total = round(sum(times.values()), 3)
-    sf = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    sf = float(os.path.basename(folder.rstrip("/")).removeprefix("sf") or 0)
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": times, "sf": sf}))
 
 

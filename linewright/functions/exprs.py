@@ -80,7 +80,8 @@ def defect_rate_all(label: str) -> Column:
 
 
 def derived_card_features() -> dict[str, Column]:
-    """Risk features of one card transaction."""
+    """Risk features of one card transaction. Names and conditions are fixed values."""
+
     def flag(condition: Column) -> Column:
         return condition.cast("int")
 

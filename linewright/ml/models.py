@@ -117,8 +117,8 @@ def convergence(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def measure(scored: DataFrame, label: str) -> dict[str, float | None]:
-    """Ranking measures, measures at the threshold 0.5, and the best threshold. Everything that
-    depends on a threshold comes from one count per threshold."""
+    """Ranking measures, measures at the threshold 0.5, and the best threshold, in three passes
+    over label and score: hand in a stored frame, not a model's lineage."""
     p = "probability_defective"
     ranking = evaluate.ranking_metrics(scored, label, p).first().asDict()
     found = {**ranking, **evaluate.threshold_summary(scored, label, p).first().asDict()}

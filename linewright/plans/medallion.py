@@ -128,9 +128,10 @@ def _labelled_columns() -> list[str]:
     return [*INSPECTION_KEYS, *SENSORS]
 
 
-def write_gold(plant: Plant, as_of: str, digits: int = 6) -> None:
+def write_gold(plant: Plant, as_of: str, digits: int | None = None) -> None:
     """Window tables and profiles from the labelled inspections. The window tables are rolled
-    up from one pass; their rates count only labels known when the window closed."""
+    up from one pass; their rates count only labels known when the window closed. ``digits``
+    makes means exact whole-number totals, which must fit 64 bits per window."""
     facts = plant.read("silver_inspections_labeled")
     family = window_family(
         facts,
@@ -173,7 +174,7 @@ def write_training_dataset(plant: Plant) -> None:
     )
 
 
-def run_batch(plant: Plant, as_of: str, only_first_label: bool = False) -> None:
+def run_batch(plant: Plant, as_of: str, only_first_label: bool = False, digits: int | None = None) -> None:
     """Rebuild every table from the landing files."""
     spark = plant.spark
     write_catalogs(plant)
@@ -191,7 +192,7 @@ def run_batch(plant: Plant, as_of: str, only_first_label: bool = False) -> None:
     )
     plant.write("silver_inspections_labeled", with_month_partitions(joined, "timestamp"), gather=True)
     plant.write("gold_inspection_spine", _spine(plant.read("silver_inspections_labeled")))
-    write_gold(plant, as_of)
+    write_gold(plant, as_of, digits)
     write_training_dataset(plant)
 
 
@@ -199,7 +200,7 @@ def _spine(labelled: DataFrame) -> DataFrame:
     return with_month_partitions(spine(labelled, ["line_id", "shift", *SENSORS]), "timestamp")
 
 
-def run_streams(plant: Plant, as_of: str) -> None:
+def run_streams(plant: Plant, as_of: str, digits: int | None = None) -> None:
     """One triggered run: every stream takes what is new since its checkpoint, and profiles are
     recomputed. Open windows and inspections that may still get a label wait in state."""
     spark = plant.spark
@@ -227,6 +228,7 @@ def run_streams(plant: Plant, as_of: str) -> None:
             "is_defective",
             "label_available_date",
             delay=LABELLED_DELAY,
+            digits=digits,
         )
         plant.append_stream(f"gold_machine_agg_{tag}", windows)
     write_profiles(plant, as_of)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..ml import models
 from ..operators.dataset import training_rows
 from ..operators.lifecycle import promotion_decision, promotion_events
+from ..session import materialize
 from ..sources.writers import overwrite, overwrite_table, set_properties
 
 METRIC = "avg_precision"
@@ -58,7 +59,8 @@ def promote(
         return models.fit(stages, classifier(label, **settings), training_rows(tagged, mode), label)
 
     def measured(model: PipelineModel) -> dict:
-        return models.measure(models.score(model, test.filter(F.col(label).isNotNull())), label)
+        scored = models.score(model, test.filter(F.col(label).isNotNull()))
+        return models.measure(materialize(scored.select(label, "probability_defective"), "scores"), label)
 
     challenger = fitted("train_val")
     ours = measured(challenger)

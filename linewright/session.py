@@ -26,6 +26,7 @@ def build_session(app: str = "linewright", master: str | None = None, **conf: ob
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.ui.enabled": "false",
     }
     settings.update({key: str(value) for key, value in conf.items()})

@@ -111,3 +111,19 @@ def test_scratch_tables_live_in_the_shared_folder(spark):
 def test_event_schema_has_the_documented_columns():
     assert len(event_schema("inspections", rescue=False)) == 22
     assert len(event_schema("labels", rescue=False)) == 3
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("bucket_a", "bucket_b"):
+            rows = spark.range(500).select(F.col("id").cast("string").alias("unit_id"), F.lit(name).alias(name))
+            sources.overwrite_table(rows, name, buckets=4, bucket_by=["unit_id"])
+        joined = spark.table("bucket_a").join(spark.table("bucket_b"), "unit_id", "left")
+        assert joined.count() == 500
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS bucket_a")
+        spark.sql("DROP TABLE IF EXISTS bucket_b")
