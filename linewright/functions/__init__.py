@@ -1,4 +1,5 @@
 from .exprs import (
+    CARD_FEATURES,
     as_fixed,
     as_flag,
     between_closed,
@@ -15,6 +16,7 @@ from .exprs import (
 )
 
 __all__ = [
+    "CARD_FEATURES",
     "as_fixed",
     "as_flag",
     "between_closed",

@@ -79,16 +79,15 @@ def defect_rate_all(label: str) -> Column:
     return percent(F.count_if(F.col(label) == 1), F.count(F.lit(1)))
 
 
+# Names and conditions of the risk features of one card transaction.
+CARD_FEATURES = {
+    "is_high_risk_method": "cast(is_tor_or_vpn = 1 OR three_ds_result = 'FAILED' AS int)",
+    "is_foreign_ip": "cast(ip_country_match = 0 AS int)",
+    "is_unrecognized_device": "cast(device_fingerprint_known = 0 AS int)",
+    "amount_log": "log1p(amount)",
+    "is_cross_border_online": "cast(cross_border = 1 AND payment_method = 'online' AS int)",
+}
+
+
 def derived_card_features() -> dict[str, Column]:
-    """Risk features of one card transaction. Names and conditions are fixed values."""
-
-    def flag(condition: Column) -> Column:
-        return condition.cast("int")
-
-    return {
-        "is_high_risk_method": flag((F.col("is_tor_or_vpn") == 1) | (F.col("three_ds_result") == "FAILED")),
-        "is_foreign_ip": flag(F.col("ip_country_match") == 0),
-        "is_unrecognized_device": flag(F.col("device_fingerprint_known") == 0),
-        "amount_log": F.log1p("amount"),
-        "is_cross_border_online": flag((F.col("cross_border") == 1) & (F.col("payment_method") == "online")),
-    }
+    return {name: F.expr(sql) for name, sql in CARD_FEATURES.items()}

@@ -93,6 +93,15 @@ def training_rows(tagged: DataFrame, mode: str) -> DataFrame:
     return tagged.filter(F.col("split").isin(TRAIN_MODES[mode]))
 
 
+def rows_by_mode(tagged: DataFrame) -> DataFrame:
+    """Every training mode's rows under a ``mode`` column, from one scan."""
+    used = {part: [m for m, parts in TRAIN_MODES.items() if part in parts] for part in ("train", "validation", "test")}
+    modes = F.array().cast("array<string>")
+    for part, names in used.items():
+        modes = F.when(F.col("split") == part, F.array(*[F.lit(n) for n in names])).otherwise(modes)
+    return tagged.withColumn("mode", F.explode(modes))
+
+
 def split_report(tagged: DataFrame, time: str, label: str) -> DataFrame:
     """Bounds, rows and defect rate of each part, in one pass."""
     return tagged.groupBy("split").agg(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -132,11 +131,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     tagged = dataset.calendar_split(table(spark, folder, "lineitem"), "l_shipdate", 1999, 2000)
-    parts = [
-        dataset.training_rows(tagged, mode).select(F.lit(mode).alias("mode"), "l_orderkey", "l_linenumber", "l_shipdate")
-        for mode in dataset.TRAIN_MODES
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return dataset.rows_by_mode(tagged).select("mode", "l_orderkey", "l_linenumber", "l_shipdate")
 
 
 _WEIGHTS = f"""(SELECT {LINE_LABEL} AS label, l_orderkey, l_linenumber FROM lineitem WHERE {LINE_LABEL} IS NOT NULL)"""

@@ -8,7 +8,7 @@ from ..functions import as_fixed, as_flag, parse_timestamp
 from ..operators.joins import lookup
 from ..operators.profiles import profile
 from ..operators.rules import Rule, flag_quarantine, rule_violations
-from ..sources import append_flows, changed_rows, fingerprint, latest_per_key
+from ..sources import append_flows, apply_changes, changed_rows, fingerprint, latest_per_key
 from .registry import LINE_LABEL, labelled_lines, query, table
 
 
@@ -61,6 +61,17 @@ def _(spark, folder):
     return changed_rows(_user_totals(events, "2024-01-15"), _user_totals(events, "2024-01-22"), ["user_id"])
 
 
+@query(
+    "apply_changes",
+    """SELECT user_id, count(*) AS n_events, sum(cast(round(value * 100) AS BIGINT))::BIGINT AS total_cents
+    FROM events WHERE ts < TIMESTAMP '2024-01-22' GROUP BY 1""",
+)
+def _(spark, folder):
+    events = table(spark, folder, "events")
+    old, new = _user_totals(events, "2024-01-15"), _user_totals(events, "2024-01-22")
+    return apply_changes(old, changed_rows(old, new, ["user_id"]), ["user_id"])
+
+
 @query(
     "latest_per_key",
     """SELECT user_id, event_id, ts, event_type, value FROM events

@@ -10,6 +10,7 @@ from .readers import (
     with_audit,
 )
 from .writers import (
+    apply_changes,
     changed_rows,
     comment_table,
     export_coefficients,
@@ -26,6 +27,7 @@ from .writers import (
 
 __all__ = [
     "append_flows",
+    "apply_changes",
     "changed_rows",
     "comment_table",
     "export_coefficients",

@@ -81,6 +81,18 @@ def changed_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """The target snapshot after the changes of :func:`changed_rows`: untouched rows, plus the new
+    values of inserted and updated ones. One shuffle of each side on the unique keys."""
+    columns = target.columns
+    values = [c for c in columns if c not in keys]
+    old = target.select(*keys, F.struct(*values).alias("_old"))
+    new = changes.select(*keys, "op", F.struct(*values).alias("_new"))
+    now = F.when(F.col("op").isNull(), F.col("_old")).when(F.col("op") != "D", F.col("_new"))
+    joined = old.join(new, keys, "full").withColumn("_now", now).filter(F.col("_now").isNotNull())
+    return joined.select(*[c if c in keys else F.col(f"_now.{c}").alias(c) for c in columns])
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The newest row per key, combined before the shuffle, so a hot key sends one row per task."""
     values = [c for c in df.columns if c not in keys]

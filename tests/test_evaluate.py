@@ -142,3 +142,19 @@ def test_drift(spark):
     assert found["b"].psi == pytest.approx(0.0) and found["b"].ks == pytest.approx(0.0)
     shares = drift.binned_shares(df, "now", edges).filter("feature = 'a'").collect()
     assert math.isclose(sum(r.cur_share for r in shares), 1.0)
+
+
+def test_weighted_measures_match_mllib(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    rng = random.Random(11)
+    rows = [(float(rng.random() < 0.3), float(rng.random() < 0.4)) for _ in range(200)]
+    df = spark.createDataFrame(rows, "y double, q double")
+    got = evaluate.weighted_metrics(df, "y", "q").first()
+    evaluator = MulticlassClassificationEvaluator(labelCol="y", predictionCol="q")
+    for name, metric in {
+        "weighted_precision": "weightedPrecision",
+        "weighted_recall": "weightedRecall",
+        "weighted_f1": "weightedFMeasure",
+    }.items():
+        assert got[name] == pytest.approx(evaluator.evaluate(df, {evaluator.metricName: metric}))

@@ -68,6 +68,13 @@ def test_changed_rows_are_null_safe(spark):
     assert sorted(map(tuple, sources.changed_rows(new, old, ["k"]).collect()))[-1] == (5, "D", None)
 
 
+def test_applied_changes_give_the_new_snapshot(spark):
+    old = spark.createDataFrame([(1, 1.0), (2, None), (3, 3.0), (6, 6.0)], "k int, v double")
+    new = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, None), (5, None)], "k int, v double")
+    got = sources.apply_changes(old, sources.changed_rows(old, new, ["k"]), ["k"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, new.collect()))
+
+
 def test_latest_row_is_one_row(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("a", 3, None)], "k string, t int, v string")
     assert tuple(sources.latest_per_key(df, ["k"], ["t"]).first()) == ("a", 3, None)
