@@ -2,7 +2,6 @@ from .exprs import (
     CARD_FEATURES,
     as_fixed,
     as_flag,
-    between_closed,
     defect_rate_all,
     defect_rate_labelled,
     derived_card_features,
@@ -19,7 +18,6 @@ __all__ = [
     "CARD_FEATURES",
     "as_fixed",
     "as_flag",
-    "between_closed",
     "defect_rate_all",
     "defect_rate_labelled",
     "derived_card_features",

@@ -49,10 +49,6 @@ def as_flag(column: Column | str) -> Column:
     return F.coalesce(value.cast("double"), F.lit(0.0))
 
 
-def between_closed(column: str, low: object, high: object) -> Column:
-    return F.col(column).between(F.lit(low), F.lit(high))
-
-
 def percent(part: Column, whole: Column) -> Column:
     """``part / whole * 100``, NULL for an empty whole."""
     return F.try_divide(part, whole) * 100

@@ -155,7 +155,10 @@ def grid_search(
     spark, parent = train.sparkSession, uuid.uuid4().hex
     train, validation = _trainable(train, label), _trainable(validation, label)
     preparer = Pipeline(stages=stages).fit(train)
-    part = lambda df, name: preparer.transform(df).select(FEATURES, label, WEIGHT, F.lit(name).alias("part"))
+
+    def part(df: DataFrame, name: str) -> DataFrame:
+        return preparer.transform(df).select(FEATURES, label, WEIGHT, F.lit(name).alias("part"))
+
     vectors = materialize(part(train, "train").unionByName(part(validation, "val")), "vectors")
 
     rows, models = [], {}

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import epoch_us, seconds_of, slice_start
+from .slices import fitting_slice
 
 _US = 1_000_000
 
@@ -129,8 +130,8 @@ def asof_join(
     spine_time: str,
     feature_time: str,
     prefix: str = "",
-    slice_size: str = "1 day",
-    salts: int = 4,
+    slice_size: str | None = None,
+    salts: int = 1,
     forward: bool = False,
     within: str | None = None,
 ) -> DataFrame:
@@ -141,8 +142,11 @@ def asof_join(
     Time is cut into slices. The value at the start of a slice comes from one row per (key,
     slice); inside a slice spine and feature rows are merged in time order. Groups are thus one
     key in one slice, and with ``salts`` the spine rows of such a group are dealt by content
-    hash over that many groups, each with its own copy of the slice's feature rows.
+    hash over that many groups, each with its own copy of the slice's feature rows. Without
+    ``slice_size`` both are chosen by counting the rows of the busiest groups.
     """
+    if slice_size is None:
+        slice_size, salts = fitting_slice([(spine, spine_time), (features, feature_time)], keys)
     width = F.lit(seconds_of(slice_size) * _US).cast("long")
 
     def clock(column: str) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from ..functions import as_fixed, epoch_us, fixed_mean, from_epoch_us, percent, seconds_of, slice_start
+from .slices import WIDTHS, fitting_slice
 
 
 def _label_values(
@@ -191,9 +192,9 @@ def rolling(
     time: str,
     size: str,
     measure: str,
-    step: str,
     digits: int,
     keep: list[str],
+    step: str | None = None,
 ) -> DataFrame:
     """For every row, count and mean of the earlier rows of its key within ``size`` before it
     (the row itself and rows at the same instant excluded).
@@ -201,9 +202,13 @@ def rolling(
     A row adds its value at its own time and takes it back ``size`` later; a row's answer is the
     running total just before its time. Time is cut into slices of ``step``; a slice starts
     from the totals of the slices that lie in the window at its start, so slices of one key
-    run as separate groups and a hot key spreads over many tasks. Totals are whole numbers:
-    nothing is lost by the subtraction.
+    run as separate groups and a hot key spreads over many tasks. Without ``step`` it is chosen
+    by counting the rows of the busiest slices. Totals are whole numbers: nothing is lost by
+    the subtraction.
     """
+    if step is None:
+        even = [w for w in WIDTHS if seconds_of(size) % seconds_of(w) == 0]
+        step, _ = fitting_slice([(df, time)], keys, even)
     length, width = seconds_of(size) * 1_000_000, seconds_of(step) * 1_000_000
     if length % width:
         raise ValueError("size must be a multiple of step")

@@ -111,7 +111,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     events = table(spark, folder, "events")
-    return rolling(events, ["user_id"], "ts", "24 hours", "value", "1 hour", 2, keep=["event_id", "user_id", "ts"])
+    return rolling(events, ["user_id"], "ts", "24 hours", "value", 2, keep=["event_id", "user_id", "ts"])
 
 
 _H, _W = _window_sql("1 hour"), _window_sql("7 days")
@@ -204,7 +204,7 @@ _PURCHASES = "(SELECT event_id, user_id, ts, value FROM events WHERE event_type
 )
 def _(spark, folder):
     features = user_windows(spark, folder, "24 hours").drop("window_start")
-    return asof_join(_purchases(spark, folder), features, ["user_id"], "ts", "window_end", salts=2)
+    return asof_join(_purchases(spark, folder), features, ["user_id"], "ts", "window_end")
 
 
 @query(
@@ -216,7 +216,7 @@ def _(spark, folder):
 def _(spark, folder):
     errors = table(spark, folder, "events").filter("event_type = 'error'")
     errors = errors.groupBy("user_id", F.col("ts").alias("err_ts")).agg(F.max("value").alias("err_value"))
-    return asof_join(_purchases(spark, folder), errors, ["user_id"], "ts", "err_ts", slice_size="6 hours")
+    return asof_join(_purchases(spark, folder), errors, ["user_id"], "ts", "err_ts", slice_size="6 hours", salts=2)
 
 
 _FEATURES = ["avg_value", "defect_rate_labelled_pct", "inspection_count"]

@@ -25,6 +25,8 @@ def build_session(app: str = "linewright", master: str | None = None, **conf: ob
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # hash join instead of sorting both sides, where all partitions turn out to be this small
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.ui.enabled": "false",
@@ -37,8 +39,10 @@ def build_session(app: str = "linewright", master: str | None = None, **conf: ob
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one only in local mode."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
+    configured = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        or spark.sparkContext.getCheckpointDir()
     )
     if configured:
         return configured.rstrip("/")

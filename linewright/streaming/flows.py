@@ -57,8 +57,8 @@ def windowed_stream(
     digits: int | None = None,
     slide: str | None = None,
 ) -> DataFrame:
-    """Window table of a stream, tumbling or with ``slide`` overlapping; a window appears once the watermark has passed its end, and
-    rows later than that are left out."""
+    """Window table of a stream, tumbling or with ``slide`` overlapping. A window appears once the
+    watermark has passed its end; rows later than that are left out."""
     rows = watermarked(events, time, delay)
     return tumbling(rows, keys, time, size, measures, label, label_known, digits, slide)
 

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from linewright.operators.slices import fitting_slice
 from linewright.operators.windows import rolling, sliding, tumbling, window_family
 
 T0 = datetime(2024, 1, 4)  # a Thursday: starts a week counted from 1970
@@ -80,7 +81,7 @@ def test_sliding_equals_row_copies(spark, size, slide):
     assert sorted(map(str, panes.collect())) == sorted(map(str, copies.collect()))
 
 
-@pytest.mark.parametrize("step", ["1 hour", "24 hours", "6 hours"])
+@pytest.mark.parametrize("step", ["1 hour", "24 hours", "6 hours", None])
 def test_rolling_against_brute_force(spark, step):
     rng = random.Random(5)
     data = rows(300)
@@ -88,7 +89,7 @@ def test_rolling_against_brute_force(spark, step):
     data += [(1000, "hot", at(days=2), 1.0, None), (1001, "hot", at(days=2), 2.0, None)]
     data += [(1002, "hot", at(days=3), 4.0, None), (1003, "hot", at(days=3, microseconds=1), 8.0, None)]
     data += [(2000 + i, "hot", at(days=10, seconds=rng.randrange(0, 3600)), float(i), None) for i in range(50)]
-    got = rolling(frame(spark, data), ["machine"], "t", "24 hours", "v", step, 2, keep=["id"])
+    got = rolling(frame(spark, data), ["machine"], "t", "24 hours", "v", 2, ["id"], step)
     found = {r.id: (r.rolling_count, r.rolling_avg_v) for r in got.collect()}
     by_machine = defaultdict(list)
     for i, m, t, v, _ in data:
@@ -102,4 +103,16 @@ def test_rolling_against_brute_force(spark, step):
 
 def test_rolling_refuses_uneven_slices(spark):
     with pytest.raises(ValueError):
-        rolling(frame(spark, rows(5)), ["machine"], "t", "24 hours", "v", "7 hours", 2, keep=["id"])
+        rolling(frame(spark, rows(5)), ["machine"], "t", "24 hours", "v", 2, ["id"], "7 hours")
+
+
+def test_slices_are_cut_until_the_hot_key_fits(spark):
+    # 300 rows of one key in ten minutes, three rows of others
+    data = [("hot", at(seconds=2 * i)) for i in range(300)] + [(f"m{i}", at(days=i)) for i in range(3)]
+    df = spark.createDataFrame(data, "machine string, t timestamp")
+    pick = lambda rows: fitting_slice([(df, "t")], ["machine"], rows=rows)
+    assert pick(1000) == ("1 day", 1)
+    assert pick(100) == ("1 minute", 1)
+    assert pick(1) == ("1 second", 1)
+    assert fitting_slice([(df, "t")], ["machine"], ["1 day"], rows=100) == ("1 day", 3)
+    assert fitting_slice([(df.limit(0), "t")], ["machine"]) == ("1 day", 1)
