@@ -27,7 +27,7 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 
 #: Bytes of a word given to the transducer at a time.
 BLOCK = 1024
-#: Entries that each table of known words or borders holds before it starts anew.
+#: Words that the table of known words holds before its older half is forgotten; the table of borders holds twice as many.
 ROOM = 1 << 18
 
 
@@ -64,7 +64,8 @@ class Vocabulary:
         # tokens that their own bytes give; the others never come out
         self.live = {b: i for b, i in self.id_of.items() if len(b) == 1 or i in self.made and not self.crosses(*self.made[i][1:], self.made[i][0])}
         self.longest = max(map(len, self.live))
-        self.begins = {b[:n] for b in self.live for n in range(1, len(b) + 1)}
+        #: the token of every live token's bytes, and None for what only begins one
+        self.begins = dict.fromkeys(b[:n] for b in self.live for n in range(1, len(b) + 1)) | self.live
 
     def crosses(self, left: int, right: int, before: int | None = None) -> bool:
         """Whether a merge, of a rank below `before` if given, goes over the border of two neighbouring tokens.
@@ -128,7 +129,7 @@ class Vocabulary:
 class Transducer:
     """Bytes of one word in, tokens out as soon as they are stable; memory follows the vocabulary's lookahead."""
 
-    def __init__(self, vocabulary: Vocabulary, borders: dict[tuple[int, int], bool]):
+    def __init__(self, vocabulary: Vocabulary, borders: dict[int | None, dict[int, bool]]):
         self.v, self.borders = vocabulary, borders
         self.text = b""  # from the last stable border on
         self.last: list[int | None] = [None]  # the last token of each prefix of it
@@ -137,27 +138,26 @@ class Transducer:
         self.lag = 0  # the longest that was held
 
     def _extend(self, final: bool) -> None:
-        text, last, live, begins, borders = self.text, self.last, self.v.live, self.v.begins, self.borders
-        last.extend([None] * (len(text) + 1 - len(last)))
-        stop = len(text) if final else max(self.done, len(text) - self.v.longest + 1)
+        text, last, begins, borders, crosses = self.text, self.last, self.v.begins, self.borders, self.v.crosses
+        size = len(text)
+        last.extend([None] * (size + 1 - len(last)))
+        stop = size if final else max(self.done, size - self.v.longest + 1)
         for start in range(self.done, stop):
             before = last[start] if start else self.prior
-            for end in range(start + 1, len(text) + 1):
-                piece = text[start:end]
-                if piece not in begins:
-                    break
-                token = live.get(piece)
+            row = borders.get(before)
+            if row is None:
+                row = borders[before] = {}
+            for end in range(start + 1, size + 1):
+                token = begins.get(text[start:end], -1)
                 if token is None:
                     continue
-                if before is not None:
-                    crossing = borders.get((before, token))
-                    if crossing is None:
-                        if len(borders) >= ROOM:
-                            borders.clear()
-                        crossing = borders[before, token] = self.v.crosses(before, token)
-                    if crossing:
-                        continue
-                last[end] = token
+                if token == -1:
+                    break
+                crossing = row.get(token)
+                if crossing is None:
+                    crossing = row[token] = before is not None and crosses(before, token)
+                if not crossing:
+                    last[end] = token
         self.done = stop
 
     def _back(self, position: int) -> int:
@@ -199,8 +199,9 @@ class Codec:
 
     def __init__(self, path: str):
         self.v = Vocabulary(path)
-        self.borders: dict[tuple[int, int], bool] = {}
+        self.borders: dict[int | None, dict[int, bool]] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.added = regex.compile("|".join(map(regex.escape, sorted(self.v.added, key=len, reverse=True)))) if self.v.added else None
         self.as_bytes = {i: i.to_bytes(4, "little") for i in self.v.bytes_of}
 
@@ -216,17 +217,30 @@ class Codec:
         return b"".join(map(self.as_bytes.__getitem__, tokens))
 
     def _plain(self, text: str, out: bytearray) -> None:
-        known = self.known
-        words = WORDS.finditer(text)
-        while some := [m[0] for m in islice(words, 4096)]:
-            for word in set(some).difference(known):
-                if len(known) >= ROOM:
-                    known = self.known = {w: known[w] for w in some if w in known}
-                known[word] = self.word(word)
-            out += b"".join(map(known.__getitem__, some))
-            for word in some:
-                if len(word) > 64:
-                    known.pop(word, None)
+        words = WORDS.finditer(text) if len(text) > 1 << 20 else iter(WORDS.findall(text))
+        while some := list(islice(words, 1 << 16)):
+            some = some if isinstance(some[0], str) else [m[0] for m in some]
+            new = set(some).difference(self.known)
+            if new:
+                self._learn(new, some)
+            out += b"".join(map(self.known.__getitem__, some))
+            if new:
+                for word in [w for w in new if len(w) > 64]:
+                    del self.known[word]
+
+    def _learn(self, new: set[str], some: list[str]) -> None:
+        if len(self.known) > ROOM:
+            self.older, self.known = self.known, {}
+            new |= set(some)
+            if sum(map(len, self.borders.values())) > 2 * ROOM:
+                self.borders.clear()
+        known, older, live, as_bytes = self.known, self.older, self.v.live, self.as_bytes
+        for word in new:
+            ids = older.get(word)
+            if ids is None:
+                whole = live.get(word.encode())
+                ids = self.word(word) if whole is None else as_bytes[whole]
+            known[word] = ids
 
     def encode(self, text: str) -> bytes:
         """The ids, as little-endian unsigned 32-bit integers."""
