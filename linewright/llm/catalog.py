@@ -5,10 +5,14 @@ from __future__ import annotations
 from . import (  # noqa: F401
     bpe,
     exact_dedup,
+    language,
+    near_dedup,
     packing,
+    secret_scan,
     sequence_files,
     sharding,
     topk,
+    toxicity,
 )
 from .common import ORACLES, QUERIES
 
