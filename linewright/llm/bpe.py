@@ -298,6 +298,23 @@ def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decod
     return docs.withColumn(text, run(F.coalesce(F.col(ids), F.lit(b""))))
 
 
+def round_trip(docs: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded", text_col: str = "text") -> DataFrame:
+    """All columns, `ids` and `text` as `encode` and then `decode` give them, by one Python worker for each task."""
+    if free_name([*docs.columns, text], ids) != ids or free_name(docs.columns, text) != text:
+        raise ValueError(f"there is a column {ids} or {text} already")
+    held = free_name(docs.columns, "both")
+
+    @F.pandas_udf("ids binary, text string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        machine = codec(tokenizer)
+        for texts in batches:
+            found = [machine.encode(t) for t in texts]
+            yield pd.DataFrame({"ids": found, "text": [machine.decode(i) for i in found]}, dtype=object)
+
+    both = docs.withColumn(held, run(whole(text_col)))
+    return both.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"{held}.ids").alias(ids), F.col(f"{held}.text").alias(text))
+
+
 def ids_as_integers(ids: bytes) -> Iterable[int]:
     return memoryview(ids).cast("I").tolist()
 
@@ -309,7 +326,7 @@ def bpe_transducer(spark: SparkSession, folder: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    both = decode(encode(docs, path), path)
+    both = round_trip(docs, path)
     return both.select(
         "doc_id",
         F.floor(F.length("ids") / 4).alias("n_tokens"),

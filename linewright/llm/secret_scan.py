@@ -118,15 +118,15 @@ FOUND = (
 )
 
 
-@F.pandas_udf(f"struct<{FOUND.replace('base ', 'base:').replace('tested ', 'tested:')}>")
 def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    named = lambda names, rows: [dict(zip(names, x, strict=True)) for x in rows]
     for texts in batches:
         base = [base_spans(t) for t in texts]
         tested = [candidates(t, b) for t, b in zip(texts, base, strict=True)]
         yield pd.DataFrame(
             {
-                "base": [[dict(zip(("start", "rank", "stop"), x, strict=True)) for x in row] for row in base],
-                "tested": [[dict(zip(("start", "stop", "stratum", "p", "inside"), x, strict=True)) for x in row] for row in tested],
+                "base": [named(("start", "rank", "stop"), row) for row in base],
+                "tested": [named(("start", "stop", "stratum", "p", "inside"), row) for row in tested],
             }
         )
 
@@ -163,7 +163,7 @@ def find_secrets(
     if free_name(keep, spans) != spans:
         raise ValueError(f"there is a column {spans} already")
     found = free_name(docs.columns, "found")
-    scanned = docs.withColumn(found, _scan(whole(text_col))).select(*[F.col(f"`{c}`") for c in keep], found)
+    scanned = docs.withColumn(found, F.pandas_udf(_scan, FOUND)(whole(text_col))).select(*[F.col(f"`{c}`") for c in keep], found)
     scanned = materialize(scanned, "scanned")
     each = scanned.select(F.explode(f"{found}.tested").alias("c")).select("c.stratum", "c.p")
     bin_of = F.size(F.filter(F.array(*map(F.lit, EDGES)), lambda e: e < F.col("p")))

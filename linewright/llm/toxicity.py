@@ -38,7 +38,9 @@ IDENTITY = (
 PER_CLASS = 6000
 FEATURES = 4096
 LEAST_TEXTS = 5
-RIDGE, FAIRNESS = 2e-4, 1.0
+#: Likelihood ratio that a feature has to reach (chance alone does in one of 10,000).
+LEAST_RATIO = 15.1
+RIDGE, FAIRNESS = 2e-5, 1.0
 THRESHOLD = 0.7
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -97,7 +99,7 @@ def _count_features(sample: DataFrame) -> DataFrame:
     return parts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def fit_weights(texts: list[list[int]], labels: np.ndarray, pairs: list[tuple[list[int], list[int]]], size: int, steps: int = 300) -> np.ndarray:
+def fit_weights(texts: list[list[int]], labels: np.ndarray, pairs: list[tuple[list[int], list[int]]], size: int, steps: int = 500) -> np.ndarray:
     """Weights and, last, the bias: logistic loss with classes of equal weight, ridge, and the mean squared score change of `pairs`."""
 
     def sparse(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +148,7 @@ def fit(
 
     `labels` has the id and toxic (0 or 1; other values and null ids are left out; one label of 1 makes a text toxic). A sample of about
     `per_class` rows of each class is written and counted over the cluster; the `size` features that tell the classes apart
-    best and occur in LEAST_TEXTS texts make the model. The driver gets these and the sample's indices of them.
+    best, by their likelihood ratio, make the model. The driver gets these and the sample's indices of them.
     Without rows of both classes the model scores 0 throughout.
     """
     sample = materialize(_labelled(docs, labels, learn, per_class, id_col, text_col), "toxicity-sample")
@@ -154,10 +156,18 @@ def fit(
     ones, zeros = totals.get(1, 0), totals.get(0, 0)
     if not ones or not zeros:
         return Model({}, None)
-    a, b = (F.col("toxic") + 0.5) / (ones + 1.0), (F.col("other") + 0.5) / (zeros + 1.0)
-    gain = F.abs(a - b) * F.abs(F.log(a / b))  # how far the feature's presence tells the classes apart
-    counted = _count_features(sample).filter(F.col("toxic") + F.col("other") >= LEAST_TEXTS)
-    best = [r["feature"] for r in counted.select("feature", gain.alias("gain")).orderBy(F.desc("gain"), "feature").limit(size).collect()]
+    # likelihood ratio of "the class matters" against "it does not"
+    n = ones + zeros
+    both = F.col("toxic") + F.col("other")
+    cell = lambda seen, share: seen * F.log(F.greatest(seen, F.lit(1e-9)) / (share / n))
+    ratio = 2 * (
+        cell(F.col("toxic"), both * ones)
+        + cell(F.col("other"), both * zeros)
+        + cell(ones - F.col("toxic"), (n - both) * ones + 1e-9)
+        + cell(zeros - F.col("other"), (n - both) * zeros + 1e-9)
+    )
+    counted = _count_features(sample).filter(both >= LEAST_TEXTS).select("feature", ratio.alias("ratio")).filter(F.col("ratio") >= LEAST_RATIO)
+    best = [r["feature"] for r in counted.orderBy(F.desc("ratio"), "feature").limit(size).collect()]
     index = {f: i for i, f in enumerate(best)}
 
     def indices(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from linewright.llm import language, toxicity
 
-EVERY = F.lit(True)
+EVERY = "true"
 
 
 def toxic_corpus(seed=1, size=900):

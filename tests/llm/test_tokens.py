@@ -102,6 +102,8 @@ def test_codec_over_a_table(docs_of, odd_rows):
     docs = docs_of(odd_rows).withColumnRenamed("doc_id", "start")  # other names of columns do no harm
     rows = bpe.decode(bpe.encode(docs, BYTE), BYTE).collect()
     assert len(rows) == len(odd_rows)
+    again = bpe.round_trip(docs, BYTE).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, rows))
     for row in rows:
         assert bpe.ids_as_integers(row["ids"]) == library(BYTE, [row["text"] or ""])[0]
         assert row["decoded"] == (row["text"] or "")
