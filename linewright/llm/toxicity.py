@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from linewright.session import materialize
 
 from .common import bucket_of, free_name, query, table, whole
+from .exact_dedup import small
 
 # Identity terms that may stand for each other.
 IDENTITY = (
@@ -78,8 +79,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, learn, per_class: int, id_col:
     counts = dict(rows.select("id").join(by_id, "id").groupBy("label").count().collect())
     share = F.create_map(F.lit(0), F.lit(per_class / max(1, counts.get(0, 0))), F.lit(1), F.lit(per_class / max(1, counts.get(1, 0))))
     chosen = F.shiftrightunsigned(F.xxhash64("id", F.lit("sample")), 11) * F.lit(2.0**-53) < share[F.col("label")]
-    picked = by_id.filter(chosen)
-    return rows.join(picked, "id").select("text", "label")
+    picked = materialize(rows.select("id").distinct().join(by_id.filter(chosen), "id"), "toxicity-ids")
+    return rows.join(small(picked), "id").select("text", "label")  # about 2 * per_class ids
 
 
 def _count_features(sample: DataFrame) -> DataFrame:
