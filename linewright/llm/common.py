@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linewright.session import scratch_path
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -60,3 +64,28 @@ def free_name(taken: Iterable[str], name: str) -> str:
 def bucket_of(key: str, modulus: int) -> Column:
     """crc32 of a key written as text, modulo: which fold a row is in. A null key counts as empty."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write a frame below the shared folder and read it back; within `dropping`, the table goes at its end unless kept."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    if not keep and (tables := _written.get()) is not None:
+        tables.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def dropping(spark: SparkSession) -> Iterator[None]:
+    """Tables that are written inside are deleted at the end."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        for path in _written.get():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _written.reset(token)

@@ -7,9 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewright.session import materialize
-
-from .common import query, table, whole
+from .common import dropping, materialize, query, table, whole
 
 #: Code points of normalised text in a block.
 BLOCK = 4096
@@ -33,29 +31,20 @@ def _named(distinct: DataFrame, *keys: str) -> DataFrame:
     return materialize(ordered.withColumn("name", F.monotonically_increasing_id()), "names")
 
 
-def blocks_of(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
-    """A row for each block; the first of a document also has what is known of the document. Written once."""
-    text = whole(text_col)
+def blocks_of(numbered: DataFrame) -> DataFrame:
+    """From (uid, id, text), a row for each block; the first of a document also has what is known of the document. Written once."""
     parts = F.regexp_extract_all("plain", F.lit("(?s).{1,%d}" % BLOCK), F.lit(0))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None).cast("int")
-    each = docs.select(
-        F.monotonically_increasing_id().alias("uid"),
-        F.col(id_col).alias("id"),
-        F.length(text).alias("points"),
-        without_spaces(text).alias("plain"),
-        row.alias("row"),
-    )
+    each = numbered.select("uid", "id", F.length("text").alias("points"), without_spaces(F.col("text")).alias("plain"))
     each = each.select(
         "uid",
         "id",
         "points",
-        "row",
         F.sha2(F.col("plain").cast("binary"), 256).alias("sha"),
         F.when(F.col("plain") == "", F.array(F.lit(""))).otherwise(parts).alias("parts"),
     )
     first = lambda c: F.when(F.col("pos") == 0, F.col(c)).alias(c)
     exploded = each.select("*", F.size("parts").alias("n"), F.posexplode("parts").alias("pos", "block"))
-    kept = exploded.select("uid", "pos", "n", F.xxhash64("block").alias("h"), "block", *map(first, ("id", "points", "sha", "row")))
+    kept = exploded.select("uid", "pos", "n", F.xxhash64("block").alias("h"), "block", *map(first, ("id", "points", "sha")))
     return materialize(kept, "blocks")
 
 
@@ -95,8 +84,8 @@ def name_documents(blocks: DataFrame) -> DataFrame:
 
 
 def groups_of(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(uid, keep_uid, keep_id, group_size) of documents that have an equal; and all documents (uid, id, points, sha, row)."""
-    docs = blocks.filter("pos = 0").select("uid", "id", "points", "sha", "row")
+    """(uid, keep_uid, keep_id, group_size) of documents that have an equal; and all documents (uid, id, points, sha)."""
+    docs = blocks.filter("pos = 0").select("uid", "id", "points", "sha")
     members = name_documents(blocks).join(docs.select("uid", "id", "points"), "uid")
     members = materialize(members, "members")
     order = F.struct(-F.col("points"), F.col("id").isNull(), "id", "uid")
@@ -113,7 +102,8 @@ def find_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are empty then are equal. Of equal texts the row with the most code points, then the smallest id (null last) stays,
     and of wholly equal rows one. An empty table gives no rows. Other columns are not read.
     """
-    found, all_docs = groups_of(blocks_of(docs, id_col, text_col, carry=False))
+    numbered = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), whole(text_col).alias("text"))
+    found, all_docs = groups_of(blocks_of(numbered))
     return all_docs.join(found, "uid", "left").select(
         F.col("id").alias(id_col),
         F.when(F.col("keep_uid").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
@@ -124,10 +114,13 @@ def find_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; rules as in `find_duplicates`."""
-    found, all_docs = groups_of(blocks_of(docs, id_col, text_col, carry=True))
-    gone = materialize(found.filter("uid <> keep_uid").select("uid"), "dropped")
-    return all_docs.join(small(gone), "uid", "left_anti").select("row.*")
+    """The rows that stay, with all their columns; rules as in `find_duplicates`. Tables of blocks and names are deleted."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("uid"), row), "rows", keep=True)
+    with dropping(docs.sparkSession):
+        found, _ = groups_of(blocks_of(rows.select("uid", F.col("row")[id_col].alias("id"), whole(F.col("row")[text_col]).alias("text"))))
+        gone = materialize(found.filter("uid <> keep_uid").select("uid"), "dropped", keep=True)
+    return rows.join(small(gone), "uid", "left_anti").select("row.*")
 
 
 @query(

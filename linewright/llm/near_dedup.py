@@ -24,9 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewright.session import materialize
-
-from .common import query, table, whole
+from .common import dropping, materialize, query, table, whole
 from .exact_dedup import small
 
 WORDS = 5
@@ -306,11 +304,8 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("uid", "root")
 
 
-def classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, carry: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(numbered rows, uid and class of rows in classes of two or more, links). All written or from written tables."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None).cast("int")
-    numbered = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.lower(whole(text_col)).alias("text"), row.alias("row"))
-    numbered = materialize(numbered, "texts")
+def classes(numbered: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """From a written (uid, id, text): uid and class of rows in classes of two or more, and links."""
     weights = Weights(count_documents(numbered), numbered.count())
     signed = materialize(sign(numbered, weights), "signatures")
 
@@ -327,7 +322,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, carry
     pairs = met.select("uid", F.explode(F.array("first", "last")).alias("leader")).filter("uid <> leader")
     pairs = materialize(pairs.select(F.greatest("uid", "leader").alias("uid"), F.least("uid", "leader").alias("leader")).distinct(), "pairs")
     links = verify(pairs, numbered, weights, threshold).unionByName(copies)
-    return numbered, components(links), links
+    return components(links), links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -339,7 +334,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest id stays (null last; of equal ids one). Texts of fewer than five words are one shingle; null counts as
     empty, and texts without words are the same. An empty table gives no rows. Other columns are not read.
     """
-    numbered, found, links = classes(docs, id_col, text_col, threshold, carry=False)
+    text = F.lower(whole(text_col)).alias("text")
+    numbered = materialize(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), text), "texts")
+    found, links = classes(numbered, threshold)
     rows = numbered.select("uid", "id")
     order = F.struct(F.col("id").isNull(), "id", "uid")
     members = materialize(found.join(rows, "uid"), "class-members")
@@ -361,13 +358,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """One row of each class, with all its columns: the row with the smallest id."""
-    numbered, found, _ = classes(docs, id_col, text_col, threshold, carry=True)
-    members = materialize(found.join(numbered.select("uid", "id"), "uid"), "class-members")
-    best = members.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "uid")).alias("best"))
-    best = materialize(best.select("root", F.col("best.uid").alias("best_uid")), "classes")
-    gone = materialize(members.join(best, "root").filter("uid <> best_uid").select("uid"), "dropped")
-    return numbered.join(small(gone), "uid", "left_anti").select("row.*")
+    """One row of each class, with all its columns: the row with the smallest id. All but the rows' table is deleted."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("uid"), row), "rows", keep=True)
+    text = F.lower(whole(F.col("row")[text_col])).alias("text")
+    numbered = rows.select("uid", F.col("row")[id_col].alias("id"), text)
+    with dropping(docs.sparkSession):
+        found, _ = classes(numbered, threshold)
+        members = materialize(found.join(numbered.select("uid", "id"), "uid"), "class-members")
+        best = members.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "uid")).alias("best"))
+        best = materialize(best.select("root", F.col("best.uid").alias("best_uid")), "classes")
+        gone = materialize(members.join(best, "root").filter("uid <> best_uid").select("uid"), "dropped", keep=True)
+    return rows.join(small(gone), "uid", "left_anti").select("row.*")
 
 
 @query("op6_icws_near_dedup")
