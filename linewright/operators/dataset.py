@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import calendar
+from collections.abc import Collection
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, NumericType, StringType, StructField, StructType
 
 # Split shares and window lengths.
 TRAIN_SHARE = 0.70
@@ -128,12 +129,11 @@ def weight_report(weighted: DataFrame, label: str, weight: str = "class_weight")
     )
 
 
-def stratified_sample(df: DataFrame, label: str, target: int, seed: int = 42) -> DataFrame:
-    """About ``target`` labelled rows, the same fraction of each class (0 and 1). The rows drawn
-    depend on the partitioning; :func:`keyed_sample` draws by key."""
-    size = df.count()
-    fraction = min(1.0, target / size) if size else 1.0
-    return df.sampleBy(label, fractions={0: fraction, 1: fraction}, seed=seed)
+def stratified_sample(df: DataFrame, label: str, target: int, key: list[str], seed: int = 42) -> DataFrame:
+    """About ``target`` of the rows with a label (0 or 1), drawn by a digest of their key at one rate,
+    so each class keeps its share. Fewer labelled rows than ``target`` are all taken."""
+    classes = df.agg(F.count_if(F.col(label).isin(0, 1)).alias("labelled")).first()
+    return keyed_sample(df, label, key, min(1.0, target / max(1, classes["labelled"])), seed)
 
 
 def keyed_sample(df: DataFrame, label: str, key: list[str], fraction: float, seed: int = 42) -> DataFrame:
@@ -151,11 +151,6 @@ def oversample(df: DataFrame, label: str, minority: int, times: int) -> DataFram
     return df.select("*", repeated)
 
 
-# Type names by route.
-NUMERIC_TYPES = {"IntegerType", "LongType", "FloatType", "DoubleType", "DecimalType"}
-BOOLEAN_TYPES = {"BooleanType"}
-CATEGORICAL_TYPES = {"StringType"}
-
 # Columns that are never features.
 NEVER_FEATURES = [
     "is_defective",
@@ -176,20 +171,19 @@ class Routes:
     categorical: list[str]
 
 
+def _route(field: StructField, flags: Collection[str]) -> str | None:
+    """The route of a column by its place in Spark's type hierarchy; None for types that are no features."""
+    if field.name in flags:
+        return "boolean"
+    bases = {BooleanType: "boolean", NumericType: "numeric", StringType: "categorical"}
+    return next((route for base, route in bases.items() if isinstance(field.dataType, base)), None)
+
+
 def route_columns(schema: StructType, exclude=tuple(NEVER_FEATURES), flags=()) -> Routes:
-    """Sort the feature columns by type; ``flags`` are 0/1 numbers to treat as booleans."""
-    routes = Routes([], [], [])
-    for field in schema.fields:
-        kind = type(field.dataType).__name__
-        if field.name in exclude:
-            continue
-        if field.name in flags or kind in BOOLEAN_TYPES:
-            routes.boolean.append(field.name)
-        elif kind in NUMERIC_TYPES:
-            routes.numeric.append(field.name)
-        elif kind in CATEGORICAL_TYPES:
-            routes.categorical.append(field.name)
-    return routes
+    """Sort the feature columns by type: numbers of any width, booleans, strings. ``flags`` are 0/1
+    numbers to treat as booleans."""
+    by_name = {f.name: _route(f, flags) for f in schema.fields if f.name not in exclude}
+    return Routes(**{kind: [n for n, route in by_name.items() if route == kind] for kind in ("numeric", "boolean", "categorical")})
 
 
 # Name prefixes of aggregates that start at zero and of those that may be absent.

@@ -13,8 +13,9 @@ STEPS = 101  # thresholds 0.00, 0.01 ... 1.00
 
 
 def _scored(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Rows with a label and a score; a NaN is no score."""
     picked = df.select(F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("p"))
-    return picked.filter(F.col("y").isNotNull() & F.col("p").isNotNull())
+    return picked.filter(F.col("y").isNotNull() & F.col("p").isNotNull() & ~F.isnan("p"))
 
 
 def _or_zero(part: Column, whole: Column) -> Column:

@@ -26,20 +26,21 @@ def with_gaps(runs: DataFrame, metrics: list[str]) -> DataFrame:
 
 def promotion_decision(challengers: DataFrame, champions: DataFrame, key: str, metric: str) -> DataFrame:
     """One decision per challenger. It must be strictly better than the champion; a tie keeps
-    the champion; without a champion the challenger is promoted."""
+    the champion, and so does a metric that is NULL on either side; without a champion (no row
+    of its key) the challenger is promoted."""
     a = challengers.select(key, F.col(metric).alias("challenger_score"))
-    b = champions.select(key, F.col(metric).alias("champion_score"))
-    ours, theirs = F.col("challenger_score"), F.col("champion_score")
-    wins = F.coalesce(ours > theirs, theirs.isNull())
+    b = champions.select(key, F.col(metric).alias("champion_score"), F.lit(True).alias("_there"))
+    ours, theirs, absent = F.col("challenger_score"), F.col("champion_score"), F.col("_there").isNull()
     why = (
-        F.when(theirs.isNull(), "no champion")
+        F.when(absent, "no champion")
         .when(ours > theirs, "challenger better")
         .when(ours == theirs, "tie keeps champion")
-        .otherwise("champion better")
+        .when(ours < theirs, "champion better")
+        .otherwise("not comparable")
     )
     return (
         a.join(b, key, "left")
-        .withColumns({"promoted": wins, "reason": why, "delta": ours - theirs})
+        .withColumns({"promoted": absent | F.coalesce(ours > theirs, F.lit(False)), "reason": why, "delta": ours - theirs})
         .select(key, "challenger_score", "champion_score", "delta", "promoted", "reason")
     )
 

@@ -147,10 +147,16 @@ def _(spark, folder):
     return rounded(dataset.weight_report(weighted, "label"), "mean_weight")
 
 
-@query("stratified_sample")
+@query(
+    "stratified_sample",
+    f"""SELECT l_orderkey, l_linenumber, {LINE_LABEL} AS label FROM lineitem WHERE {LINE_LABEL} IN (0, 1)
+    AND ('0x' || left(md5('42|' || l_orderkey || '|' || l_linenumber), 8))::BIGINT
+      < floor(least(1.0::DOUBLE, 20000::DOUBLE / (SELECT count(*) FROM lineitem WHERE {LINE_LABEL} IN (0, 1)))
+        * 4294967296::DOUBLE)""",
+)
 def _(spark, folder):
-    lines = labelled_lines(spark, folder)
-    return dataset.stratified_sample(lines, "label", 20_000).select("l_orderkey", "l_linenumber", "label")
+    lines = labelled_lines(spark, folder).select("l_orderkey", "l_linenumber", "label")
+    return dataset.stratified_sample(lines, "label", 20_000, ["l_orderkey", "l_linenumber"])
 
 
 @query(

@@ -194,18 +194,24 @@ def _(spark, folder):
     return lifecycle.search_runs(runs, where, [F.col("val_auc_pr").desc()])
 
 
+# champions: no row for the largest parameter, and no metric for runs of the smallest that had no gain
+_CHAMPION = "reg_param <> '0.1'"
+_CHAMPION_SCORE = "CASE WHEN reg_param = '0.01' OR train_auc_pr > val_auc_pr THEN train_auc_pr END"
+
+
 @query(
     "promotion_decision",
-    f"""SELECT run_id, val_auc_pr AS challenger_score, train_auc_pr AS champion_score,
-      val_auc_pr - train_auc_pr AS delta, coalesce(val_auc_pr > train_auc_pr, train_auc_pr IS NULL) AS promoted,
-      CASE WHEN train_auc_pr IS NULL THEN 'no champion' WHEN val_auc_pr > train_auc_pr THEN 'challenger better'
-        WHEN val_auc_pr = train_auc_pr THEN 'tie keeps champion' ELSE 'champion better' END AS reason
-    FROM {_RUNS} WHERE val_auc_pr IS NOT NULL""",
+    f"""SELECT a.run_id, a.val_auc_pr AS challenger_score, b.score AS champion_score,
+      a.val_auc_pr - b.score AS delta, b.run_id IS NULL OR coalesce(a.val_auc_pr > b.score, false) AS promoted,
+      CASE WHEN b.run_id IS NULL THEN 'no champion' WHEN a.val_auc_pr > b.score THEN 'challenger better'
+        WHEN a.val_auc_pr = b.score THEN 'tie keeps champion' WHEN a.val_auc_pr < b.score THEN 'champion better'
+        ELSE 'not comparable' END AS reason
+    FROM {_RUNS} a LEFT JOIN (SELECT run_id, {_CHAMPION_SCORE} AS score FROM {_RUNS} WHERE {_CHAMPION}) b USING (run_id)""",
 )
 def _(spark, folder):
     runs = runs_table(spark, folder)
-    challengers = runs.filter("val_auc_pr IS NOT NULL").select("run_id", F.col("val_auc_pr").alias("score"))
-    champions = runs.filter("train_auc_pr IS NOT NULL").select("run_id", F.col("train_auc_pr").alias("score"))
+    challengers = runs.select("run_id", F.col("val_auc_pr").alias("score"))
+    champions = runs.filter(_CHAMPION).select("run_id", F.expr(_CHAMPION_SCORE).alias("score"))
     return lifecycle.promotion_decision(challengers, champions, "run_id", "score")
 
 

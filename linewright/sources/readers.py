@@ -19,9 +19,11 @@ def with_audit(df: DataFrame) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """One of the small CSV catalogues, read whole on every run."""
-    reader = spark.read.schema(catalog_schema(name)).option("header", True)
-    return with_audit(reader.csv(path))
+    """One of the small CSV catalogues, read whole on every run. Columns are found by their header,
+    in any order; one that is missing is an error, a value that does not fit its type is NULL."""
+    rows = with_audit(spark.read.option("header", True).csv(path))
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in catalog_schema(name).fields]
+    return rows.select(*typed, "ingestion_timestamp", "source_file")
 
 
 def _json_options(reader, schema: StructType):

@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from linewright.operators import dataset
 from linewright.schemas import event_schema
@@ -70,9 +71,10 @@ def test_one_class_only_gets_weight(spark):
 
 def test_samples(spark):
     df = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, 1).when(F.col("id") % 4 == 1, 0).alias("y"))
-    drawn = dataset.stratified_sample(df, "y", 1000)
+    drawn = dataset.stratified_sample(df, "y", 1000, ["id"])
     assert drawn.filter("y IS NULL").count() == 0
-    assert 350 < drawn.count() < 650
+    assert 900 < drawn.count() < 1100
+    assert dataset.stratified_sample(df, "y", 9000, ["id"]).count() == 2000
     a = dataset.keyed_sample(df, "y", ["id"], 0.25)
     b = dataset.keyed_sample(df.repartition(7), "y", ["id"], 0.25)
     ids = lambda d: sorted(r.id for r in d.collect())
@@ -89,6 +91,9 @@ def test_routes():
     assert routes.categorical == ["shift"]
     assert routes.boolean == ["operator_experience_yrs"]
     assert len(routes.numeric) == 14
+    widths = StructType.fromDDL("a short, b tinyint, c int, d decimal(9,2), e float, f boolean, g string, h date")
+    routes = dataset.route_columns(widths)
+    assert (routes.numeric, routes.boolean, routes.categorical) == (["a", "b", "c", "d", "e"], ["f"], ["g"])
 
 
 def test_prefix_groups():

@@ -118,10 +118,18 @@ def test_odds_and_cost(spark):
 
 
 def test_promotion(spark):
-    a = spark.createDataFrame([("new", 0.5), ("up", 0.6), ("tie", 0.5), ("down", 0.4)], "k string, s double")
-    b = spark.createDataFrame([("up", 0.5), ("tie", 0.5), ("down", 0.5)], "k string, s double")
+    rows = [("new", 0.5), ("up", 0.6), ("tie", 0.5), ("down", 0.4), ("none", None), ("half", 0.5), ("lost", None)]
+    a = spark.createDataFrame(rows, "k string, s double")
+    rows = [("up", 0.5), ("tie", 0.5), ("down", 0.5), ("none", None), ("half", None), ("lost", 0.5)]
+    b = spark.createDataFrame(rows, "k string, s double")
     got = {r.k: r.promoted for r in lifecycle.promotion_decision(a, b, "k", "s").collect()}
-    assert got == {"new": True, "up": True, "tie": False, "down": False}
+    assert got == {"new": True, "up": True, "tie": False, "down": False, "none": False, "half": False, "lost": False}
+
+
+def test_a_nan_is_no_score(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, float("nan")), (0, None)], "y int, p double")
+    row = evaluate.threshold_counts(df, "y", "p").filter("step = 50").first()
+    assert (row.tp, row.fp, row.fn, row.tn) == (1, 0, 0, 1)
 
 
 def test_alias_events(spark):

@@ -23,6 +23,16 @@ def test_catalogs(spark, landing):
     assert machines.first().source_file.endswith("machines.csv")
 
 
+def test_catalog_columns_follow_their_header(spark, tmp_path):
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.csv").write_text("clean_room_class,line_id,daily_capacity\nISO7,L1,100\n")
+    row = sources.read_catalog(spark, "lines", str(tmp_path / "lines")).first()
+    assert (row.line_id, row.daily_capacity, row.clean_room_class) == ("L1", 100, "ISO7")
+    (tmp_path / "lines" / "a.csv").write_text("line_id,daily_capacity\nL1,100\n")
+    with pytest.raises(Exception, match="clean_room_class"):
+        sources.read_catalog(spark, "lines", str(tmp_path / "lines"))
+
+
 def test_records_that_do_not_fit_are_kept(spark, landing):
     write_lines(
         f"{landing}/x/2024/01/a.json",
