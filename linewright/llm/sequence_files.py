@@ -80,8 +80,8 @@ def write_sequences(
 
     Rows are sorted by id over the cluster (ties by a hash of the text, then the text: a repeated id may spread over parts;
     null ids come first). Each task writes one part below `folder` (any place that pyarrow can open, shared by
-    all): `<part>.sequences.arrow`, an Arrow file whose batches hold `per_batch` rows of two fixed-size lists, ids (unsigned
-    32 bits) and mask (0 padding, 1 token, 2 last token of a document), and `<part>.documents.arrow` with
+    all): `<part>.sequences.arrow`, an Arrow file whose batches hold `per_batch` rows of two fixed-size lists, ids (unsigned,
+    16 bits where the vocabulary fits, else 32) and mask (0 padding, 1 token, 2 last token of a document), and `<part>.documents.arrow` with
     (id, start in the part, tokens). Only the last sequence of a part is padded. A task that runs again
     writes under a new name, and only files named in the returned table count, so lost executors do no harm.
 
@@ -97,7 +97,9 @@ def write_sequences(
         part = TaskContext.get().partitionId()
         name = f"part-{part:07d}-{uuid.uuid4().hex}"
         about = {"length": str(length), "per_batch": str(per_batch)}
-        values = pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))], metadata=about)
+        small = encoder(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
+        kind = np.dtype("<u2" if small else "<u4")
+        values = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length))], metadata=about)
         sequences = documents = None
         held: list[np.ndarray] = []
         ends: list[int] = []
@@ -106,13 +108,13 @@ def write_sequences(
         def flush(rows: int) -> None:
             """Write `rows` sequences of what is held."""
             nonlocal held, ends, waiting, done
-            flat = np.concatenate(held) if held else np.empty(0, "<u4")
+            flat = np.concatenate(held) if held else np.empty(0, kind)
             take = rows * length
             ids = flat[:take]
             mask = np.full(take, TOKEN, np.uint8)
             if len(ids) < take:
                 mask[len(ids) :] = PADDING
-                ids = np.concatenate([ids, np.zeros(take - len(ids), "<u4")])
+                ids = np.concatenate([ids, np.zeros(take - len(ids), kind)])
             inside = [e - done for e in ends if e - done < take]
             mask[inside] = LAST_OF_DOCUMENT
             ends = ends[len(inside) :]
@@ -129,7 +131,7 @@ def write_sequences(
                     sequences, documents = ipc.new_file(a, values), ipc.new_file(b, index)
                 starts, sizes = [], []
                 for ids in encoder(tokenizer).encode(x.as_py() for x in batch.column(1)):
-                    flat = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id))
+                    flat = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)).astype(kind)
                     starts.append(total)
                     sizes.append(len(flat))
                     total += len(flat)
@@ -174,7 +176,7 @@ def read_documents(parts: DataFrame, id_type: T.DataType = T.LongType(), id_name
                         for low in range(0, docs.num_rows, 1000):
                             few = docs.slice(low, 1000)
                             starts, sizes = few.column(1).to_pylist(), few.column(2).to_pylist()
-                            ids = [b"".join(file.spans(s, n)) for s, n in zip(starts, sizes, strict=True)]
+                            ids = [b"".join(x.astype("<u4") for x in file.spans(s, n)) for s, n in zip(starts, sizes, strict=True)]
                             columns = [few.column(0), pa.array([part["start"] + s for s in starts], pa.int64()), few.column(2), pa.array(ids, pa.binary())]
                             yield pa.record_batch(columns, names=schema.names)
                 file.close()
