@@ -19,7 +19,7 @@ from linewright.session import materialize, scratch_path
 from .common import query, table, whole
 from .tokens import encoder
 
-#: Mask values.
+#: Codes that `SequenceFile.sequence` gives.
 PADDING, TOKEN, LAST_OF_DOCUMENT = 0, 1, 2
 
 
@@ -37,20 +37,24 @@ class SequenceFile:
         self.reader = ipc.open_file(self.source)
         about = self.reader.schema.metadata
         self.length, self.per_batch = int(about[b"length"]), int(about[b"per_batch"])
-        self._held: tuple[int, np.ndarray, np.ndarray] | None = None
+        self._held: tuple[int, np.ndarray, pa.BooleanArray, pa.BooleanArray] | None = None
 
-    def _batch(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+    def _batch(self, number: int) -> tuple[np.ndarray, pa.BooleanArray, pa.BooleanArray]:
         if self._held is None or self._held[0] != number:
-            batch = self.reader.get_batch(number)
-            flat = [batch.column(i).flatten().to_numpy(zero_copy_only=True) for i in range(2)]
-            self._held = (number, *flat)
+            ids, mask, ends = (column.flatten() for column in self.reader.get_batch(number).columns)
+            self._held = (number, ids.to_numpy(zero_copy_only=True), mask, ends)
         return self._held[1:]
 
-    def sequence(self, number: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, mask) of one sequence: views of the file."""
+    def views(self, number: int) -> tuple[np.ndarray, pa.BooleanArray, pa.BooleanArray]:
+        """(ids, mask, ends) of one sequence, as views of the file: `mask` is false at padding, `ends` true at a document's last id."""
         at, row = divmod(number, self.per_batch)
-        ids, mask = self._batch(at)
-        return tuple(x[row * self.length : (row + 1) * self.length] for x in (ids, mask))
+        return tuple(x[row * self.length : (row + 1) * self.length] for x in self._batch(at))
+
+    def sequence(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, codes) of one sequence: a view of the file, and mask and ends as one code for each id."""
+        ids, *marks = self.views(number)
+        mask, ends = (x.to_numpy(zero_copy_only=False).astype(np.uint8) for x in marks)
+        return ids, mask * np.uint8(TOKEN) + ends * np.uint8(LAST_OF_DOCUMENT - TOKEN)
 
     def spans(self, start: int, count: int) -> Iterator[np.ndarray]:
         """The ids from a token on, as views, batch by batch."""
@@ -80,9 +84,9 @@ def write_sequences(
 
     Rows are sorted by id over the cluster (ties by a hash of the text, then the text: a repeated id may spread over parts;
     null ids come first). Each task writes one part below `folder` (any place that pyarrow can open, shared by
-    all): `<part>.sequences.arrow`, an Arrow file whose batches hold `per_batch` rows of two fixed-size lists, ids (unsigned,
-    16 bits where the vocabulary fits, else 32) and mask (0 padding, 1 token, 2 last token of a document), and `<part>.documents.arrow` with
-    (id, start in the part, tokens). Only the last sequence of a part is padded. A task that runs again
+    all): `<part>.sequences.arrow`, an Arrow file whose batches hold `per_batch` rows of three fixed-size lists, ids (unsigned,
+    16 bits where the vocabulary fits, else 32) and, a bit each, mask (false at padding) and ends (true at the last token of a
+    document), and `<part>.documents.arrow` with (id, start in the part, tokens). Only the last sequence of a part is padded. A task that runs again
     writes under a new name, and only files named in the returned table count, so lost executors do no harm.
 
     Returns part, sequences_file, documents_file, tokens, documents, start (tokens of all parts before). Null and empty
@@ -95,11 +99,12 @@ def write_sequences(
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
         part = TaskContext.get().partitionId()
-        name = f"part-{part:07d}-{uuid.uuid4().hex}"
+        file = f"part-{part:07d}-{uuid.uuid4().hex}"
         about = {"length": str(length), "per_batch": str(per_batch)}
         small = encoder(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
         kind = np.dtype("<u2" if small else "<u4")
-        values = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length))], metadata=about)
+        kinds = {"ids": pa.from_numpy_dtype(kind), "mask": pa.bool_(), "ends": pa.bool_()}
+        values = pa.schema([(name, pa.list_(k, length)) for name, k in kinds.items()], metadata=about)
         sequences = documents = None
         held: list[np.ndarray] = []
         ends: list[int] = []
@@ -111,20 +116,19 @@ def write_sequences(
             flat = np.concatenate(held) if held else np.empty(0, kind)
             take = rows * length
             ids = flat[:take]
-            mask = np.full(take, TOKEN, np.uint8)
+            mask, last = np.arange(take) < len(ids), np.zeros(take, bool)
             if len(ids) < take:
-                mask[len(ids) :] = PADDING
                 ids = np.concatenate([ids, np.zeros(take - len(ids), kind)])
             inside = [e - done for e in ends if e - done < take]
-            mask[inside] = LAST_OF_DOCUMENT
+            last[inside] = True
             ends = ends[len(inside) :]
             sequences.write_batch(
-                pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(x), length) for x in (ids, mask)], schema=values)
+                pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(x), length) for x in (ids, mask, last)], schema=values)
             )
             held = [flat[take:].copy()] if len(flat) > take else []
             waiting, done = max(0, len(flat) - take), done + take
 
-        with store.open_output_stream(f"{base}/{name}.sequences.arrow") as a, store.open_output_stream(f"{base}/{name}.documents.arrow") as b:
+        with store.open_output_stream(f"{base}/{file}.sequences.arrow") as a, store.open_output_stream(f"{base}/{file}.documents.arrow") as b:
             for batch in batches:
                 if documents is None:
                     index = pa.schema([("id", batch.schema.field(0).type), ("start", pa.int64()), ("tokens", pa.int64())])
@@ -148,7 +152,7 @@ def write_sequences(
                 sequences.close()
                 documents.close()
         if documents is not None:
-            row = [part, f"{name}.sequences.arrow", f"{name}.documents.arrow", total, count]
+            row = [part, f"{file}.sequences.arrow", f"{file}.documents.arrow", total, count]
             yield pa.record_batch([pa.array([x]) for x in row], names=["part", "sequences_file", "documents_file", "tokens", "documents"])
 
     parts = ordered.mapInArrow(write, "part long, sequences_file string, documents_file string, tokens long, documents long")

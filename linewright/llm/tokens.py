@@ -16,6 +16,9 @@ from collections.abc import Iterable, Iterator
 _WORD_START = "[!-~¡-¬®-ᙿ、-퟿豈-﷿]"
 _SPACE = re.compile(f" (?={_WORD_START})")
 
+#: Letters before this character (Latin) are letters in every version of Unicode.
+_LETTERS_END = "ɐ"
+
 #: Characters of text that are cut and encoded at a time.
 GROUP_CHARS = 1 << 20
 
@@ -67,7 +70,7 @@ class Pieces:
 class PieceEncoder:
     """Encodes texts as little-endian unsigned 32-bit ids; `room` pieces are remembered."""
 
-    def __init__(self, path: str, room: int = 400_000):
+    def __init__(self, path: str, room: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
@@ -75,7 +78,14 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size() + 1)]
-        self.lead = self._lead(json.loads(self.tokenizer.to_str()))
+        layout = json.loads(self.tokenizer.to_str())
+        self.lead = self._lead(layout)
+        self.words = None
+        if self.lead:  # a piece of letters is one word, so the word pattern need not run
+            layout["pre_tokenizer"]["use_regex"] = False
+            self.words = Tokenizer.from_str(json.dumps(layout))
+            self.words.no_truncation()
+            self.words.no_padding()
         self.inner = Pieces(self._ids, self.lead or "", room)
         self.first = Pieces(self._ids, "", room // 20) if self.lead else self.inner
 
@@ -94,8 +104,13 @@ class PieceEncoder:
         return None
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        found, table = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), self.as_bytes.__getitem__
-        return [b"".join(map(table, x.ids)) for x in found]
+        words = [p for p in pieces if p.removeprefix(" ").isalpha() and max(p) < _LETTERS_END] if self.words else []
+        others = list(set(pieces).difference(words)) if words else pieces
+        table, found = self.as_bytes.__getitem__, {}
+        for encode, part in ((self.words or self.tokenizer, words), (self.tokenizer, others)):
+            ids = encode.encode_batch_fast(part, add_special_tokens=False) if part else []
+            found.update((p, b"".join(map(table, x.ids))) for p, x in zip(part, ids, strict=True))
+        return [found[p] for p in pieces]
 
     def pieces(self, text: str) -> list[str]:
         if self.lead is None:

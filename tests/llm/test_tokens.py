@@ -197,6 +197,11 @@ def test_files_give_equal_sequences_and_masks_without_copies(spark, docs_of):
             seen += int((mask > 0).sum())
             ends += int((mask == sequence_files.LAST_OF_DOCUMENT).sum())
             assert all(ids[mask == sequence_files.LAST_OF_DOCUMENT] == 0)
+            same, inside, last = file.views(number)
+            assert same.base is not None and list(same) == list(ids)
+            assert inside.to_pylist() == list(mask > 0) and last.to_pylist() == list(mask == sequence_files.LAST_OF_DOCUMENT)
+            for bits in (inside, last):  # a bit each, in place
+                assert bits.buffers()[1].size * 8 < 8 * 4 + 512
             if number < count - 1:
                 assert (mask > 0).all()
         assert seen == part["tokens"] and ends == part["documents"]
@@ -207,3 +212,13 @@ def test_files_give_equal_sequences_and_masks_without_copies(spark, docs_of):
 def test_files_of_an_empty_table(spark, docs_of):
     parts = sequence_files.write_sequences(docs_of([]), BYTE, scratch_path(spark, "test"))
     assert parts.count() == 0 and sequence_files.read_documents(parts).count() == 0
+
+
+@pytest.mark.parametrize("room", [40, 1_200_000])
+def test_words_of_letters_get_the_ids_of_whole_texts(room):
+    rng = random.Random(7)
+    letters = "abzAZéßøñƀɏɐaǃªº中あЖ'`3,. \n"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(400)]
+    texts += [" ".join(rng.choice(["don't", "word", "Été", "naïve,", "x.", "ɐlpha", "ab", "", "9th"]) for _ in range(50)) for _ in range(40)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in PieceEncoder(BYTE, room).encode(texts)]
+    assert got == library(BYTE, texts)
