@@ -5,7 +5,10 @@ from __future__ import annotations
 import itertools
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -135,6 +138,41 @@ def _runs_schema(settings: Sequence[str]) -> str:
     return ", ".join([*parts, "best_threshold double", "best_f1 double"])
 
 
+@dataclass
+class _Trial:
+    """One setting of a search: its model and measures, or why there is none."""
+
+    settings: dict
+    model: object = None
+    problem: str | None = None
+    measures: dict[str, dict[str, float | None]] = field(default_factory=dict)
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+
+    def row(self, parent: str) -> dict:
+        """The trial as a row of the runs table."""
+        status = "failed" if self.model is None else "finished"
+        out = {"run_id": self.run_id, "parent_run_id": parent, "run_type": "training", "status": status, "error": self.problem}
+        out |= {name: str(value) for name, value in self.settings.items()}
+        out |= {f"{side}_{m}": found[m] for side, found in self.measures.items() for m in MEASURES}
+        return out | {name: self.measures.get("val", {}).get(name) for name in ("best_threshold", "best_f1")}
+
+
+def _train(build: Callable, settings: dict, vectors: DataFrame, attempts: int) -> _Trial:
+    """Fit one setting. A job that Spark gave up (lost executors, for one) is run again, up to ``attempts`` times in all;
+    a setting that the classifier refuses is not."""
+    try:
+        estimator = build()
+        while True:
+            try:
+                return _Trial(settings, estimator.fit(vectors))
+            except Py4JJavaError:
+                attempts -= 1
+                if attempts < 1:
+                    raise
+    except (ValueError, TypeError, PySparkException, Py4JJavaError) as refusal:
+        return _Trial(settings, problem=next(iter(str(refusal).splitlines()), type(refusal).__name__))
+
+
 def grid_search(
     stages: list,
     train: DataFrame,
@@ -147,9 +185,10 @@ def grid_search(
     """Train one classifier per setting and measure it on training and validation rows.
 
     Preparation is fitted once on the training rows; both parts are prepared once and written,
-    so each setting reads vectors only. A setting that keeps failing becomes a failed run and
-    the rest goes on; if all fail the search fails. Returns the table of runs, the best model
-    (by validation average precision) over raw columns, and its row.
+    so each setting reads vectors only. A setting that can't be trained becomes a failed run and
+    the rest goes on; if none can, the search fails. The models' scores are written side by side
+    in one table, which the measures read. Returns the table of runs, the best model (by
+    validation average precision) over raw columns, and its row.
     """
     grid = grid or {"reg": REG_PARAMS, "elastic_net": ELASTIC_NET_PARAMS, "max_iter": MAX_ITERS}
     spark, parent = train.sparkSession, uuid.uuid4().hex
@@ -161,33 +200,29 @@ def grid_search(
 
     vectors = materialize(part(train, "train").unionByName(part(validation, "val")), "vectors")
 
-    rows, models = [], {}
-    for values in itertools.product(*grid.values()):
-        settings = dict(zip(grid, values))
-        run = {"run_id": uuid.uuid4().hex, "parent_run_id": parent, "run_type": "training", "status": "failed"}
-        run.update({k: str(v) for k, v in settings.items()})
-        for _ in range(retries):
-            try:
-                model = classifier(label, **settings).fit(vectors.filter("part = 'train'"))
-                scored = model.transform(vectors).select(
-                    "part", label, vector_to_array("probability")[1].alias("probability_defective")
-                )
-                scored = materialize(scored, "scores")
-                for side in ("train", "val"):
-                    found = measure(scored.filter(F.col("part") == side), label)
-                    run.update({f"{side}_{m}": found[m] for m in MEASURES})
-                run.update(status="finished", error=None, best_threshold=found["best_threshold"])
-                run["best_f1"] = found["best_f1"]
-                models[run["run_id"]] = model
-                break
-            except Exception as error:
-                run["error"] = str(error).split("\n")[0]
-        rows.append(run)
-    finished = [r for r in rows if r["status"] == "finished"]
-    if not finished:
-        raise RuntimeError(f"every setting failed; last error: {rows[-1]['error']}")
-    best = max(finished, key=lambda r: (r["val_avg_precision"] or 0.0))
+    trained = vectors.filter("part = 'train'")
+    trials = [
+        _train(lambda s=settings: classifier(label, **s), settings, trained, retries)
+        for settings in (dict(zip(grid, values)) for values in itertools.product(*grid.values()))
+    ]
+    able = [t for t in trials if t.model is not None]
+    if not able:
+        raise RuntimeError(f"no setting could be trained: {[t.problem for t in trials]}")
+
+    # the scores of all settings side by side, written in one pass over the vectors
+    wide = vectors.select("part", label, FEATURES)
+    for i, trial in enumerate(able):
+        probability = vector_to_array("probability")[1].alias(f"score_{i}")
+        wide = trial.model.transform(wide).select(*wide.columns, probability)
+    wide = materialize(wide.drop(FEATURES), "scores")
+    for i, trial in enumerate(able):
+        scored = wide.select("part", label, F.col(f"score_{i}").alias("probability_defective"))
+        for side in ("train", "val"):
+            trial.measures[side] = measure(scored.filter(F.col("part") == side), label)
+
     schema = _runs_schema(list(grid))
-    names = [p.split()[0] for p in schema.split(", ")]
-    runs = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
-    return runs, PipelineModel(stages=[*preparer.stages, models[best["run_id"]]]), best
+    columns = [part.split()[0] for part in schema.split(", ")]
+    rows = [t.row(parent) for t in trials]
+    runs = spark.createDataFrame([tuple(map(r.get, columns)) for r in rows], schema)
+    ranked = sorted(able, key=lambda t: t.measures["val"]["avg_precision"] or 0.0, reverse=True)
+    return runs, PipelineModel(stages=[*preparer.stages, ranked[0].model]), ranked[0].row(parent)

@@ -58,7 +58,7 @@ def cumulate(
     )
 
 
-# below this many rows the last candidates for a quantile are counted value by value
+# a gap of at most this many rows is a group that one task can count value by value; the result is the same at any number
 FEW = 100_000
 
 
@@ -137,18 +137,19 @@ class _Gap:
 
 
 def _count_out(df: DataFrame, value: dict[str, Column], gaps: list[_Gap], below: dict[int, int]) -> None:
-    """Answer gaps of at most ``FEW`` rows by counting their values."""
+    """Answer gaps of at most ``FEW`` rows: their values are counted and summed up on the cluster, each gap a
+    group, and one row for each gap comes back."""
     cells = [
-        F.struct(F.lit(k).alias("k"), F.when(g.inside(value), value[g.column]).alias("v")) for k, g in enumerate(gaps)
+        F.struct(
+            F.lit(k).alias("k"),
+            F.lit(g.rank - below[id(g)]).cast("long").alias("rank"),
+            F.when(g.inside(value), value[g.column]).alias("v"),
+        )
+        for k, g in enumerate(gaps)
     ]
-    counts = (
-        df.select(F.explode(F.array(*cells)).alias("c")).filter("c.v IS NOT NULL").groupBy("c.k", "c.v").count()
-    )
-    found = counts.collect()
-    for k, g in enumerate(gaps):
-        seen = below[id(g)]
-        for v, n in sorted((row["v"], row["count"]) for row in found if row["k"] == k):
-            seen += n
-            if seen >= g.rank:
-                g.answer = v
-                break
+    each = df.select(F.explode(F.filter(F.array(*cells), lambda c: c["v"].isNotNull())).alias("c"))
+    counts = each.groupBy("c.k", "c.rank", "c.v").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("k").orderBy("v"))
+    answers = counts.withColumn("seen", upto).filter("seen >= rank").groupBy("k").agg(F.min("v").alias("v"))
+    for row in answers.collect():
+        gaps[row["k"]].answer = row["v"]
