@@ -1,15 +1,18 @@
 """Feature preparation in columnar form: fit on one frame, apply to any.
 
-Fitted values are one number per column or one list of categories per column, so fitting
-returns plain Python values and applying them adds no shuffle.
+Fitted numbers are one per column, so fitting returns plain Python values and applying them adds no
+shuffle. Categories may be many; they are a table and are joined.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .ranking import exact_quantiles
 
 # Bucket limits for transaction amounts, and the variance limit.
@@ -36,43 +39,53 @@ def impute(df: DataFrame, values: dict[str, float], columns: list[str]) -> DataF
     return df.select(*[filled[c].alias(f"{c}_imp") if c in filled else F.col(c) for c in df.columns])
 
 
-def fit_categories(
-    df: DataFrame, columns: list[str], order: str = "frequency", max_categories: int = 10_000
-) -> dict[str, list[str]]:
-    """Known values of each column, by falling frequency (ties alphabetical) or alphabetical.
+@dataclass(frozen=True)
+class Categories:
+    """Known values of columns: a written table (column_name, category, idx), and how many each column has."""
+
+    table: DataFrame
+    sizes: dict[str, int]
+
+
+def fit_categories(df: DataFrame, columns: list[str], order: str = "frequency") -> Categories:
+    """Known values of each column, numbered by falling frequency (ties alphabetical) or alphabetically.
 
-    All columns are counted in one job. A column with more than ``max_categories`` values is
-    refused: it is an identifier and has no use as a category.
+    All columns are counted in one job, whatever the number of values. The counts are sorted over the
+    cluster and written; a value's number is its place in its part plus the sizes of the parts
+    before. The driver gets one number for each column.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
     counts = df.select(pairs.alias("p")).select("p.c", "p.v").filter("v IS NOT NULL").groupBy("c", "v").count()
-    found = counts.limit(max_categories * len(columns) + 1).collect()
-    out: dict[str, list[str]] = {}
-    for c in columns:
-        mine = [(row["v"], row["count"]) for row in found if row["c"] == c]
-        if len(mine) > max_categories or len(found) > max_categories * len(columns):
-            raise ValueError(f"more than {max_categories} categories in {columns}")
-        by_size = (lambda p: (-p[1], p[0])) if order == "frequency" else (lambda p: p[0])
-        out[c] = [v for v, _ in sorted(mine, key=by_size)]
-    return out
-
-
-def index_categories(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:
-    """Add ``<name>_idx``; values not seen at fit time and NULL get the next free index. The
-    joined tables hold one row per category, whose number the fit has checked."""
-    for name, values in categories.items():
-        rows = [(v, float(i)) for i, v in enumerate(values)]
-        table = df.sparkSession.createDataFrame(rows, f"`{name}` string, _idx double")
-        unseen = F.lit(float(len(values)))
-        df = df.join(F.broadcast(table), name, "left").withColumn(f"{name}_idx", F.coalesce("_idx", unseen)).drop("_idx")
+    by = [F.col("c"), *([F.col("count").desc()] if order == "frequency" else []), F.col("v")]
+    ordered = counts.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("at", F.monotonically_increasing_id())
+    ordered = materialize(ordered.select("c", "v", F.shiftright("at", 33).alias("part"), F.expr("at & 8589934591").alias("at")), "counts")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skipped"))
+    placed = ordered.join(parts, "part").select("c", "v", (F.col("skipped") + F.col("at")).alias("place"))
+    first = placed.groupBy("c").agg(F.min("place").alias("first"))
+    idx = (F.col("place") - F.col("first")).cast("double")
+    found = placed.join(first, "c").select(F.col("c").alias("column_name"), F.col("v").alias("category"), idx.alias("idx"))
+    found = materialize(found, "categories")
+    sizes = {r["column_name"]: r["count"] for r in found.groupBy("column_name").count().collect()}
+    return Categories(found, {c: sizes.get(c, 0) for c in columns})
+
+
+def index_categories(df: DataFrame, categories: Categories) -> DataFrame:
+    """Add ``<name>_idx``; values not seen at fit time and NULL get the next free index. No hint: Spark
+    broadcasts the categories when the size of their table allows it."""
+    for name, size in categories.sizes.items():
+        known = categories.table.filter(F.col("column_name") == name).select(F.col("category").alias("_v"), F.col("idx").alias("_idx"))
+        joined = df.join(known, F.col(name).cast("string") == F.col("_v"), "left")
+        df = joined.withColumn(f"{name}_idx", F.coalesce("_idx", F.lit(float(size)))).drop("_v", "_idx")
     return df
 
 
-def one_hot(df: DataFrame, categories: dict[str, list[str]], drop_last: bool = True) -> DataFrame:
+def one_hot(df: DataFrame, categories: Categories, drop_last: bool = True) -> DataFrame:
     """Add ``<name>_ohe_<i>`` as 0.0/1.0 for every category (but the last when dropped)."""
     columns: dict[str, Column] = {}
-    for name, values in categories.items():
-        for i in range(len(values) - (1 if drop_last else 0)):
+    for name, size in categories.sizes.items():
+        for i in range(size - (1 if drop_last else 0)):
             columns[f"{name}_ohe_{i}"] = (F.col(f"{name}_idx") == float(i)).cast("double")
     return df.withColumns(columns)
 
