@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dropping, materialize, query, table, whole
+from .common import dropping, give_back, materialize, query, table, whole
 from .exact_dedup import small
 
 WORDS = 5
@@ -35,7 +35,7 @@ COMMON, FLOOR = 0.01, 0.5
 #: Counters of each row of the sketch; rows; counters that are summed together; partial sketches that a task adds up.
 WIDTH, DEPTH, SEGMENT, FAN_IN = 1 << 18, 2, 1 << 12, 64
 #: Bytes of text that are worked on at a time.
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 20
 
 _rng = np.random.default_rng(20)
 #: Random numbers of the hash functions.
@@ -161,6 +161,7 @@ def count_documents(numbered: DataFrame) -> np.ndarray:
         used = [k for k in range(len(parts)) if parts[k].any()]
         columns = [pa.array(used, pa.int32()), pa.array([TaskContext.get().partitionId()] * len(used), pa.int64()), pa.array([parts[k].tobytes() for k in used], pa.binary())]
         yield pa.record_batch(columns, names=["segment", "part", "counts"])
+        give_back()
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = reduce(np.add, (np.frombuffer(c, "i8") for c in rows["counts"]))
@@ -229,6 +230,7 @@ def sign(numbered: DataFrame, weights: Weights) -> DataFrame:
                 some = batch.slice(low, high - low)
                 columns = [some.column(0), some.column(1), *(pa.array(p.view("i8")) for p in shingles.prints), bands]
                 yield pa.record_batch(columns, names=["uid", "id", "p", "q", "bands"])
+        give_back()
 
     kind = numbered.schema["id"].dataType.simpleString()
     return numbered.select("uid", "id", "text").mapInArrow(run, f"uid long, id {kind}, p long, q long, bands array<long>")
@@ -248,6 +250,7 @@ def vectors_of(numbered: DataFrame, weights: Weights) -> DataFrame:
                     packed["h"], packed["n"], packed["w"] = shingles.hash[a:b] >> np.uint64(32), shingles.count[a:b], idf[a:b]
                     out.append(packed.tobytes())
                 yield pa.record_batch([batch.column(0).slice(low, high - low), pa.array(out, pa.binary())], names=["uid", "vector"])
+        give_back()
 
     return numbered.select("uid", "text").mapInArrow(run, "uid long, vector binary")
 
@@ -279,6 +282,7 @@ def verify(pairs: DataFrame, numbered: DataFrame, weights: Weights, threshold: f
             a, b = batch.column(2), batch.column(3)
             found = [max(similarity(a[k].as_buffer(), b[k].as_buffer())) >= threshold for k in range(batch.num_rows)]
             yield batch.select(["uid", "leader"]).filter(pa.array(found, pa.bool_()))
+        give_back()
 
     found = joined.select("uid", "leader", "vector", "leader_vector").mapInArrow(run, "uid long, leader long")
     return materialize(found, "links")

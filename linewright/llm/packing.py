@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import query, table, whole
+from .common import give_back, query, table, whole
 from .tokens import encoder
 
 #: Sequence numbers of one worker: its partition number times this, and on.
@@ -113,6 +113,7 @@ def pack(
         rows.extend(bins.end())
         if rows:
             yield out(rows)
+        give_back()
 
     return docs.select(F.col(id_col), whole(text_col)).mapInArrow(worker, schema)
 
