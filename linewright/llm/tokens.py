@@ -1,7 +1,8 @@
 """Token ids of whole texts by the tokenizers library, each distinct piece between spaces encoded once.
 
 A text is cut at spaces where the tokenizer starts a new word anyway, so the ids of the pieces, joined, are the ids
-of the text. Pieces recur, so a bounded table of them answers most; the library encodes the others.
+of the text. Pieces recur, so a bounded table of them answers most; the library encodes the others, in byte-level
+vocabularies word by word, as different pieces hold the same words.
 """
 
 from __future__ import annotations
@@ -10,12 +11,21 @@ import functools
 import json
 import os
 import re
+import string
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
+
+from .bpe import byte_letters
 
 #: A space before one of these characters always begins a word. White space and format characters are left out.
 _WORD_START = "[!-~¡-¬®-ᙿ、-퟿豈-﷿]"
 _SPACE = re.compile(f" (?={_WORD_START})")
 
+#: Marks of ASCII: a run of them behind a word of letters is a word of its own.
+MARKS = string.punctuation
+#: Letters below this character are letters in every version of the tables that libraries carry.
+_SETTLED = "\u0530"
+
 #: Characters of text that are cut and encoded at a time.
 GROUP_CHARS = 1 << 20
 
@@ -23,11 +33,12 @@ GROUP_CHARS = 1 << 20
 class Pieces:
     """Ids of pieces that stand behind `lead`, encoded when first asked for.
 
-    It holds `room` pieces; then the older half is forgotten. Pieces longer than `longest` are not kept.
+    It holds `room` pieces; then the older half is forgotten. Pieces longer than `longest` are not kept. `words`, if given,
+    composes what it can, and the library encodes the other pieces.
     """
 
-    def __init__(self, encode, lead: str, room: int, longest: int = 48):
-        self.encode, self.lead, self.room, self.longest = encode, lead, room // 2, longest
+    def __init__(self, encode, lead: str, room: int, longest: int = 48, words: LetterWords | None = None):
+        self.encode, self.lead, self.room, self.longest, self.words = encode, lead, room // 2, longest, words
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.long: list[str] = []
@@ -41,9 +52,9 @@ class Pieces:
         known, older = self.known, self.older
         missing, tails = [], {}
         for piece in new:
-            if (ids := older.get(piece)) is not None:
+            if (ids := older.get(piece)) is not None or (self.words and (ids := self.words.of(self.lead, piece)) is not None):
                 known[piece] = ids
-            elif len(piece) > 1 and piece[-1] in ",." and piece[-2].isalpha():
+            elif not self.words and len(piece) > 1 and piece[-1] in ",." and piece[-2].isalpha():
                 tails[piece] = piece[:-1]  # no word goes over the border of a letter and a mark
             else:
                 missing.append(piece)
@@ -64,6 +75,50 @@ class Pieces:
             del self.known[piece]
 
 
+class LetterWords:
+    """Ids of byte-level pieces that are words of letters, each with marks behind it or not, on one or more lines.
+
+    A piece of this form is composed of its words' ids: a line break and the marks are words of their own. Each word goes to
+    the library's model once; `room` words are remembered, then the older half is forgotten. Other pieces give None.
+    """
+
+    def __init__(self, tokenizer, as_bytes: list[bytes], room: int, longest: int = 48):
+        self.model, self.as_bytes, self.room, self.longest = tokenizer.model, as_bytes, room // 2, longest
+        self.letters = dict(enumerate(byte_letters()))
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            if word.isascii() and word[0] == " ":
+                shown = self.letters[32] + word[1:]
+            else:
+                shown = word.encode().decode("latin-1").translate(self.letters)
+            ids = b"".join([self.as_bytes[x.id] for x in self.model.tokenize(shown)])
+        if len(word) <= self.longest:
+            if len(self.known) >= self.room:
+                self.older, self.known = self.known, {}
+            self.known[word] = ids
+        return ids
+
+    def of(self, lead: str, piece: str) -> bytes | None:
+        out = b""
+        for line in piece.split("\n") if "\n" in piece else (piece,):
+            word = line.rstrip(MARKS)
+            if not word.isalpha() or not (word.isascii() or max(word) < _SETTLED):
+                return None
+            if out:
+                out += self.known.get("\n") or self._word("\n")
+                lead = ""
+            marks = line[len(word) :]
+            word = lead + word
+            out += self.known.get(word) or self._word(word)
+            if marks:
+                out += self.known.get(marks) or self._word(marks)
+        return out
+
+
 class PieceEncoder:
     """Encodes texts as little-endian unsigned 32-bit ids; `room` pieces are remembered."""
 
@@ -76,8 +131,12 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size() + 1)]
         self.lead = self._lead(json.loads(self.tokenizer.to_str()))
-        self.inner = Pieces(self._ids, self.lead or "", room)
-        self.first = Pieces(self._ids, "", room // 20) if self.lead else self.inner
+        added = [x["content"] for x in json.loads(self.tokenizer.to_str()).get("added_tokens") or []]
+        # no added token is a part of such pieces if marks stand before letters or digits in each of them
+        plain = all(any(a in MARKS and b.isalnum() for a, b in pairwise(x)) for x in added)
+        self.words = LetterWords(self.tokenizer, self.as_bytes, room) if self.lead and plain else None
+        self.inner = Pieces(self._ids, self.lead or "", room, words=self.words)
+        self.first = Pieces(self._ids, "", room // 20, words=self.words) if self.lead else self.inner
 
     @staticmethod
     def _lead(layout: dict) -> str | None:

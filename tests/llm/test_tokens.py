@@ -222,3 +222,16 @@ def test_words_of_letters_get_the_ids_of_whole_texts(room):
     texts += [" ".join(rng.choice(["don't", "word", "Été", "naïve,", "x.", "ɐlpha", "ab", "", "9th"]) for _ in range(50)) for _ in range(40)]
     got = [np.frombuffer(x, "<u4").tolist() for x in PieceEncoder(BYTE, room).encode(texts)]
     assert got == library(BYTE, texts)
+
+
+@pytest.mark.parametrize("room", [8, 400_000])
+def test_pieces_composed_of_words_get_the_ids_of_whole_texts(room):
+    """Letters, marks and lines in all orders, next to white space and to added tokens."""
+    rng = random.Random(11)
+    parts = ["word", "Été", "ß", "g", "naïve", "!!", ",", ".", "'", "'s", "_", "9", "²", "\n", "\n\n", "\r\n", "\t", " ", "  ", "中", "ɐ", "бг", "x́", "\x1f", "\xa0", "<|endoftext|>", "<|", "|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(1500)]
+    texts += ["a\n" * 5000 + "b", "x" * 3000 + "!" * 300, "it's\ndon'\nt", "a.\n\nb", "a<|\nendoftext|>"]
+    encoder = PieceEncoder(BYTE, room)
+    assert encoder.words is not None
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+    assert got == library(BYTE, texts)
