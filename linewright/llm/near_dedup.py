@@ -3,7 +3,8 @@
 A document is its shingles of five words, each with the weight count * idf. Improved consistent weighted sampling draws,
 for each of BANDS * ROWS random seeds, one (shingle, level) so that two documents draw the same with a probability equal to
 their weighted Jaccard similarity. ROWS draws make a band key. Documents that share a key are candidates, and the weighted
-Jaccard similarity of the whole shingle sets decides.
+Jaccard similarity of the whole shingle sets decides. In rounds, leaders of each bucket of a key are compared with all other
+members, until no two members are left that are of different classes and were not compared.
 
 idf falls with the share of documents that hold a shingle, from 1 at a share of COMMON or less to FLOOR where all
 hold it: lines that stand everywhere count less, and a group of copies does not lose its weight. The share is counted over all
@@ -34,6 +35,8 @@ BANDS, ROWS = 16, 3
 COMMON, FLOOR = 0.01, 0.5
 #: Counters of each row of the sketch; rows; counters that are summed together; partial sketches that a task adds up.
 WIDTH, DEPTH, SEGMENT, FAN_IN = 1 << 18, 2, 1 << 12, 64
+#: A bucket with so many members outside its largest class has all of them lead at once; leaders of another one in its first further round.
+ALL_LEAD, LEADERS = 64, 4
 #: Bytes of text that are worked on at a time.
 GROUP_BYTES = 1 << 20
 
@@ -308,6 +311,52 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("uid", "root")
 
 
+def link_counts(links: DataFrame) -> DataFrame:
+    """(uid, links): how many links each row has."""
+    return links.select(F.explode(F.array("uid", "leader")).alias("uid")).groupBy("uid").agg(F.count("*").alias("links"))
+
+
+def further_links(rest: DataFrame, numbered: DataFrame, weights: Weights, threshold: float) -> DataFrame | None:
+    """Links between members of a bucket that were not compared; None if there are none.
+
+    `rest` has (band, key, uid, root, links): a bucket's members that have not led it, their class and number of links. In each
+    round leaders are compared with all members of other classes and leave; a pair of one class needs no link. Where few members
+    are outside the bucket's largest class, these lead, which leaves one class. Otherwise rows with most links lead first, as the
+    middle of a group joins it at once, and the number of leaders grows fourfold, so that a bucket of n members is done after
+    about log(n) / 2 rounds, whatever its members are.
+    """
+    out, leaders_each = None, LEADERS
+    while True:
+        parts = rest.groupBy("band", "key", "root").agg(F.count("*").alias("n"))
+        buckets = parts.groupBy("band", "key").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"))
+        buckets = buckets.filter("n > most.n").select("band", "key", F.col("most.root").alias("largest"), (F.col("n") - F.col("most.n")).alias("others"))
+        buckets = materialize(buckets, "open-buckets")
+        if buckets.isEmpty():
+            return out
+        rest = materialize(rest.join(small(buckets), ["band", "key"]), "open-members")
+        few = F.col("others") <= ALL_LEAD
+        slot = F.when(few, F.col("uid")).otherwise(F.pmod(F.xxhash64("uid", F.lit(leaders_each)), F.lit(leaders_each)))
+        best = F.max(F.struct("links", F.xxhash64("uid").alias("hash"), "uid", "root")).alias("best")
+        leaders = rest.filter(~few | (F.col("root") != F.col("largest"))).groupBy("band", "key", slot.alias("slot")).agg(best)
+        leaders = materialize(leaders.select("band", "key", F.col("best.uid").alias("leader"), F.col("best.root").alias("leader_root")), "leaders")
+        pairs = rest.join(small(leaders), ["band", "key"]).filter("root <> leader_root")
+        pairs = pairs.select(F.greatest("uid", "leader").alias("uid"), F.least("uid", "leader").alias("leader")).distinct()
+        links = verify(materialize(pairs, "pairs"), numbered, weights, threshold)
+        left = rest.drop("largest", "others").join(small(leaders.select("band", "key", F.col("leader").alias("uid"))), ["band", "key", "uid"], "left_anti")
+        if not links.isEmpty():
+            out = links if out is None else out.unionByName(links)
+            root_of = rest.select("uid", "root").distinct()
+            edges = links.join(root_of, "uid").select("leader", F.col("root").alias("a")).join(root_of.withColumnRenamed("uid", "leader"), "leader")
+            merged = components(materialize(edges.select(F.col("a").alias("uid"), F.col("root").alias("leader")).distinct(), "merged"))
+            merged = merged.select(F.col("uid").alias("root"), F.col("root").alias("now"))
+            made = link_counts(links).withColumnRenamed("links", "made")
+            left = left.join(merged, "root", "left").join(made, "uid", "left").select(
+                "band", "key", "uid", F.coalesce("now", "root").alias("root"), (F.col("links") + F.coalesce("made", F.lit(0))).alias("links")
+            )
+        rest = materialize(left, "bucket-members")
+        leaders_each *= 4
+
+
 def classes(numbered: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """From a written (uid, id, text): uid and class of rows in classes of two or more, and links."""
     weights = Weights(count_documents(numbered), numbered.count())
@@ -319,13 +368,22 @@ def classes(numbered: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
     copies = materialize(copies, "copies")
     distinct = signed.join(small(copies.select("uid")), "uid", "left_anti").select("uid", F.posexplode("bands").alias("band", "key"))
 
-    # in each bucket every member is compared with the first and the last of it, which differ from band to band
-    ends = distinct.groupBy("band", "key").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).filter("first < last")
+    # in each bucket every member is compared with the first and the last of it, which leaves no pair where there are three
+    ends = distinct.groupBy("band", "key").agg(F.min("uid").alias("first"), F.max("uid").alias("last"), F.count("*").alias("n")).filter("first < last")
     ends = materialize(ends, "buckets")
-    met = distinct.join(small(ends), ["band", "key"])
+    met = distinct.join(small(ends.drop("n")), ["band", "key"])
     pairs = met.select("uid", F.explode(F.array("first", "last")).alias("leader")).filter("uid <> leader")
     pairs = materialize(pairs.select(F.greatest("uid", "leader").alias("uid"), F.least("uid", "leader").alias("leader")).distinct(), "pairs")
     links = verify(pairs, numbered, weights, threshold).unionByName(copies)
+    found = components(links)
+
+    rest = distinct.join(small(ends.filter("n > 3").drop("n")), ["band", "key"]).filter("uid <> first AND uid <> last")
+    rest = rest.join(found, "uid", "left").join(link_counts(links), "uid", "left")
+    rest = rest.select("band", "key", "uid", F.coalesce("root", "uid").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
+    more = further_links(materialize(rest, "bucket-members"), numbered, weights, threshold)
+    if more is None:
+        return found, links
+    links = links.unionByName(more)
     return components(links), links
 
 
@@ -347,10 +405,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     best = members.groupBy("root").agg(F.min(order).alias("best"), F.count("*").alias("class_size"))
     best = materialize(best.select("root", F.col("best.id").alias("class_id"), F.col("best.uid").alias("best_uid"), "class_size"), "classes")
     placed = members.select("uid", "root").join(best, "root")
-    counted = links.select(F.explode(F.array("uid", "leader")).alias("uid")).groupBy("uid").agg(F.count("*").alias("links"))
     return (
         rows.join(placed, "uid", "left")
-        .join(counted, "uid", "left")
+        .join(link_counts(links), "uid", "left")
         .select(
             F.col("id").alias(id_col),
             F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
