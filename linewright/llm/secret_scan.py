@@ -4,12 +4,13 @@ A candidate is a long run of token characters with letters and digits. Its encod
 Under the hypothesis that its symbols are drawn evenly from that alphabet, three tests give p-values: chi-squared
 over the alphabet, the number of runs above and below the middle, and the correlation of neighbours. Fisher's method
 combines them. Random strings have p-values spread evenly over 0 to 1, written words pile up near 0. So in each
-stratum of encoding and length, the even part's height gives how many candidates are random, and the threshold is
-the lowest p-value above which at most `rate` of the strings that are called secret are not random.
+stratum of encoding and length, the even part's height gives how many distinct candidates are random, and the threshold is
+the lowest p-value above which at most `rate` of the distinct strings that are called secret are not random.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import defaultdict
@@ -100,21 +101,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, float, bool]]:
-    """(start, end, stratum, p-value, whether a base span holds it) of strings that can be tested."""
+def hash_of(symbols: str) -> int:
+    """64 bits that are the same in all workers."""
+    return int.from_bytes(hashlib.blake2b(symbols.encode(), digest_size=8).digest(), "big", signed=True)
+
+
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, float, bool, int]]:
+    """(start, end, stratum, p-value, whether a base span holds it, hash) of strings that can be tested."""
     out = []
     for m in CANDIDATE.finditer(text):
         symbols = m[0].rstrip("=")
         if (encoding := encoding_of(symbols)) is not None:
             inside = any(s <= m.start() and m.end() <= e for s, _, e in base)
             stratum = f"{encoding}:{len(symbols).bit_length()}"
-            out.append((m.start(), m.end(), stratum, combined(battery(symbols, encoding)), inside))
+            out.append((m.start(), m.end(), stratum, combined(battery(symbols, encoding)), inside, hash_of(symbols)))
     return out
 
 
 FOUND = (
     "base array<struct<start:int,rank:int,stop:int>>, "
-    "tested array<struct<start:int,stop:int,stratum:string,p:double,inside:boolean>>"
+    "tested array<struct<start:int,stop:int,stratum:string,p:double,inside:boolean,hash:long>>"
 )
 
 
@@ -126,7 +132,7 @@ def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(
             {
                 "base": [named(("start", "rank", "stop"), row) for row in base],
-                "tested": [named(("start", "stop", "stratum", "p", "inside"), row) for row in tested],
+                "tested": [named(("start", "stop", "stratum", "p", "inside", "hash"), row) for row in tested],
             }
         )
 
@@ -155,9 +161,9 @@ def find_secrets(
 
     Kinds assign, access and hex are the base patterns; random are strings that the tests call random and no base
     span holds. Offsets are code points, stop exclusive. Each text is scanned whole and once; what was found is written,
-    the p-values of all candidates of the corpus are counted by stratum (a few thousand counts at most), and the
-    thresholds select. Null and empty texts have no spans; repeated rows count as often as they occur; an empty table
-    gives no rows. A column that is named like `spans` already is an error; other columns are kept as they are.
+    the p-values of all distinct candidates of the corpus are counted by stratum (a few thousand counts at most), and the
+    thresholds select among all occurrences. Null and empty texts have no spans; a string counts once, however often it
+    occurs; an empty table gives no rows. A column that is named like `spans` already is an error; other columns are kept as they are.
     """
     keep = docs.columns if keep is None else keep
     if free_name(keep, spans) != spans:
@@ -165,7 +171,7 @@ def find_secrets(
     found = free_name(docs.columns, "found")
     scanned = docs.withColumn(found, F.pandas_udf(_scan, FOUND)(whole(text_col))).select(*[F.col(f"`{c}`") for c in keep], found)
     scanned = materialize(scanned, "scanned")
-    each = scanned.select(F.explode(f"{found}.tested").alias("c")).select("c.stratum", "c.p")
+    each = scanned.select(F.explode(f"{found}.tested").alias("c")).select("c.stratum", "c.hash", "c.p").distinct()
     bin_of = F.size(F.filter(F.array(*map(F.lit, EDGES)), lambda e: e < F.col("p")))
     rows = each.groupBy("stratum", bin_of.alias("bin")).count().collect()  # at most 8 x 32 x 71 counts
     counts: dict[str, dict[int, int]] = defaultdict(dict)

@@ -102,6 +102,28 @@ def test_scan_finds_random_strings_and_keeps_base_spans(docs_of, odd_rows):
     assert [s["kind"] for s in found[500]] == ["assign", "hex"]
 
 
+def key_with(rng, encoding, length, low, high):
+    """A random string of just this encoding with a p-value between these."""
+    while True:
+        key = "".join(rng.choices(secret_scan.ALPHABETS[encoding], k=length))
+        if secret_scan.encoding_of(key) == encoding and low < secret_scan.combined(secret_scan.battery(key, encoding)) < high:
+            return key
+
+
+@pytest.mark.parametrize("place", [(0.4, 0.45), (0.9, 0.95)])
+def test_a_hot_string_counts_once(docs_of, place):
+    """Neither are keys lost nor written strings let pass because one key stands in many documents."""
+    rng = random.Random(6)
+    hot = key_with(rng, "base62", 40, *place)
+    keys = [key_with(rng, "base62", 40, (i + 0.2) / 150, (i + 0.8) / 150) for i in range(150)]
+    written = [key_with(rng, "base62", 40, 0, 0.02) for _ in range(150)]
+    rows = list(enumerate(keys + written)) + [(1000 + i, f"a {hot} b") for i in range(2000)]
+    found = {r["doc_id"] for r in secret_scan.find_secrets(docs_of(rows), keep=["doc_id"]).filter("size(secrets) > 0").select("doc_id").collect()}
+    assert found >= set(range(1000, 3000))
+    assert len(found & set(range(150))) >= 135
+    assert len(found & set(range(150, 300))) <= 15
+
+
 def test_query_digest_and_columns(spark):
     from linewright.llm.common import QUERIES
 
