@@ -6,6 +6,7 @@ over the alphabet, the number of runs above and below the middle, and the correl
 combines them. Random strings have p-values spread evenly over 0 to 1, written words pile up near 0. So in each
 stratum of encoding and length, the even part's height gives how many distinct candidates are random, and the threshold is
 the lowest p-value above which at most `rate` of the distinct strings that are called secret are not random.
+A stratum with too few strings for this has a fixed threshold, unless its own strings speak against it.
 """
 
 from __future__ import annotations
@@ -54,6 +55,9 @@ _VALUES = {name: {c: i for i, c in enumerate(letters)} for name, letters in ALPH
 #: Upper edges of the p-value bins that thresholds are taken from.
 EDGES = [10.0**-k for k in range(8, 2, -1)] + [0.01] + [k / 64 for k in range(1, 65)]
 
+#: With fewer distinct strings above one half, the even part's height is not estimated but bounded; the threshold is then this at least.
+ENOUGH, LEAST_P = 30, 0.01
+
 
 def encoding_of(symbols: str) -> str | None:
     """The smallest alphabet that holds all symbols; None if there is none, or no letter, or no digit."""
@@ -154,6 +158,33 @@ def thresholds(counts: dict[str, dict[int, int]], rate: float) -> dict[str, floa
     return out
 
 
+def most_random(above: int) -> int:
+    """The least number of random strings of which `above` or fewer are above one half with a chance of 1 in 20 at most."""
+    n = above
+    while sum(math.comb(n, k) for k in range(above + 1)) > 0.05 * 2**n:
+        n += 1
+    return n
+
+
+def all_thresholds(counts: dict[str, dict[int, int]], rate: float) -> dict[str, float]:
+    """A threshold for every stratum: that of `thresholds` where many strings are above one half.
+
+    Elsewhere chance decides how many are above, none with a lone key half of the time. There the number of random strings is
+    taken as high as chance allows, so LEAST_P is the threshold unless more strings pass than that.
+    """
+    above = {stratum: sum(n for at, n in bins.items() if at > 0 and EDGES[at - 1] >= 0.5) for stratum, bins in counts.items()}
+    out = thresholds({stratum: bins for stratum, bins in counts.items() if above[stratum] >= ENOUGH}, rate)
+    for stratum, bins in counts.items():
+        if above[stratum] >= ENOUGH:
+            continue
+        random, claimed = most_random(above[stratum]), 0
+        for at in range(len(EDGES) - 1, EDGES.index(LEAST_P), -1):
+            claimed += bins.get(at, 0)
+            if claimed - random * (1 - EDGES[at - 1]) <= rate * claimed:
+                out[stratum] = EDGES[at - 1]
+    return out
+
+
 def find_secrets(
     docs: DataFrame, spans: str = "secrets", text_col: str = "text", keep: list[str] | None = None, rate: float = 0.05
 ) -> DataFrame:
@@ -177,7 +208,7 @@ def find_secrets(
     counts: dict[str, dict[int, int]] = defaultdict(dict)
     for r in rows:
         counts[r["stratum"]][min(r["bin"], len(EDGES) - 1)] = r["count"]
-    limit = thresholds(counts, rate)
+    limit = all_thresholds(counts, rate)
     table_of = F.create_map(*[F.lit(x) for pair in sorted(limit.items()) for x in pair]) if limit else None
 
     def span(start: Column, rank: Column, stop: Column) -> Column:

@@ -124,6 +124,21 @@ def test_a_hot_string_counts_once(docs_of, place):
     assert len(found & set(range(150, 300))) <= 15
 
 
+def test_a_lone_key_of_each_stratum_is_found(docs_of):
+    """Keys with p-values below one half, each the only string of its encoding and length."""
+    rng = random.Random(7)
+    keys = {i: key_with(rng, encoding, length, 0.02, 0.5) for i, (encoding, length) in enumerate((e, n) for e in secret_scan.ALPHABETS for n in (28, 50, 100))}
+    found = {r["doc_id"]: r["secrets"] for r in secret_scan.find_secrets(docs_of([(i, f"a {key} b") for i, key in keys.items()])).collect()}
+    assert [i for i in keys if (2, 2 + len(keys[i])) not in {(s["start"], s["stop"]) for s in found[i]}] == []
+
+
+def test_few_written_strings_have_a_threshold_that_stops_them():
+    at = lambda p: sum(e < p for e in secret_scan.EDGES)
+    assert secret_scan.all_thresholds({"s": {0: 50}}, 0.05)["s"] == secret_scan.LEAST_P
+    assert secret_scan.all_thresholds({"s": {at(0.3): 1}}, 0.05)["s"] == secret_scan.LEAST_P
+    assert secret_scan.all_thresholds({"s": {at(0.03): 200, at(0.3): 3}}, 0.05)["s"] >= 0.03
+
+
 def test_query_digest_and_columns(spark):
     from linewright.llm.common import QUERIES
 
