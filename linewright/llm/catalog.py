@@ -6,6 +6,7 @@ from . import (  # noqa: F401
     bpe,
     exact_dedup,
     language,
+    merkle,
     near_dedup,
     packing,
     secret_scan,
