@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import (  # noqa: F401
     bpe,
     exact_dedup,
+    hard_negatives,
     language,
     merkle,
     near_dedup,
