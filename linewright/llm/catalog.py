@@ -10,6 +10,7 @@ from . import (  # noqa: F401
     merkle,
     near_dedup,
     packing,
+    personal_data,
     secret_scan,
     sequence_files,
     sharding,

@@ -3,7 +3,7 @@
 Rows of a group (a source), in the order of their ids, are the leaves of a tree: each run of ARITY nodes becomes one node, until one
 is left, the group's root. The roots of all groups, in the order of the groups, are the leaves of one more tree.
 
-Aligned builders: a builder takes SPAN = ARITY ** LEVELS leaves that stand at a multiple of SPAN, appends them one by one and writes
+Aligned builders: a builder takes ARITY ** LEVELS leaves, the first at a multiple of that number, appends them one by one and writes
 each node as soon as it is complete, so its log is a postorder sequence. Where a tree needs more builders, their roots are the
 leaves of the builders of the next round. A node's place in such a log follows from its level, its index and the number of leaves
 alone (`position`), so siblings are read by their addresses; complete subtrees keep theirs however many leaves are appended.
@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 from .common import bucket_of, materialize, query, table
 
 ARITY = 16
-#: Levels that a builder makes above its leaves, and its leaves.
+#: Levels that a builder makes above its leaves.
 LEVELS = 3
-SPAN = ARITY**LEVELS
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -80,9 +79,9 @@ class Builder:
         return self.log
 
 
-def segment(leaves: list[str], of: int) -> list[str]:
-    """The log of a builder in a tree of `of` leaves."""
-    builder = Builder(min(LEVELS, height(of)))
+def segment(leaves: list[str], top: int) -> list[str]:
+    """The log of a builder that makes `top` levels."""
+    builder = Builder(top)
     for leaf in leaves:
         builder.append(leaf)
     return builder.finish()
@@ -145,24 +144,30 @@ BUILT = "tree string, block long, leaves long, root binary, log binary"
 
 @dataclass
 class Tree:
-    """Builders by round. Round 0 has `members`, its leaves' further columns in their order."""
+    """Builders by round, the roots, and the levels of a builder. Round 0 also has its leaves' further columns in their order."""
 
     rounds: list[DataFrame]
     roots: DataFrame
+    levels: int
 
+    @property
+    def span(self) -> int:
+        """Leaves of a builder."""
+        return ARITY**self.levels
 
-def grow(nodes: DataFrame, payload: str) -> Tree:
+
+def grow(nodes: DataFrame, payload: str, levels: int) -> Tree:
     """The trees of (tree, rank, leaves, node, ...); `payload` are the further columns, with their types, kept by round 0."""
-    rounds = []
+    rounds, span = [], ARITY**levels
     names = [x.split()[0] for x in payload.split(",")]
 
     def build(group: pa.Table) -> pa.Table:
         group = group.sort_by("rank")
         of = group.column("leaves")[0].as_py()
-        log = segment([x.as_py().hex() for x in group.column("node")], of)
+        log = segment([x.as_py().hex() for x in group.column("node")], min(levels, height(of)))
         columns = {
             "tree": group.column("tree").slice(0, 1),
-            "block": pa.array([group.column("rank")[0].as_py() // SPAN], pa.int64()),
+            "block": pa.array([group.column("rank")[0].as_py() // span], pa.int64()),
             "leaves": pa.array([of], pa.int64()),
             "root": pa.array([bytes.fromhex(log[-1])], pa.binary()),
             "log": pa.array([bytes.fromhex("".join(log))], pa.binary()),
@@ -174,18 +179,18 @@ def grow(nodes: DataFrame, payload: str) -> Tree:
 
     while True:
         schema = BUILT if rounds else BUILT + "".join(f", {x.split()[0]} array<{x.split()[1]}>" for x in payload.split(","))
-        blocks = nodes.withColumn("block", F.expr(f"rank div {SPAN}")).groupBy("tree", "block")
+        blocks = nodes.withColumn("block", F.expr(f"rank div {span}")).groupBy("tree", "block")
         made = blocks.applyInArrow(build, schema)
         rounds.append(materialize(made, f"builders-{len(rounds)}"))
-        unfinished = rounds[-1].filter(F.col("leaves") > SPAN)
+        unfinished = rounds[-1].filter(F.col("leaves") > span)
         if unfinished.isEmpty():
             break
-        nodes = unfinished.select("tree", F.col("block").alias("rank"), F.expr(f"(leaves + {SPAN - 1}) div {SPAN}").alias("leaves"), F.col("root").alias("node"))
-    done = [r.filter(F.col("leaves") <= SPAN).select("tree", F.col("root").alias("node")) for r in rounds]
+        nodes = unfinished.select("tree", F.col("block").alias("rank"), F.expr(f"(leaves + {span - 1}) div {span}").alias("leaves"), F.col("root").alias("node"))
+    done = [r.filter(F.col("leaves") <= span).select("tree", F.col("root").alias("node")) for r in rounds]
     roots = done[0]
     for more in done[1:]:
         roots = roots.unionByName(more)
-    return Tree(rounds, roots)
+    return Tree(rounds, roots, levels)
 
 
 def _nodes(log: bytes) -> list[str]:
@@ -193,55 +198,57 @@ def _nodes(log: bytes) -> list[str]:
     return [text[at : at + 64] for at in range(0, len(text), 64)]
 
 
-def _builder_runs(log: bytes, block: int, of: int) -> tuple[list[list[str]], int]:
+def _builder_runs(row: dict, levels: int) -> tuple[list[list[str]], int]:
     """The runs of a builder and the number of its leaves."""
-    leaves = min(SPAN, of - block * SPAN)
-    return runs(_nodes(log), leaves, min(LEVELS, height(of))), leaves
+    leaves = min(ARITY**levels, row["leaves"] - row["block"] * ARITY**levels)
+    return runs(_nodes(row["log"]), leaves, min(levels, height(row["leaves"]))), leaves
 
 
 PATH = "array<struct<l:string,r:string>>"
 _PATH = pa.list_(pa.struct([("l", pa.string()), ("r", pa.string())]))
 
 
-def _with_paths(round_: DataFrame, from_above: DataFrame | None, of_roots: DataFrame) -> DataFrame:
+def _with_paths(round_: DataFrame, span: int, from_above: DataFrame | None, of_roots: DataFrame) -> DataFrame:
     """A round's builders with `path`, that of the builder's root: of its tree's root if the builder is the only one."""
-    last = round_.filter(F.col("leaves") <= SPAN).join(of_roots, "tree")
+    last = round_.filter(F.col("leaves") <= span).join(of_roots, "tree")
     if from_above is None:
         return last
-    return last.unionByName(round_.filter(F.col("leaves") > SPAN).join(from_above, ["tree", "block"]))
+    return last.unionByName(round_.filter(F.col("leaves") > span).join(from_above, ["tree", "block"]))
 
 
 def handed_down(tree: Tree, of_roots: DataFrame) -> DataFrame:
     """Round 0 with the path of each builder's root, from the (tree, path) of the trees' roots."""
+    height_, span = tree.levels, tree.span
 
     def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                levels, leaves = _builder_runs(row["log"], row["block"], row["leaves"])
+                levels, leaves = _builder_runs(row, height_)
                 paths = [[{"l": a, "r": b} for a, b in local_path(levels, k)] + row["path"] for k in range(leaves)]
-                ranks = [row["block"] * SPAN + k for k in range(leaves)]
+                ranks = [row["block"] * span + k for k in range(leaves)]
                 columns = [pa.array([row["tree"]] * leaves, pa.string()), pa.array(ranks, pa.int64()), pa.array(paths, _PATH)]
                 yield pa.record_batch(columns, names=["tree", "block", "path"])
 
     above = None
     for round_ in reversed(tree.rounds[1:]):
-        paths = _with_paths(round_, above, of_roots).select("tree", "block", "leaves", "log", "path")
+        paths = _with_paths(round_, span, above, of_roots).select("tree", "block", "leaves", "log", "path")
         above = materialize(paths.mapInArrow(down, f"tree string, block long, path {PATH}"), "paths")
-    return _with_paths(tree.rounds[0], above, of_roots)
+    return _with_paths(tree.rounds[0], span, above, of_roots)
 
 
 def log_of(tree: Tree) -> DataFrame:
     """The append log of each tree: (tree, position, level, digest), a row for each node."""
+    height_, span = tree.levels, tree.span
 
     def of_round(number: int):
         def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
                     of, log, out = row["leaves"], _nodes(row["log"]), []
-                    here = min(SPAN, of - row["block"] * SPAN)
-                    for level in range(1 if number else 0, min(LEVELS, height(of)) + 1):
+                    here = min(span, of - row["block"] * span)
+                    for level in range(1 if number else 0, min(height_, height(of)) + 1):
                         for index in range(-(-here // ARITY**level)):
-                            deep, at = level + LEVELS * number, index + row["block"] * SPAN // ARITY**level
+                            deep, at = level + height_ * number, index + row["block"] * span // ARITY**level
                             out.append((row["tree"], position(deep, at, row["of"]), deep, log[position(level, index, here)]))
                     yield pa.RecordBatch.from_pylist([dict(zip(("tree", "position", "level", "digest"), x, strict=True)) for x in out], schema)
 
@@ -268,7 +275,7 @@ class Manifest:
     id_type: str
 
 
-def build_manifest(docs: DataFrame, claimed: Column | None = None) -> Manifest:
+def build_manifest(docs: DataFrame, claimed: Column | None = None, levels: int = LEVELS) -> Manifest:
     """The manifest of (doc_id, source, lang, n_chars, text); `claimed` is a leaf to be checked in place of the row's own, if not null.
 
     Leaves of a source ascend by doc_id, null first; rows with the same doc_id by their digest, so the manifest depends on the rows
@@ -281,9 +288,9 @@ def build_manifest(docs: DataFrame, claimed: Column | None = None) -> Manifest:
     rows = docs.select(group.alias("tree"), "doc_id", leaf_of().alias("node"), claimed.alias("claimed"))
     rows = materialize(rows.withColumn("uid", F.monotonically_increasing_id()), "leaves")  # read again by range samples
     rows = rows.select("tree", "node", "claimed", "doc_id", F.col("doc_id").alias("o1"), F.col("node").alias("o2"), F.col("uid").alias("o3"))
-    groups = grow(ranked(rows, "o1", "o2", "o3").withColumn("leaf", F.col("node")), f"doc_id {kind},leaf binary,claimed binary")
+    groups = grow(ranked(rows, "o1", "o2", "o3").withColumn("leaf", F.col("node")), f"doc_id {kind},leaf binary,claimed binary", levels)
     roots = groups.roots.select(F.lit("").alias("tree"), F.col("tree").alias("o1"), F.col("tree").alias("name"), "node")
-    return Manifest(groups, grow(ranked(roots, "o1"), "name string"), kind)
+    return Manifest(groups, grow(ranked(roots, "o1"), "name string", levels), kind)
 
 
 def proofs(manifest: Manifest) -> DataFrame:
@@ -292,13 +299,13 @@ def proofs(manifest: Manifest) -> DataFrame:
     The proof is the digest of all siblings from the leaf to the root. `folded_root` is what the claimed leaf (if there is one, else
     the leaf) gives with these siblings, and `verified` whether that is the root. Rows that are wholly equal have a row each.
     """
-    nothing = F.array().cast(PATH)
+    nothing, height_ = F.array().cast(PATH), manifest.groups.levels
     top = manifest.top.roots.select("tree", F.hex("node").alias("root"), nothing.alias("path"))
 
     def of_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                levels, leaves = _builder_runs(row["log"], row["block"], row["leaves"])
+                levels, leaves = _builder_runs(row, height_)
                 paths = [[{"l": a, "r": b} for a, b in local_path(levels, k)] + row["path"] for k in range(leaves)]
                 columns = [pa.array(row["name"], pa.string()), pa.array([row["root"].lower()] * leaves, pa.string()), pa.array(paths, _PATH)]
                 yield pa.record_batch(columns, names=["tree", "root_hex", "path"])
@@ -317,7 +324,7 @@ def proofs(manifest: Manifest) -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):
                 row = {name: batch.column(name)[at].as_py() for name in ("log", "block", "leaves", "path", "subroot", "root_hex", "leaf", "claimed")}
-                levels, leaves = _builder_runs(row["log"], row["block"], row["leaves"])
+                levels, leaves = _builder_runs(row, height_)
                 above = [(x["l"], x["r"]) for x in row["path"]]
                 proof, folded = [], []
                 for k, (leaf, claim) in enumerate(zip(row["leaf"], row["claimed"], strict=True)):
