@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import bounds_sketch, cumulate
+from ..session import materialize
+from .ranking import cumulate
 
 STEPS = 101  # thresholds 0.00, 0.01 ... 1.00
 
@@ -23,27 +24,21 @@ def _or_zero(part: Column, whole: Column) -> Column:
 
 
 @dataclass(frozen=True)
-class ScoreProfile:
-    """Class sizes and range bounds of a scored table, from one scan."""
+class ScorePoints:
+    """Per distinct score, from the highest down: positives and negatives at it (``pos``, ``neg``) and at or above it
+    (``cum_pos``, ``cum_neg``); and the sizes of both classes."""
 
+    table: DataFrame
     positives: int
     negatives: int
-    bounds: list[float]
 
 
-def score_profile(df: DataFrame, label: str, score: str) -> ScoreProfile:
-    rows = _scored(df, label, score)
-    sizes = [F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")]
-    row = rows.agg(*sizes, bounds_sketch(rows, "p").alias("bounds")).first()
-    return ScoreProfile(row["pos"], row["neg"], sorted(set(row["bounds"] or [])))
-
-
-def score_points(df: DataFrame, label: str, score: str, profile: ScoreProfile) -> DataFrame:
-    """Per distinct score, from the highest down: positives and negatives at it (``pos``,
-    ``neg``) and at or above it (``cum_pos``, ``cum_neg``)."""
-    rows = _scored(df, label, score)
-    points = rows.groupBy("p").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
-    return cumulate(points, "p", ["pos", "neg"], profile.bounds, descending=True)
+def score_points(df: DataFrame, label: str, score: str) -> ScorePoints:
+    """One scan of the scored rows, whose counts per score are stored; all else reads these."""
+    pos, neg = F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")
+    points = materialize(_scored(df, label, score).groupBy("p").agg(pos, neg), "points")
+    sizes = points.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).first()
+    return ScorePoints(cumulate(points, "p", ["pos", "neg"], descending=True), sizes["pos"] or 0, sizes["neg"] or 0)
 
 
 def _with_anchor(points: DataFrame, **values: float) -> DataFrame:
@@ -58,8 +53,8 @@ def _with_anchor(points: DataFrame, **values: float) -> DataFrame:
 def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """Precision and recall when everything scored at or above the threshold is called positive;
     one row per distinct score and the end point (1, 0)."""
-    profile = score_profile(df, label, score)
-    points = score_points(df, label, score, profile).select(
+    profile = score_points(df, label, score)
+    points = profile.table.select(
         F.col("p").alias("threshold"),
         (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
         _or_zero(F.col("cum_pos"), F.lit(profile.positives)).alias("recall"),
@@ -69,8 +64,8 @@ def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """False and true positive rate per distinct score and the end point (0, 0)."""
-    profile = score_profile(df, label, score)
-    points = score_points(df, label, score, profile).select(
+    profile = score_points(df, label, score)
+    points = profile.table.select(
         F.col("p").alias("threshold"),
         _or_zero(F.col("cum_neg"), F.lit(profile.negatives)).alias("fpr"),
         _or_zero(F.col("cum_pos"), F.lit(profile.positives)).alias("tpr"),
@@ -81,14 +76,14 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
 def ranking_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
     """Average precision, area under the ROC curve and trapezoid area under the PR curve; tied
     scores count together. NULL when a class is absent that the measure needs."""
-    profile = score_profile(df, label, score)
+    profile = score_points(df, label, score)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     cum_pos, cum_neg = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
     above = cum_pos + cum_neg
     precision = cum_pos / above
     precision_before = F.coalesce(F.try_divide(cum_pos - pos, above - pos - neg), precision)
     p, n = F.lit(float(profile.positives) or None), F.lit(float(profile.negatives) or None)
-    return score_points(df, label, score, profile).agg(
+    return profile.table.agg(
         (F.sum(pos * precision) / p).alias("avg_precision"),
         (F.sum(neg * (cum_pos - pos / 2)) / (p * n)).alias("auc_roc"),
         (F.sum(pos * (precision + precision_before) / 2) / p).alias("auc_pr_trapezoid"),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import epoch_us, seconds_of, slice_start
-from .slices import fitting_slice
+from .slices import before_slices
 
 _US = 1_000_000
 
@@ -130,7 +130,7 @@ def asof_join(
     spine_time: str,
     feature_time: str,
     prefix: str = "",
-    slice_size: str | None = None,
+    slice_size: str = "1 hour",
     salts: int = 1,
     forward: bool = False,
     within: str | None = None,
@@ -139,14 +139,12 @@ def asof_join(
     feature rows are unique per (key, time) and may lie anywhere in time. ``forward`` looks for
     the first one at or after the row instead, ``within`` limits the distance.
 
-    Time is cut into slices. The value at the start of a slice comes from one row per (key,
-    slice); inside a slice spine and feature rows are merged in time order. Groups are thus one
-    key in one slice, and with ``salts`` the spine rows of such a group are dealt by content
-    hash over that many groups, each with its own copy of the slice's feature rows. Without
-    ``slice_size`` both are chosen by counting the rows of the busiest groups.
+    Time is cut into slices. The value at the start of a slice comes from the newest feature rows of the
+    slices, which :func:`~linewright.operators.slices.before_slices` merges without a group per key; inside a slice
+    spine and feature rows are merged in time order. Groups are thus one key in one slice, and with ``salts`` the spine
+    rows of such a group are dealt by content hash over that many groups, each with its own copy of the slice's
+    feature rows. A key with millions of rows an hour wants a shorter ``slice_size``.
     """
-    if slice_size is None:
-        slice_size, salts = fitting_slice([(spine, spine_time), (features, feature_time)], keys)
     width = F.lit(seconds_of(slice_size) * _US).cast("long")
 
     def clock(column: str) -> Column:
@@ -170,15 +168,11 @@ def asof_join(
         F.struct(*own).alias("_row"),
     )
 
-    ends = f.groupBy(*keys, "_slice").agg(F.max_by("_p", "_t").alias("_p"))
-    asked = s.select(*keys, "_slice").distinct().withColumn("_asked", F.lit(True))
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
-    starts = (
-        asked.unionByName(ends, allowMissingColumns=True)
-        .withColumn("_p", F.last("_p", ignorenulls=True).over(earlier))
-        .filter(F.col("_asked") & F.col("_p").isNotNull())
-        .select(*keys, "_slice", F.col("_slice").alias("_t"), F.lit(0).alias("_kind"), "_p")
-    )
+    ends = f.groupBy(*keys, "_slice").agg(F.max_by("_p", "_t").alias("_p"), F.max("_t").alias("_t"))
+    newest = {"_p": lambda: F.max_by("_p", "_t"), "_t": lambda: F.max("_t")}
+    asked = s.select(*keys, "_slice").distinct()
+    starts = before_slices(ends, asked, keys, seconds_of(slice_size) * _US, newest)
+    starts = starts.select(*keys, "_slice", F.col("_slice").alias("_t"), F.lit(0).alias("_kind"), "_p")
     inside = f.select(*keys, "_slice", "_t", F.lit(1).alias("_kind"), "_p")
     copies = starts.unionByName(inside).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     order = (

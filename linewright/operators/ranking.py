@@ -6,56 +6,47 @@ import math
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 
-def bounds_sketch(df: DataFrame, column: str, ranges: int | None = None) -> Column:
-    """Aggregate for the values that cut a column into ranges of about equal row count. Tasks
-    send a sketch each; the result is at most a thousand numbers."""
-    if ranges is None:
-        ranges = min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2), 1000)
-    probabilities = [i / ranges for i in range(1, ranges)]
-    return F.percentile_approx(F.col(column).cast("double"), probabilities, max(10_000, 20 * ranges))
+#: Values of a range, and ranges whose totals are added up in one group.
+RANGE_ROWS, FAN = 1_000_000, 1024
 
 
 def cumulate(
-    points: DataFrame,
-    order: str,
-    sums: list[str],
-    bounds: list[float],
-    descending: bool = False,
+    points: DataFrame, order: str, sums: list[str], descending: bool = False, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """Add ``cum_<name>`` for each of ``sums``: its total over all rows up to and including this
-    one in ``order``. ``points`` has one row per value of ``order``.
+    one in ``order``. ``points`` is a stored frame with one row per value of ``order``.
 
-    The value range is cut at ``bounds``. Each range is summed on its own; the totals of the
-    ranges before it (one row per range) are broadcast and added.
+    A prefix sum on two levels. The rows are sorted over the cluster into ranges of about ``range_rows``, as many
+    as that takes, and stored in this order. Each range is summed on its own. The totals of the ranges are summed in blocks
+    of ``FAN`` ranges, and the totals of the blocks (one row for ``FAN * range_rows`` values) in one group. What
+    precedes a range is joined back on its number.
     """
-    splits = [float("-inf"), *bounds, float("inf")]
-    if len(splits) < 3:
-        splits.insert(1, 0.0)
-    ranged = Bucketizer(splits=splits, inputCol="_key", outputCol="_range", handleInvalid="keep").transform(
-        points.withColumn("_key", F.col(order).cast("double"))
-    )
-    ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
-    range_order = F.col("_range").desc() if descending else F.col("_range").asc()
-    point_order = F.col(order).desc() if descending else F.col(order).asc()
-    before = Window.orderBy(range_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_range")
-        .agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-        .select("_range", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums])
-    )
-    within = (
-        Window.partitionBy("_range").orderBy(point_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    inner = ranged.withColumns({f"cum_{c}": F.sum(c).over(within) for c in sums})
-    joined = inner.join(F.broadcast(offsets), "_range")
-    return joined.select(
-        *points.columns, *[(F.col(f"cum_{c}") + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sums]
-    )
+    ranges = max(1, math.ceil(points.count() / range_rows))
+    along = F.col(order).desc() if descending else F.col(order).asc()
+    placed = points.repartitionByRange(ranges, along).sortWithinPartitions(along)
+    placed = materialize(placed.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    placed = placed.withColumn("_range", F.shiftright("_place", 33))
+    totals = placed.groupBy("_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    totals = totals.withColumn("_block", F.expr(f"_range div {FAN}"))
+
+    def before(names: dict[str, str], window) -> dict[str, Column]:
+        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+        return {new: F.coalesce(F.sum(old).over(earlier), F.lit(0)) for new, old in names.items()}
+
+    blocks = totals.groupBy("_block").agg(*[F.sum(f"_t_{c}").alias(f"_b_{c}") for c in sums])
+    blocks = blocks.select("_block", *[v.alias(k) for k, v in before({f"_ob_{c}": f"_b_{c}" for c in sums}, Window.orderBy("_block")).items()])
+    in_block = before({f"_or_{c}": f"_t_{c}" for c in sums}, Window.partitionBy("_block").orderBy("_range"))
+    offsets = totals.withColumns(in_block).join(blocks, "_block")
+    offsets = offsets.select("_range", *[(F.col(f"_ob_{c}") + F.col(f"_or_{c}")).alias(f"_o_{c}") for c in sums])
+    within = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = placed.withColumns({f"cum_{c}": F.sum(c).over(within) for c in sums})
+    joined = inner.join(offsets, "_range")
+    return joined.select(*points.columns, *[(F.col(f"cum_{c}") + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sums])
 
 
 # a gap of at most this many rows is a group that one task can count value by value; the result is the same at any number

@@ -1,32 +1,71 @@
-"""How finely time has to be cut so that no key makes a group too large for one task."""
+"""What came before a time slice, without a group that holds all slices of a key."""
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import seconds_of, slice_start
+#: Slices of one level that make a slice of the next.
+FAN = 64
+#: Microseconds from 1970 that hold all timestamps, in either direction.
+HORIZON = 1 << 58
 
-# rows of one key in one time slice that a task sorts without trouble
-GROUP_ROWS = 5_000_000
-WIDTHS = ["1 day", "1 hour", "1 minute", "1 second"]
+#: From a column of partial states to their merged state; usable as an aggregate and over a window.
+Merge = dict[str, Callable[[], Column]]
 
 
-def busiest(df: DataFrame, keys: list[str], time: str, size: str) -> int:
-    """Rows of the largest (key, slice) group. Tasks send one count per group they see."""
-    counts = df.groupBy(*keys, slice_start(time, seconds_of(size)).alias("_slice")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+def levels(width: int) -> list[int]:
+    """Widths in microseconds, each ``FAN`` times the one before, up to one that spans all time."""
+    out = [width]
+    while out[-1] * FAN <= HORIZON:
+        out.append(out[-1] * FAN)
+    return out
 
 
-def fitting_slice(
-    frames: list[tuple[DataFrame, str]], keys: list[str], widths: list[str] | None = None, rows: int = GROUP_ROWS
-) -> tuple[str, int]:
-    """The widest slice in which no key has more than ``rows`` rows in any of the (frame, time
-    column) pairs, and into how many groups the largest one is still to be dealt."""
-    for size in widths or WIDTHS:
-        most = max(busiest(df, keys, time, size) for df, time in frames)
-        if most <= rows:
-            break
-    return size, max(1, math.ceil(most / rows))
+def _start(column: str, width: int) -> Column:
+    return F.col(column) - F.pmod(F.col(column), F.lit(width).cast("long"))
+
+
+def climb(df: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """Each row once per level: with its keys as ``_key``, the slice of the level that holds it (``_node``) and the wider slice
+    that holds that (``_parent``)."""
+    widths = levels(width)
+    steps = [
+        F.struct(
+            F.lit(k).alias("_level"),
+            _start("_slice", w).alias("_node"),
+            (_start("_slice", widths[k + 1]) if k + 1 < len(widths) else F.lit(0).cast("long")).alias("_parent"),
+        )
+        for k, w in enumerate(widths)
+    ]
+    return df.select(F.struct(*keys).alias("_key"), "*", F.inline(F.array(*steps)))
+
+
+def before_slices(states: DataFrame, asked: DataFrame, keys: list[str], width: int, merge: Merge) -> DataFrame:
+    """For each asked ``(keys, _slice)`` the merged states of all earlier slices of its keys; asked slices that nothing
+    precedes are left out.
+
+    ``states`` holds one row per ``(keys, _slice)`` with the columns of ``merge``; slices are ``width`` microseconds wide and
+    start at multiples of it. Slices add up to wider ones, minutes to hours to days so to say, ``FAN`` at a time. What precedes
+    a slice is, on each level, its earlier siblings below the same wider slice: one short window per wider slice and
+    level, all levels in one pass, then one merge of the few levels. No group holds more than ``2 * FAN`` rows, however long a
+    key's history is. NULL keys are equal to each other.
+    """
+    at = ["_key", "_level", "_parent", "_node"]
+    nodes = climb(states, keys, width).groupBy(*at).agg(*[f().alias(name) for name, f in merge.items()])
+    wanted = climb(asked.select(*keys, "_slice"), keys, width)
+    questions = wanted.select(*at).distinct().withColumn("_asked", F.lit(True))
+    siblings = Window.partitionBy("_key", "_level", "_parent").orderBy("_node").rangeBetween(Window.unboundedPreceding, -1)
+    answers = (
+        nodes.unionByName(questions, allowMissingColumns=True)
+        .withColumns({name: f().over(siblings) for name, f in merge.items()})
+        .filter("_asked")
+        .select(*at, *merge)
+    )
+    none = [F.col(name).isNull() for name in merge]
+    for more in none[1:]:
+        none[0] = none[0] & more
+    found = wanted.join(answers.filter(~none[0]), at)
+    return found.groupBy("_key", "_slice").agg(*[f().alias(name) for name, f in merge.items()]).select("_key.*", "_slice", *merge)

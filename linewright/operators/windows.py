@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from ..functions import as_fixed, epoch_us, fixed_mean, from_epoch_us, percent, seconds_of, slice_start
-from .slices import WIDTHS, fitting_slice
+from .slices import before_slices
 
 
 def _label_values(
@@ -194,21 +194,18 @@ def rolling(
     measure: str,
     digits: int,
     keep: list[str],
-    step: str | None = None,
+    step: str = "1 hour",
 ) -> DataFrame:
     """For every row, count and mean of the earlier rows of its key within ``size`` before it
     (the row itself and rows at the same instant excluded).
 
     A row adds its value at its own time and takes it back ``size`` later; a row's answer is the
-    running total just before its time. Time is cut into slices of ``step``; a slice starts
-    from the totals of the slices that lie in the window at its start, so slices of one key
-    run as separate groups and a hot key spreads over many tasks. Without ``step`` it is chosen
-    by counting the rows of the busiest slices. Totals are whole numbers: nothing is lost by
-    the subtraction.
+    running total just before its time. Time is cut into slices of ``step``; a slice starts with
+    what came before it less what had left the window by then, both from
+    :func:`~linewright.operators.slices.before_slices`, so slices of one key run as separate groups and a hot key
+    spreads over many tasks. A group holds the rows that one key adds and takes back in one ``step``: give a shorter one
+    for keys with millions of rows an hour. Totals are whole numbers: nothing is lost by the subtraction.
     """
-    if step is None:
-        even = [w for w in WIDTHS if seconds_of(size) % seconds_of(w) == 0]
-        step, _ = fitting_slice([(df, time)], keys, even)
     length, width = seconds_of(size) * 1_000_000, seconds_of(step) * 1_000_000
     if length % width:
         raise ValueError("size must be a multiple of step")
@@ -220,15 +217,18 @@ def rolling(
         slice_start(time, seconds_of(step)).alias("_slice"),
         as_fixed(measure, digits).alias("_v"),
     )
-    per_slice = base.groupBy(*group, "_slice").agg(F.count("_v").alias("_n"), F.sum("_v").alias("_s"))
-    earlier = Window.partitionBy(*group).orderBy("_slice").rangeBetween(-length, -width)
-    carried = per_slice.select(
-        *group,
-        "_slice",
-        (F.col("_slice") - 1).alias("_t"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n"),
-        F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_s"),
+    # whole histories are added up here, so in more digits than a window needs
+    total = F.sum(F.col("_v").cast("decimal(38,0)"))
+    per_slice = base.groupBy(*group, "_slice").agg(F.count("_v").alias("_n"), total.alias("_s"))
+    edges = per_slice.select(*group, F.explode(F.array("_slice", F.col("_slice") - length)).alias("_slice")).distinct()
+    sums = {"_n": lambda: F.sum("_n"), "_s": lambda: F.sum("_s")}
+    prefix = before_slices(per_slice, edges, group, width, sums)
+    # what came before a slice, and what came before the slice one window earlier
+    ends = prefix.select(*group, "_slice", "_n", "_s").unionByName(
+        prefix.select(*group, (F.col("_slice") + length).alias("_slice"), (-F.col("_n")).alias("_n"), (-F.col("_s")).alias("_s"))
     )
+    carried = ends.groupBy(*group, "_slice").agg(F.sum("_n").alias("_n"), F.sum("_s").cast("long").alias("_s"))
+    carried = carried.select(*group, "_slice", (F.col("_slice") - 1).alias("_t"), "_n", "_s")
 
     def move(later: int, sign: int, row: Column) -> Column:
         count, amount = F.col("_v").isNotNull().cast("long"), F.coalesce("_v", F.lit(0))

@@ -1,3 +1,4 @@
+import itertools
 import math
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from linewright.functions import as_flag, parse_timestamp, percent, seconds_of
 from linewright.operators import prep
 from linewright.operators import ranking
+from linewright.session import materialize
 from pyspark.sql import functions as F
 
 
@@ -59,16 +61,27 @@ def test_exact_quantiles(spark, monkeypatch, few):
     assert ranking.exact_quantiles(empty, {"a": [0.5]}) == {"a": [None]}
 
 
-def test_cumulative_sums_with_few_and_skewed_ranges(spark):
-    points = spark.createDataFrame([(float(v), v % 3) for v in range(100)], "v double, n int")
-    for bounds in ([], [5.0], [0.5, 1.5, 2.5, 98.0], [200.0]):
+def test_cumulative_sums_with_few_and_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "FAN", 7)
+    points = materialize(spark.createDataFrame([(float(v), v % 3) for v in range(100)], "v double, n int"), "points")
+    for range_rows in (1, 3, 40, 1000):
         for descending in (False, True):
-            got = {r.v: r.cum_n for r in ranking.cumulate(points, "v", ["n"], bounds, descending).collect()}
+            got = {r.v: r.cum_n for r in ranking.cumulate(points, "v", ["n"], descending, range_rows).collect()}
             seen, total = {}, 0
             for v in sorted(range(100), reverse=descending):
                 total += v % 3
                 seen[float(v)] = total
             assert got == seen
+    assert ranking.cumulate(points.limit(0), "v", ["n"]).collect() == []
+
+
+def test_three_thousand_ranges(spark):
+    """More than one block of ranges; every value's sum is that of all before it."""
+    points = materialize(spark.range(9000).selectExpr("double(id * 7919 % 9000) AS v", "id % 5 AS n", "1L AS one"), "points")
+    got = ranking.cumulate(points, "v", ["n", "one"], range_rows=3)
+    rows = got.orderBy("v").collect()
+    assert [r.cum_one for r in rows] == list(range(1, 9001))
+    assert [r.cum_n for r in rows] == list(itertools.accumulate(r.n for r in rows))
 
 
 def test_categories_match_mllib(spark):

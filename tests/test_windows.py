@@ -4,7 +4,9 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from linewright.operators.slices import fitting_slice
+from pyspark.sql import functions as F
+
+from linewright.operators.slices import FAN, before_slices, climb, levels
 from linewright.operators.windows import rolling, sliding, tumbling, window_family
 
 T0 = datetime(2024, 1, 4)  # a Thursday: starts a week counted from 1970
@@ -81,7 +83,7 @@ def test_sliding_equals_row_copies(spark, size, slide):
     assert sorted(map(str, panes.collect())) == sorted(map(str, copies.collect()))
 
 
-@pytest.mark.parametrize("step", ["1 hour", "24 hours", "6 hours", None])
+@pytest.mark.parametrize("step", ["1 hour", "24 hours", "6 hours", "1 minute"])
 def test_rolling_against_brute_force(spark, step):
     rng = random.Random(5)
     data = rows(300)
@@ -106,13 +108,44 @@ def test_rolling_refuses_uneven_slices(spark):
         rolling(frame(spark, rows(5)), ["machine"], "t", "24 hours", "v", 2, ["id"], "7 hours")
 
 
-def test_slices_are_cut_until_the_hot_key_fits(spark):
-    # 300 rows of one key in ten minutes, three rows of others
-    data = [("hot", at(seconds=2 * i)) for i in range(300)] + [(f"m{i}", at(days=i)) for i in range(3)]
-    df = spark.createDataFrame(data, "machine string, t timestamp")
-    pick = lambda rows: fitting_slice([(df, "t")], ["machine"], rows=rows)
-    assert pick(1000) == ("1 day", 1)
-    assert pick(100) == ("1 minute", 1)
-    assert pick(1) == ("1 second", 1)
-    assert fitting_slice([(df, "t")], ["machine"], ["1 day"], rows=100) == ("1 day", 3)
-    assert fitting_slice([(df.limit(0), "t")], ["machine"]) == ("1 day", 1)
+def test_what_precedes_a_slice_against_brute_force(spark):
+    rng = random.Random(8)
+    width = 1_000_000
+    keys = [("a", 1), ("a", None), (None, 2), ("b", 1)]
+    near = [rng.randrange(-300, 5000) for _ in range(150)]
+    far = [rng.randrange(-(10**11), 10**11) for _ in range(60)] + [-1, 0, 1, FAN, FAN - 1, FAN * FAN, -FAN, -FAN - 1]
+    states = {(k, s * width): rng.randrange(1, 100) for k in keys for s in rng.sample(near + far, 120)}
+    asked = {(k, s * width) for k in [*keys, ("c", 1)] for s in rng.sample(near + far, 80)}
+    schema = "x string, y int, _slice long"
+    frame = spark.createDataFrame([(*k, s, n, s) for (k, s), n in states.items()], f"{schema}, n long, t long")
+    questions = spark.createDataFrame([(*k, s) for k, s in asked], schema)
+    merge = {"n": lambda: F.sum("n"), "t": lambda: F.max("t")}
+    got = {((r.x, r.y), r._slice): (r.n, r.t) for r in before_slices(frame, questions, ["x", "y"], width, merge).collect()}
+    want = {}
+    for k, s in asked:
+        earlier = [(n, t) for (j, t), n in states.items() if j == k and t < s]
+        if earlier:
+            want[k, s] = (sum(n for n, _ in earlier), max(t for _, t in earlier))
+    assert got == want
+
+
+def test_no_level_has_a_large_group(spark):
+    """One key with a slice for each of 300,000 seconds: its nodes below any wider slice are few, on every level."""
+    second = 1_000_000
+    slices = spark.range(300_000).select(F.lit("k").alias("key"), (F.col("id") * second + 1_700_000_000 * second).alias("_slice"))
+    nodes = climb(slices, ["key"], second).select("_key", "_level", "_parent", "_node").distinct()
+    groups = nodes.groupBy("_key", "_level", "_parent").count()
+    sizes = groups.agg(F.max("count"), F.countDistinct("_level")).first()
+    assert sizes[0] <= FAN and sizes[1] == len(levels(second))
+
+
+@pytest.mark.parametrize("step", ["1 second", "1 minute"])
+def test_rolling_of_a_key_with_many_slices(spark, step):
+    """A row each second for three hours; a window of ten minutes holds the 600 before it."""
+    df = spark.range(10_800).selectExpr("'m' AS machine", "id", "timestamp_seconds(1700000000 + id) AS t", "double(id) AS v")
+    got = {r.id: (r.rolling_count, r.rolling_avg_v) for r in rolling(df, ["machine"], "t", "10 minutes", "v", 0, ["id"], step).collect()}
+    assert len(got) == 10_800
+    for k in (1, 5, 599, 600, 601, 7000, 10_799):
+        low = max(0, k - 600)
+        assert got[k] == (k - low, (low + k - 1) / 2)
+    assert got[0] == (0, None)
