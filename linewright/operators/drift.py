@@ -5,35 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sketches import merged_sketches, quantile_sketches, sketch_quantiles
 
-def fit_edges(baseline: DataFrame, columns: list[str], bins: int = 10, accuracy: int = 10_000) -> dict[str, list[float]]:
-    """Inner bin limits at the baseline's quantiles, for all columns in one job."""
-    probabilities = [i / bins for i in range(1, bins)]
-    cells = [F.percentile_approx(F.col(c).cast("double"), probabilities, accuracy).alias(c) for c in columns]
-    row = baseline.agg(*cells).first()
-    return {c: sorted(set(row[c] or [])) for c in columns}
+
+def fit_edges(baseline: DataFrame, columns: list[str], bins: int = 10, by: list[str] | None = None) -> dict[str, list[float]]:
+    """Inner bin limits at the baseline's quantiles, from one mergeable sketch per column (and value of ``by``, if given), right to
+    a fraction of a percent of the rows; for all columns in one job."""
+    sketches = merged_sketches(quantile_sketches(baseline, columns, by), columns)
+    found = sketch_quantiles(sketches, {c: [i / bins for i in range(1, bins)] for c in columns})
+    return {c: sorted(set(values)) for c, values in found.items()}
 
 
 def binned_shares(tagged: DataFrame, current: str, edges: dict[str, list[float]]) -> DataFrame:
     """Baseline and current share per feature and bin, each count raised by one so that no
     share is zero. ``current`` is a boolean column; bins are [low, high), NULL values are not
-    counted. Rows collapse to features x bins in the tasks, before the shuffle."""
-    cells = []
-    for name, inner in edges.items():
+    counted. One aggregate counts the rows at or above each limit, so a task sends one row whatever it reads; a bin's
+    count is the difference of two of these."""
+    cells, bins = [], []
+    now = F.col(current)
+    for i, (name, inner) in enumerate(edges.items()):
         value = F.col(name).cast("double")
-        place = sum(((value >= e).cast("int") for e in inner), F.lit(0))
-        cells.append(F.struct(F.lit(name).alias("feature"), F.when(value.isNotNull(), place).alias("bin")))
-    counts = (
-        tagged.select(F.col(current).alias("now"), F.explode(F.array(*cells)).alias("c"))
-        .select("now", "c.feature", "c.bin")
-        .filter("bin IS NOT NULL AND now IS NOT NULL")
-        .groupBy("feature", "bin")
-        .agg(F.count_if(~F.col("now")).alias("base"), F.count_if(F.col("now")).alias("cur"))
-    )
-    grid = tagged.sparkSession.createDataFrame(
-        [(name, i) for name, inner in edges.items() for i in range(len(inner) + 1)], "feature string, bin int"
-    )
-    dense = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["base", "cur"])
+        for j, test in enumerate([value.isNotNull(), *[value >= e for e in inner]]):
+            cells += [F.count_if(test & ~now).alias(f"b{i}_{j}"), F.count_if(test & now).alias(f"c{i}_{j}")]
+        for j in range(len(inner) + 1):
+            less = [F.col(f"{s}{i}_{j + 1}") if j < len(inner) else F.lit(0) for s in "bc"]
+            base, cur = (F.col(f"{s}{i}_{j}") - n for s, n in zip("bc", less))
+            bins.append(F.struct(F.lit(name).alias("feature"), F.lit(j).alias("bin"), base.alias("base"), cur.alias("cur")))
+    dense = tagged.agg(*cells).select(F.inline(F.array(*bins)))
     one = Window.partitionBy("feature")
     share = lambda c: (F.col(c) + 1) / F.sum(F.col(c) + 1).over(one)
     return dense.select("feature", "bin", share("base").alias("base_share"), share("cur").alias("cur_share"))

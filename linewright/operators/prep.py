@@ -41,7 +41,7 @@ def impute(df: DataFrame, values: dict[str, float], columns: list[str]) -> DataF
 
 @dataclass(frozen=True)
 class Categories:
-    """Known values of columns: a written table (column_name, category, idx), and how many each column has."""
+    """Known values of columns: a table (column_name, category, idx) over written counts, and how many each column has."""
 
     table: DataFrame
     sizes: dict[str, int]
@@ -51,7 +51,7 @@ def fit_categories(df: DataFrame, columns: list[str], order: str = "frequency")
     """Known values of each column, numbered by falling frequency (ties alphabetical) or alphabetically.
 
     All columns are counted in one job, whatever the number of values. The counts are sorted over the
-    cluster and written; a value's number is its place in its part plus the sizes of the parts
+    cluster and written once; a value's number is its place in its part plus the sizes of the parts
     before. The driver gets one number for each column.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
@@ -66,8 +66,7 @@ def fit_categories(df: DataFrame, columns: list[str], order: str = "frequency")
     first = placed.groupBy("c").agg(F.min("place").alias("first"))
     idx = (F.col("place") - F.col("first")).cast("double")
     found = placed.join(first, "c").select(F.col("c").alias("column_name"), F.col("v").alias("category"), idx.alias("idx"))
-    found = materialize(found, "categories")
-    sizes = {r["column_name"]: r["count"] for r in found.groupBy("column_name").count().collect()}
+    sizes = {r["c"]: r["count"] for r in ordered.groupBy("c").count().collect()}
     return Categories(found, {c: sizes.get(c, 0) for c in columns})
 
 
@@ -82,11 +81,19 @@ def index_categories(df: DataFrame, categories: Categories) -> DataFrame:
 
 
 def one_hot(df: DataFrame, categories: Categories, drop_last: bool = True) -> DataFrame:
-    """Add ``<name>_ohe_<i>`` as 0.0/1.0 for every category (but the last when dropped)."""
+    """Add ``<name>_ohe`` for every indexed column, as a sparse row: its number of slots, the slot that is 1.0 and its value. A row
+    of the last category (when dropped) or of an unseen value has no slot. One expression per column, however many
+    categories it has; the form is that of a sparse vector."""
     columns: dict[str, Column] = {}
     for name, size in categories.sizes.items():
-        for i in range(size - (1 if drop_last else 0)):
-            columns[f"{name}_ohe_{i}"] = (F.col(f"{name}_idx") == float(i)).cast("double")
+        slots = size - (1 if drop_last and size else 0)
+        slot = F.col(f"{name}_idx").cast("int")
+        set_ = F.coalesce(slot < slots, F.lit(False))
+        columns[f"{name}_ohe"] = F.struct(
+            F.lit(slots).alias("size"),
+            F.when(set_, F.array(slot)).otherwise(F.array().cast("array<int>")).alias("indices"),
+            F.when(set_, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"),
+        )
     return df.withColumns(columns)
 
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ..functions import derived_card_features
-from ..operators import dataset, prep
+from ..operators import dataset, prep, sketches
 from .registry import LINE_LABEL, labelled_lines, query, rounded, table
 
 _GAPPY = """(SELECT *, CASE WHEN l_quantity > 45 THEN NULL ELSE l_quantity END AS qty,
@@ -204,10 +204,14 @@ def _(spark, folder):
     return rounded(spark.createDataFrame(rows, "column_name string, median double, mean double"), "mean")
 
 
-@query("impute_values_approx")
+@query("impute_values_approx", "SELECT unnest(['qty', 'disc']) AS column_name, 1::INTEGER AS quantiles, true AS within")
 def _(spark, folder):
-    medians = prep.fit_imputer(_gappy(spark, folder), ["qty", "disc"], accuracy=20)
-    return spark.createDataFrame(list(medians.items()), "column_name string, median double")
+    """Medians from sketches per return flag, merged; whether they are right to half a percent of the rows, by exact counts."""
+    lines = _gappy(spark, folder)
+    columns = ["qty", "disc"]
+    parts = sketches.quantile_sketches(lines, columns, by=["l_returnflag"])
+    medians = sketches.sketch_quantiles(sketches.merged_sketches(parts, columns), {c: [0.5] for c in columns})
+    return sketches.rank_bounds(lines, {c: [(0.5, q) for q in medians[c]] for c in columns}, error=0.005)
 
 
 @query(
@@ -245,15 +249,17 @@ def _(spark, folder):
 
 @query(
     "one_hot",
-    f"""SELECT p_partkey, i::INTEGER AS slot, (coalesce(idx, -1) = i)::INTEGER::DOUBLE AS flag
-    FROM {_TYPES} p LEFT JOIN {_RANKED} r ON p.p_type = r.p_type, (SELECT unnest(range(count(*) - 1)) AS i FROM {_RANKED})""",
+    f"""SELECT p_partkey, (SELECT count(*) - 1 FROM {_RANKED})::INTEGER AS slots,
+      CASE WHEN idx < (SELECT count(*) - 1 FROM {_RANKED}) THEN idx::INTEGER END AS slot,
+      CASE WHEN idx < (SELECT count(*) - 1 FROM {_RANKED}) THEN 1.0::DOUBLE END AS flag
+    FROM {_TYPES} p LEFT JOIN {_RANKED} r ON p.p_type = r.p_type""",
 )
 def _(spark, folder):
     typed = _typed(spark, folder)
     categories = prep.fit_categories(typed, ["p_type"])
     encoded = prep.one_hot(prep.index_categories(typed, categories), categories)
-    columns = [c for c in encoded.columns if c.startswith("p_type_ohe_")]
-    return encoded.select("p_partkey", F.posexplode(F.array(*columns)).alias("slot", "flag"))
+    first = lambda part: F.try_element_at(f"p_type_ohe.{part}", F.lit(1))
+    return encoded.select("p_partkey", F.col("p_type_ohe.size").alias("slots"), first("indices").alias("slot"), first("values").alias("flag"))
 
 
 _VALUES = "(SELECT event_id, CASE WHEN event_type <> 'view' THEN value END AS amount FROM events)"
@@ -363,3 +369,20 @@ def _(spark, folder):
 )
 def _(spark, folder):
     return rounded(prep.variance_profile(table(spark, folder, "lineitem"), _SCALED), "variance")
+
+
+@query(
+    "distinct_units",
+    """SELECT year(l_shipdate)::INTEGER AS year, count(*) AS total_rows, count(DISTINCT l_orderkey) AS unique_units, true AS within
+    FROM lineitem GROUP BY 1 UNION ALL SELECT NULL, count(*), count(DISTINCT l_orderkey), true FROM lineitem""",
+)
+def _(spark, folder):
+    """Distinct units per year and overall (no year), from sketches per month; whether these are as near as they promise."""
+    lines = table(spark, folder, "lineitem").withColumns({"year": F.year("l_shipdate"), "month": F.month("l_shipdate")})
+    months = sketches.unit_sketches(lines, "l_orderkey", ["year", "month"])
+    none = F.lit(None).cast("int").alias("year")
+    estimates = sketches.distinct_units(months, ["year"]).unionByName(sketches.distinct_units(months, []).select(none, "total_rows", "approx_units"))
+    exact = F.countDistinct("l_orderkey").alias("unique_units")
+    counted = lines.groupBy("year").agg(exact).unionByName(lines.agg(exact).select(none, "unique_units")).withColumnRenamed("year", "_year")
+    joined = estimates.join(counted, F.col("year").eqNullSafe(F.col("_year")))
+    return joined.select("year", "total_rows", "unique_units", sketches.units_within(F.col("approx_units"), F.col("unique_units")).alias("within"))

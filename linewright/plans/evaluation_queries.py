@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import as_fixed, fixed_mean
 from ..operators import drift as monitor
 from ..operators import evaluate, lifecycle
+from ..operators.sketches import merged_sketches, quantile_sketches, rank_bounds, sketch_quantiles
 from .registry import LINE_LABEL, labelled_lines, query, rounded, table
 
 _SCORED = """WITH d AS (SELECT l.quality AS y, d.n_chars FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
@@ -254,11 +255,25 @@ def _(spark, folder):
     return rounded(monitor.drift(tagged, "now", {"value": _EDGES}), "psi", "ks")
 
 
-@query("drift_quantile_bins")
+@query(
+    "drift_quantile_bins",
+    """SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS feature, true AS edges_within,
+      true AS psi_positive, true AS ks_within""",
+)
 def _(spark, folder):
+    """Drift over bins at the baseline's sketched quantiles; whether each limit is right to half a percent of the baseline, and
+    whether the measures keep to their bounds."""
     lines = table(spark, folder, "lineitem").withColumn("now", F.year("l_shipdate") >= 2000)
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    return monitor.drift(lines, "now", monitor.fit_edges(lines.filter(~F.col("now")), names))
+    baseline, ranks = lines.filter(~F.col("now")), [i / 10 for i in range(1, 10)]
+    parts = quantile_sketches(baseline.withColumn("year", F.year("l_shipdate")), names, by=["year"])
+    found = sketch_quantiles(merged_sketches(parts, names), {c: ranks for c in names})
+    bounds = rank_bounds(baseline, {c: list(zip(ranks, found[c])) for c in names}, error=0.005)
+    measured = monitor.drift(lines, "now", {c: sorted(set(found[c])) for c in names})
+    psi, ks = F.col("psi"), F.col("ks")
+    return measured.join(bounds.withColumnRenamed("column_name", "feature"), "feature").select(
+        "feature", F.col("within").alias("edges_within"), (psi >= 0).alias("psi_positive"), ((ks >= 0) & (ks <= 1) & (ks * ks <= psi)).alias("ks_within")
+    )
 
 
 @query(

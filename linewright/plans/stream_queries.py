@@ -14,7 +14,8 @@ from .window_queries import _window_sql
 
 def _stream(spark, folder, name):
     schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}*.parquet")
+    # a stream needs a folder or a pattern; this one matches the table alone, be it one file or a folder of files
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
 
 
 def _finished(df, name, partition_by=None):

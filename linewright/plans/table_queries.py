@@ -8,7 +8,8 @@ from ..functions import as_fixed, as_flag, parse_timestamp
 from ..operators.joins import lookup
 from ..operators.profiles import profile
 from ..operators.rules import Rule, flag_quarantine, rule_violations
-from ..sources import append_flows, apply_changes, changed_rows, fingerprint, latest_per_key
+from ..session import scratch_path
+from ..sources import append_flows, apply_changes, changed_rows, fingerprint, latest_per_key, overwrite_snapshot, snapshot_changes
 from .registry import LINE_LABEL, labelled_lines, query, table
 
 
@@ -36,40 +37,62 @@ def _(spark, folder):
     return append_flows(history, buffer)
 
 
-def _user_totals(events, until):
-    return (
-        events.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
-        .groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("n_events"), F.sum(as_fixed("value", 2)).alias("total_cents"))
-    )
+def _user_totals(events):
+    return events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"), F.sum(as_fixed("value", 2)).alias("total_cents"))
+
+
+_OLD = "2024-01-15"
+
+
+def _snapshots(spark, folder):
+    """Totals per user of the events before a day, and of all."""
+    events = table(spark, folder, "events")
+    return _user_totals(events.filter(F.col("ts") < F.lit(_OLD).cast("timestamp_ntz"))), _user_totals(events)
+
+
+_TOTALS = """SELECT user_id, count(*) AS n_events, sum(cast(round(value * 100) AS BIGINT))::BIGINT AS total_cents
+      FROM events {} GROUP BY 1"""
 
 
 @query(
     "changed_rows",
-    """WITH a AS (SELECT user_id, count(*) n, sum(cast(round(value * 100) AS BIGINT))::BIGINT t
-      FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1),
-    b AS (SELECT user_id, count(*) n, sum(cast(round(value * 100) AS BIGINT))::BIGINT t
-      FROM events WHERE ts < TIMESTAMP '2024-01-22' GROUP BY 1)
+    f"""WITH a AS ({_TOTALS.format(f"WHERE ts < TIMESTAMP '{_OLD}'")}), b AS ({_TOTALS.format("")})
     SELECT coalesce(a.user_id, b.user_id) AS user_id,
       CASE WHEN a.user_id IS NULL THEN 'I' WHEN b.user_id IS NULL THEN 'D' ELSE 'U' END AS op,
-      coalesce(b.n, a.n) AS n_events, coalesce(b.t, a.t) AS total_cents
+      coalesce(b.n_events, a.n_events) AS n_events, coalesce(b.total_cents, a.total_cents) AS total_cents
     FROM a FULL JOIN b ON a.user_id = b.user_id
-    WHERE a.user_id IS NULL OR b.user_id IS NULL OR a.n <> b.n OR a.t <> b.t""",
+    WHERE a.user_id IS NULL OR b.user_id IS NULL OR a.n_events <> b.n_events OR a.total_cents <> b.total_cents""",
 )
 def _(spark, folder):
-    events = table(spark, folder, "events")
-    return changed_rows(_user_totals(events, "2024-01-15"), _user_totals(events, "2024-01-22"), ["user_id"])
+    return changed_rows(*_snapshots(spark, folder), ["user_id"])
+
+
+@query("apply_changes", _TOTALS.format(""))
+def _(spark, folder):
+    old, new = _snapshots(spark, folder)
+    return apply_changes(old, changed_rows(old, new, ["user_id"]), ["user_id"])
+
+
+_SPOILT = "event_id % 40 = 0 AND day(ts) % 9 = 0"
 
 
 @query(
-    "apply_changes",
-    """SELECT user_id, count(*) AS n_events, sum(cast(round(value * 100) AS BIGINT))::BIGINT AS total_cents
-    FROM events WHERE ts < TIMESTAMP '2024-01-22' GROUP BY 1""",
+    "snapshot_changes",
+    f"""SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-25' THEN 'I' ELSE 'U' END AS op, user_id, event_type,
+      cast(round(value * 100) AS BIGINT) AS cents, day(ts)::INTEGER AS day FROM events
+    WHERE ts >= TIMESTAMP '2024-01-25' OR ({_SPOILT})""",
 )
 def _(spark, folder):
+    """An older snapshot lacks the last days and has other values on some days; only days whose digests differ are read."""
     events = table(spark, folder, "events")
-    old, new = _user_totals(events, "2024-01-15"), _user_totals(events, "2024-01-22")
-    return apply_changes(old, changed_rows(old, new, ["user_id"]), ["user_id"])
+    rows = events.select("event_id", "user_id", "event_type", as_fixed("value", 2).alias("cents"), F.dayofmonth("ts").alias("day"), "ts")
+    cents = F.when(F.expr(_SPOILT), F.col("cents") + 1).otherwise(F.col("cents"))
+    before = rows.filter("ts < TIMESTAMP_NTZ '2024-01-25'").withColumn("cents", cents)
+    paths = []
+    for name, snapshot in (("old", before), ("new", rows)):
+        paths.append(scratch_path(spark, f"events-{name}"))
+        overwrite_snapshot(snapshot.drop("ts"), paths[-1], ["day"])
+    return snapshot_changes(spark, *paths, ["event_id"], ["day"])
 
 
 @query(
@@ -82,9 +105,24 @@ def _(spark, folder):
     return latest_per_key(events, ["user_id"], ["ts", "event_id"])
 
 
-@query("table_fingerprint")
+_EXACT = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate"]
+_MEASURED = _EXACT[4:8]  # stored as doubles of two digits
+_TEXT = " || ".join(
+    f"coalesce(length({v}) || ':' || {v}, '-')"
+    for v in (f"CAST({f'cast(round({c} * 100) AS BIGINT)' if c in _MEASURED else c} AS VARCHAR)" for c in _EXACT)
+)
+
+
+@query(
+    "table_fingerprint",
+    f"""WITH w AS (SELECT l_returnflag, md5({_TEXT}) AS d FROM lineitem),
+    n AS (SELECT l_returnflag, ('0x' || substr(d, 1, 16))::UBIGINT::HUGEINT AS h, ('0x' || substr(d, 17, 16))::UBIGINT::HUGEINT AS l FROM w)
+    SELECT l_returnflag, count(*) AS row_count,
+      (sum(h) % 18446744073709551616)::VARCHAR || ':' || (sum(l) % 18446744073709551616)::VARCHAR AS digest FROM n GROUP BY 1""",
+)
 def _(spark, folder):
-    return fingerprint(table(spark, folder, "lineitem"), ["l_returnflag"]).drop("schema_json")
+    lines = table(spark, folder, "lineitem").withColumns({c: as_fixed(c, 2) for c in _MEASURED})
+    return fingerprint(lines, ["l_returnflag"], columns=_EXACT).drop("schema_json")
 
 
 @query(

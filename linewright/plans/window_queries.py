@@ -188,35 +188,34 @@ def _(spark, folder):
     return interval_left_join(units, labels, "unit_id", "event_time", "label_time", "30 days")
 
 
-def _purchases(spark, folder):
-    events = table(spark, folder, "events").filter("event_type = 'purchase'")
-    return events.select("event_id", "user_id", "ts", "value")
+def _event_spine(spark, folder):
+    return table(spark, folder, "events").select("event_id", "user_id", "ts", "value")
 
 
-_PURCHASES = "(SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase') s"
+_SPINE = "(SELECT event_id, user_id, ts, value FROM events) s"
 
 
 @query(
     "asof_features",
     f"""SELECT s.*, f.window_end, f.avg_value, f.defect_rate_labelled_pct, f.inspection_count
-    FROM {_PURCHASES} ASOF LEFT JOIN ({_window_sql("24 hours")}) f
+    FROM {_SPINE} ASOF LEFT JOIN ({_window_sql("24 hours")}) f
       ON s.user_id = f.user_id AND f.window_end <= s.ts""",
 )
 def _(spark, folder):
     features = user_windows(spark, folder, "24 hours").drop("window_start")
-    return asof_join(_purchases(spark, folder), features, ["user_id"], "ts", "window_end")
+    return asof_join(_event_spine(spark, folder), features, ["user_id"], "ts", "window_end")
 
 
 @query(
     "asof_events",
-    f"""SELECT s.*, f.err_ts, f.err_value FROM {_PURCHASES}
+    f"""SELECT s.*, f.err_ts, f.err_value FROM {_SPINE}
     ASOF LEFT JOIN (SELECT user_id, ts AS err_ts, max(value) AS err_value FROM events
       WHERE event_type = 'error' GROUP BY 1, 2) f ON s.user_id = f.user_id AND f.err_ts <= s.ts""",
 )
 def _(spark, folder):
     errors = table(spark, folder, "events").filter("event_type = 'error'")
     errors = errors.groupBy("user_id", F.col("ts").alias("err_ts")).agg(F.max("value").alias("err_value"))
-    return asof_join(_purchases(spark, folder), errors, ["user_id"], "ts", "err_ts", slice_size="6 hours", salts=2)
+    return asof_join(_event_spine(spark, folder), errors, ["user_id"], "ts", "err_ts", slice_size="6 hours", salts=2)
 
 
 _FEATURES = ["avg_value", "defect_rate_labelled_pct", "inspection_count"]
@@ -231,12 +230,11 @@ def _asof_sql(tags):
     return names, joins
 
 
-@query("asof_windows", "SELECT s.*, {} FROM {} {}".format(_asof_sql(SIZES)[0], _PURCHASES, _asof_sql(SIZES)[1]))
+@query("asof_windows", "SELECT s.*, {} FROM {} {}".format(_asof_sql(SIZES)[0], _SPINE, _asof_sql(SIZES)[1]))
 def _(spark, folder):
-    features = [
-        WindowFeatures(user_windows(spark, folder, size), size, f"w{tag}_") for tag, size in SIZES.items()
-    ]
-    return attach_windows(_purchases(spark, folder), features, ["user_id"], "ts")
+    family = window_family(labelled_events(spark, folder), ["user_id"], "ts", list(SIZES.values()), ["value"], "label", digits=2)
+    features = [WindowFeatures(family[size], size, f"w{tag}_") for tag, size in SIZES.items()]
+    return attach_windows(_event_spine(spark, folder), features, ["user_id"], "ts")
 
 
 _TRAIN_TAGS = ["1h", "24h", "7d", "30d"]

@@ -1,3 +1,4 @@
+from .digests import changed_partitions, digest_tree, fingerprint, overwrite_snapshot, snapshot_changes
 from .readers import (
     append_flows,
     infer_schema,
@@ -15,7 +16,6 @@ from .writers import (
     comment_table,
     export_coefficients,
     export_examples,
-    fingerprint,
     get_properties,
     latest_per_key,
     overwrite,
@@ -28,8 +28,10 @@ from .writers import (
 __all__ = [
     "append_flows",
     "apply_changes",
+    "changed_partitions",
     "changed_rows",
     "comment_table",
+    "digest_tree",
     "export_coefficients",
     "export_examples",
     "fingerprint",
@@ -38,11 +40,13 @@ __all__ = [
     "latest_per_key",
     "load_schema",
     "overwrite",
+    "overwrite_snapshot",
     "overwrite_table",
     "read_catalog",
     "read_events",
     "read_table",
     "set_properties",
+    "snapshot_changes",
     "stream_events",
     "stream_table",
     "stream_to_table",

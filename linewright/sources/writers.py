@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -94,10 +96,19 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str]) -> Dat
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The newest row per key, combined before the shuffle, so a hot key sends one row per task."""
-    values = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*values), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
+    """The newest row per key; of rows that are equal in ``order`` one.
+
+    The newest value of the first order column is a hash aggregate, combined before the shuffle, and joined back: one value per
+    key, which Spark broadcasts when its size allows it. Only rows with that value are ranked by the other order columns, of which
+    a task again sends one row per key.
+    """
+    first, *rest = order
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    tops = df.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(F.max(first).alias("_top"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()], F.col(first).eqNullSafe(F.col("_top")))
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in rest or [first]])
+    ranked = df.join(tops, same, "left_semi").withColumn("_n", F.row_number().over(newest))
+    return ranked.filter("_n = 1").drop("_n")
 
 
 def export_examples(df: DataFrame, path: str, n: int) -> None:
@@ -126,12 +137,3 @@ def get_properties(spark: SparkSession, table: str) -> dict[str, str]:
 
 def comment_table(spark: SparkSession, table: str, comment: str) -> None:
     spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(comment)}")
-
-
-def fingerprint(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Row count and an order-free content digest, overall or per partition value."""
-    digest = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
-    grouped = df.groupBy(*by) if by else df.groupBy()
-    return grouped.agg(F.count(F.lit(1)).alias("row_count"), digest.alias("digest")).withColumn(
-        "schema_json", F.lit(df.schema.json())
-    )

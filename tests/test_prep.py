@@ -98,9 +98,12 @@ def test_categories_match_mllib(spark):
     model = StringIndexer(inputCol="k", outputCol="i", handleInvalid="keep").fit(df)
     assert ours == {r.k: r.i for r in model.transform(new).collect()}
     hot = prep.one_hot(prep.index_categories(new, fitted), fitted)
-    assert [c for c in hot.columns if "ohe" in c] == ["k_ohe_0", "k_ohe_1"]
-    flags = {r.k: (r.k_ohe_0, r.k_ohe_1) for r in hot.collect()}
-    assert flags == {"a": (1, 0), "b": (0, 1), "c": (0, 0), "zzz": (0, 0), None: (0, 0)}
+    assert [c for c in hot.columns if "ohe" in c] == ["k_ohe"]
+    slots = {r.k: (r.k_ohe.size, r.k_ohe.indices, r.k_ohe["values"]) for r in hot.collect()}
+    none = (2, [], [])
+    assert slots == {"a": (2, [0], [1.0]), "b": (2, [1], [1.0]), "c": none, "zzz": none, None: none}
+    kept = prep.one_hot(prep.index_categories(new, fitted), fitted, drop_last=False)
+    assert {r.k: r.k_ohe.indices for r in kept.collect()} == {"a": [0], "b": [1], "c": [2], "zzz": [], None: []}
     assert listed(prep.fit_categories(df, ["k"], order="alphabet")) == {"k": ["a", "b", "c"]}
 
 
@@ -116,6 +119,10 @@ def test_any_number_of_categories(spark):
     indexed = prep.index_categories(df, fitted)
     assert indexed.count() == 50_002 and indexed.columns == ["a", "b", "c", "a_idx", "b_idx", "c_idx"]
     assert indexed.agg(F.max("c_idx")).first()[0] == 0.0
+    hot = prep.one_hot(indexed, fitted)
+    assert len(hot.columns) == 9  # one expression per column
+    row = hot.filter("a = 'v5'").first()
+    assert row.a_ohe.size == 49_999 and row.a_ohe.indices == [int(row.a_idx)] and row.c_ohe.indices == []
 
 
 def test_many_columns_of_quantiles(spark):
