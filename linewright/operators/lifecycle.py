@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.writers import latest_per_key
-
 
 def search_runs(runs: DataFrame, where: str | Column, order_by: list[Column] | None = None) -> DataFrame:
     """Runs by any condition on their metrics, parameters and tags."""
@@ -45,6 +43,41 @@ def promotion_decision(challengers: DataFrame, champions: DataFrame, key: str, m
     )
 
 
+#: The life cycle of a version: what it may become from each alias, None being a version without one.
+TRANSITIONS: dict[str | None, tuple[str, ...]] = {
+    None: ("candidate",),
+    "candidate": ("challenger", "rejected"),
+    "challenger": ("champion", "rejected", "retired"),
+    "champion": ("retired",),
+    "rejected": (),
+    "retired": (),
+}
+_CODES = {alias: code for code, alias in enumerate(TRANSITIONS)}
+#: Steps of the longest way through the life cycle.
+_LONGEST = 4
+EVENTS = "version int, alias string, tags map<string,string>, at timestamp"
+
+
+def may_become(now: str | None, alias: str) -> bool:
+    return alias in TRANSITIONS.get(now, ())
+
+
+def registration_changes(version: int, tags: dict[str, str]) -> list[tuple[int, str, dict[str, str]]]:
+    """A trained version enters the life cycle: a candidate, and as its test is due a challenger."""
+    return [(version, "candidate", tags), (version, "challenger", {})]
+
+
+def decision_changes(
+    wins: bool, challenger: int, final: int | None, champion: int | None, tags: dict[str, str]
+) -> list[tuple[int, str, dict[str, str]]]:
+    """Alias changes that follow from a decision. Challenger wins: the old champion is retired, the final version becomes champion.
+    Otherwise the challenger is rejected."""
+    if not wins:
+        return [(challenger, "rejected", {"why": "not better than the champion", **tags})]
+    retired = [(champion, "retired", {"why": "a better challenger"})] if champion else []
+    return [*retired, (final, "champion", tags)]
+
+
 def promotion_events(
     df: DataFrame,
     wins: bool,
@@ -53,20 +86,43 @@ def promotion_events(
     champion: int | None,
     tags: dict[str, str],
 ) -> DataFrame:
-    """Alias changes that follow from a decision, as rows ``version, alias, tags, at`` to append.
-
-    Challenger wins: old champion retired, final version champion. Otherwise: challenger
-    rejected.
-    """
-    if wins:
-        rows = [(champion, "retired", {"retirement_reason": "outperformed_by_challenger"})] if champion else []
-        rows.append((final, "champion", tags))
-    else:
-        rows = [(challenger, "rejected", {"rejection_reason": "did_not_outperform_champion", **tags})]
+    """:func:`decision_changes` as rows ``version, alias, tags, at``."""
+    rows = decision_changes(wins, challenger, final, champion, tags)
     events = df.sparkSession.createDataFrame(rows, "version int, alias string, tags map<string,string>")
     return events.withColumn("at", F.current_timestamp())
 
 
 def alias_state(history: DataFrame, version: str, order: list[str]) -> DataFrame:
-    """The alias each version has now: its latest row."""
-    return latest_per_key(history, [version], order)
+    """The alias each version has now: the event that last changed it. ``order`` is a time and a whole number from 0 on that decides
+    between equal times; of events that are equal in both one counts.
+
+    Events are folded through :data:`TRANSITIONS`: one that a version's alias does not allow changes nothing. A version passes few
+    aliases, so the fold is a few steps, each the first allowed event after the last: an aggregate that tasks combine before the
+    shuffle, however long the history of a version is.
+    """
+    at, tie = order
+    wide = "decimal(38,0)"
+    code = F.lit(0)
+    for alias, number in _CODES.items():
+        code = F.when(F.col("alias") == alias, number).otherwise(code) if alias else code
+    moment = F.unix_micros(F.col(at).cast("timestamp")).cast(wide)
+    place = moment * F.lit(1 << 60).cast(wide) + F.col(tie).cast(wide)
+    events = history.withColumn("_code", code).withColumn("_place", (place * F.lit(8).cast(wide) + F.col("_code").cast(wide)).cast(wide)).filter("_code > 0")
+    moves = [(_CODES[now], _CODES[to]) for now, after in TRANSITIONS.items() for to in after]
+    steps = events.select(F.col(version).alias("_v"), F.col("_code").alias("_to"), F.col("_place").alias("_next"))
+
+    def allowed(now: Column) -> Column:
+        allow = F.lit(False)
+        for a, b in moves:
+            allow = allow | ((now == a) & (F.col("_to") == b))
+        return allow
+
+    state = steps.filter(allowed(F.lit(0))).groupBy("_v").agg(F.min("_next").alias("_at"))
+    for _ in range(_LONGEST - 1):
+        later = steps.withColumnRenamed("_v", "_w")
+        now = F.pmod(F.col("_at"), F.lit(8).cast(wide)).cast("int")
+        same = F.col("_v").eqNullSafe(F.col("_w")) & (F.col("_next") > F.col("_at")) & allowed(now)
+        state = state.join(later, same, "left").groupBy("_v").agg(F.coalesce(F.min("_next"), F.max("_at")).alias("_at"))
+    last = Window.partitionBy(version).orderBy("alias")  # only equal events are left
+    kept = events.join(state, F.col(version).eqNullSafe(F.col("_v")) & (F.col("_place") == F.col("_at")), "left_semi")
+    return kept.withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n", "_code", "_place")

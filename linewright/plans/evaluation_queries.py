@@ -220,10 +220,23 @@ _ALIAS = """CASE event_type WHEN 'signup' THEN 'candidate' WHEN 'view' THEN 'cha
     WHEN 'click' THEN 'retired' ELSE 'rejected' END"""
 
 
+_STEPS = " OR ".join(
+    f"(f.alias {'IS NULL' if now is None else f'= {now!r}'} AND e.alias IN ({', '.join(map(repr, after))}))"
+    for now, after in lifecycle.TRANSITIONS.items()
+    if after
+)
+
+
 @query(
     "alias_state",
-    f"""SELECT user_id AS version, {_ALIAS} AS alias, ts AS at, event_id FROM events
-    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    f"""WITH RECURSIVE e AS (SELECT user_id AS version, {_ALIAS} AS alias, ts AS at, event_id,
+      row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+    f AS (SELECT DISTINCT version, 0::BIGINT AS i, NULL::VARCHAR AS alias, NULL::TIMESTAMP AS at, NULL::BIGINT AS event_id FROM e
+      UNION ALL SELECT e.version, e.i, CASE WHEN {_STEPS} THEN e.alias ELSE f.alias END,
+        CASE WHEN {_STEPS} THEN e.at ELSE f.at END, CASE WHEN {_STEPS} THEN e.event_id ELSE f.event_id END
+      FROM f JOIN e ON e.version = f.version AND e.i = f.i + 1)
+    SELECT version, alias, at, event_id FROM f WHERE alias IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY version ORDER BY i DESC) = 1""",
 )
 def _(spark, folder):
     names = {"signup": "candidate", "view": "challenger", "purchase": "champion", "click": "retired"}

@@ -2,14 +2,24 @@
 
 Landing layout: ``<landing>/<catalogue>/*.csv`` and, for inspections and labels,
 ``<landing>/<name>/history/...`` and ``<landing>/<name>/production/...`` with JSON lines.
+
+Warehouse layout: ``<warehouse>/<version>/<layer>/<table>`` and the file ``<warehouse>/CURRENT`` with the version that readers see.
+A rebuild writes a version of its own; streams keep one version and its checkpoints for good. Either makes its version the
+current one when all its tables are written, so both may run on one warehouse, in any order, and each sees its own files only.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import parse_timestamp
 from ..operators.joins import FeatureLookup, inspection_labels, training_set
@@ -27,6 +37,7 @@ from ..sources import (
     stream_table,
     with_month_partitions,
 )
+from ..sources.pointer import children, point, pointed, remove
 from ..streaming import labelled_stream, quarantine_stream, run_to_end, windowed_stream
 
 # Window widths of the feature tables.
@@ -65,29 +76,66 @@ TABLES = {
     },
     "gold_machine_profile": TableInfo("gold", "Machine data with defect history"),
     "gold_supplier_profile": TableInfo("gold", "Supplier data with defect history"),
-    "gold_inspection_training_dataset": TableInfo("gold", "Spine with features known at inspection time"),
+    "gold_inspection_training_dataset": TableInfo("gold", "Spine with features known at inspection time", ("year", "month")),
 }
 
 
+#: The version that streams append to.
+STREAM = "stream"
+
+
 class Plant:
     """Paths and readers of one warehouse folder."""
 
     def __init__(self, spark: SparkSession, landing: str, warehouse: str) -> None:
         self.spark, self.landing, self.warehouse = spark, landing.rstrip("/"), warehouse.rstrip("/")
+        self._written: str | None = None
+        self._schemas: dict[str, StructType] = {}
+
+    @property
+    def version(self) -> str:
+        """The version that is being written, else the current one."""
+        found = self._written or pointed(self.spark, f"{self.warehouse}/CURRENT")
+        if found is None:
+            raise FileNotFoundError(f"nothing has been written to {self.warehouse} yet")
+        return found
+
+    @contextmanager
+    def writing(self, version: str) -> Iterator[None]:
+        """All paths are those of a version, which becomes the current one if nothing fails."""
+        self._written = version
+        try:
+            yield
+            point(self.spark, f"{self.warehouse}/CURRENT", version)
+        finally:
+            self._written = None
+
+    def sweep(self, keep: int = 2) -> None:
+        """Delete rebuilt versions but the newest ones and the current one; a reader of the one before may still be at work."""
+        rebuilt = sorted(v for v in children(self.spark, self.warehouse) if v.startswith("batch-"))
+        for version in rebuilt[:-keep]:
+            if version != self.version:
+                remove(self.spark, f"{self.warehouse}/{version}")
 
     def path(self, table: str) -> str:
-        return f"{self.warehouse}/{TABLES[table].layer}/{table}"
+        return f"{self.warehouse}/{self.version}/{TABLES[table].layer}/{table}"
 
     def checkpoint(self, table: str) -> str:
-        return f"{self.warehouse}/_checkpoints/{table}"
+        return f"{self.warehouse}/{self.version}/_checkpoints/{table}"
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        try:
+            return self.spark.read.parquet(self.path(table))
+        except AnalysisException:  # a stream that has not closed a window yet has no files
+            if self._written is None or table not in self._schemas:
+                raise
+            return self.spark.createDataFrame([], self._schemas[table])
 
     def write(self, table: str, df: DataFrame, gather: bool = False) -> None:
         overwrite(df, self.path(table), list(TABLES[table].partition_by), gather)
 
     def append_stream(self, table: str, df: DataFrame) -> None:
+        self._schemas[table] = df.schema
         run_to_end(df, self.path(table), self.checkpoint(table), list(TABLES[table].partition_by))
 
     def valid(self, name: str) -> DataFrame:
@@ -97,16 +145,15 @@ class Plant:
         return self.read(f"silver_{name}").filter(_is_dead())
 
     def register(self, database: str) -> None:
-        """Catalogue entries with comment and layer for the tables written so far."""
-        from pyspark.errors import AnalysisException
-
+        """Catalogue entries with comment and layer for the tables of the current version; to be called again after a run."""
         for name, info in TABLES.items():
             try:
                 self.spark.read.parquet(self.path(name)).schema
             except AnalysisException:
                 continue
             full = f"{database}.{name}"
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{self.path(name)}'")
+            self.spark.sql(f"DROP TABLE IF EXISTS {full}")  # an external table: its files stay
+            self.spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{self.path(name)}'")
             if info.partition_by:
                 self.spark.sql(f"MSCK REPAIR TABLE {full}")
             comment = info.comment.replace("'", "\\'")
@@ -167,14 +214,19 @@ def write_training_dataset(plant: Plant) -> None:
         for tag, size in WINDOW_SIZES.items()
     ]
     rows = plant.read("gold_inspection_spine").drop("year", "month")
-    plant.write(
-        "gold_inspection_training_dataset",
-        training_set(rows, lookups, "timestamp", "is_defective", exclude=("unit_id",)),
-    )
+    found = training_set(rows, lookups, "timestamp", "is_defective", exclude=("unit_id",))
+    plant.write("gold_inspection_training_dataset", with_month_partitions(found, "timestamp"), gather=True)
 
 
 def run_batch(plant: Plant, as_of: str, only_first_label: bool = False, digits: int | None = None) -> None:
-    """Rebuild every table from the landing files."""
+    """Rebuild every table from the landing files, as a version of its own."""
+    now = datetime.now(timezone.utc)
+    with plant.writing(f"batch-{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"):
+        _rebuild(plant, as_of, only_first_label, digits)
+    plant.sweep()
+
+
+def _rebuild(plant: Plant, as_of: str, only_first_label: bool, digits: int | None) -> None:
     spark = plant.spark
     write_catalogs(plant)
     for name, time in EVENT_TIMES.items():
@@ -200,8 +252,13 @@ def _spine(labelled: DataFrame) -> DataFrame:
 
 
 def run_streams(plant: Plant, as_of: str, digits: int | None = None) -> None:
-    """One triggered run: every stream takes what is new since its checkpoint, and profiles are
+    """One triggered run: every stream takes what is new since its checkpoint, and profiles and the training set are
     recomputed. Open windows and inspections that may still get a label wait in state."""
+    with plant.writing(STREAM):
+        _advance(plant, as_of, digits)
+
+
+def _advance(plant: Plant, as_of: str, digits: int | None) -> None:
     spark = plant.spark
     write_catalogs(plant)
     for name, time in EVENT_TIMES.items():
@@ -231,6 +288,7 @@ def run_streams(plant: Plant, as_of: str, digits: int | None = None) -> None:
         )
         plant.append_stream(f"gold_machine_agg_{tag}", windows)
     write_profiles(plant, as_of)
+    write_training_dataset(plant)
 
 
 __all__ = ["Plant", "TABLES", "WINDOW_SIZES", "run_batch", "run_streams", "write_training_dataset"]

@@ -18,12 +18,26 @@ def with_audit(df: DataFrame) -> DataFrame:
     )
 
 
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files of a folder by their first line. One line per file reaches the driver; the files are small and few."""
+    text = F.decode(F.col("content"), "UTF-8")
+    first = F.regexp_replace(F.substring_index(text, "\n", 1), "[\uFEFF\r]", "")
+    files = spark.read.format("binaryFile").load(path)
+    found: dict[str, list[str]] = {}
+    for row in files.filter("length > 0").select("path", first.alias("header")).collect():
+        found.setdefault(row["header"], []).append(row["path"])
+    return found
+
+
 def read_catalog(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """One of the small CSV catalogues, read whole on every run. Columns are found by their header,
+    """One of the small CSV catalogues, read whole on every run. In each file columns are found by its own header,
     in any order; one that is missing is an error, a value that does not fit its type is NULL."""
-    rows = with_audit(spark.read.option("header", True).csv(path))
-    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in catalog_schema(name).fields]
-    return rows.select(*typed, "ingestion_timestamp", "source_file")
+    schema = catalog_schema(name)
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    # Spark takes the header of one file for all, so files with different headers are read apart
+    alike = list(_headers(spark, path).values()) or [[path]]
+    parts = [with_audit(spark.read.option("header", True).csv(files)).select(*typed, "ingestion_timestamp", "source_file") for files in alike]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def _json_options(reader, schema: StructType):

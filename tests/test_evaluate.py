@@ -1,11 +1,15 @@
 import math
 import random
+from datetime import datetime, timedelta
 
 import pytest
 
 from linewright.operators import drift, evaluate, lifecycle
 
 
+T0 = datetime(2024, 1, 4)
+
+
 def frame(spark, pairs):
     return spark.createDataFrame(pairs, "y int, p double")
 
@@ -141,6 +145,24 @@ def test_alias_events(spark):
     assert [r.alias for r in first.collect()] == ["champion"]
 
 
+def test_aliases_are_folded_through_the_life_cycle(spark):
+    rng = random.Random(9)
+    names = [a for a in lifecycle.TRANSITIONS if a] + ["unknown"]
+    rows = [(v, rng.choice(names), T0 + timedelta(seconds=rng.randrange(40)), e) for e, v in enumerate([None, *range(30)] * 12)]
+    rows += [(99, a, T0 + timedelta(hours=h), h) for h, a in enumerate(["candidate", "champion", "challenger", "champion", "candidate", "retired", "champion"])]
+    rows += [(98, "candidate", T0, 5), (98, "candidate", T0, 5), (97, "champion", T0, 1)]
+    events = spark.createDataFrame(rows, "version int, alias string, at timestamp, seq long")
+    want = {}
+    for v, alias, at, e in sorted(rows, key=lambda r: (r[2], r[3])):
+        if lifecycle.may_become(want.get(v, (None,))[0], alias):
+            want[v] = (alias, at, e)
+    state = lifecycle.alias_state(events, "version", ["at", "seq"])
+    got = [(r.version, (r.alias, r.at, r.seq)) for r in state.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    assert want[99][0] == "retired" and 97 not in want
+    assert "SortAggregate" not in state._jdf.queryExecution().executedPlan().toString()
+
+
 def test_drift(spark):
     rows = [(False, float(i % 10), 1.0) for i in range(200)] + [(True, float(i % 10) + 5, 1.0) for i in range(200)]
     df = spark.createDataFrame(rows, "now boolean, a double, b double")

@@ -118,3 +118,42 @@ def test_promotion_flow(spark, data, prepared, tmp_path):
     again = promote(prepared, tagged, "y", {"reg": 0.01}, 3, (2, first.challenger_model), str(tmp_path / "b2"))
     assert not again.promoted  # the same model ties and the champion stays
     assert {r.version: r.alias for r in again.events.collect()} == {3: "rejected"}
+
+
+def test_two_promotions_in_a_row(spark, data, prepared, tmp_path):
+    """The second run takes its champion from the store; the log tells the whole story and takes no illegal step."""
+    from linewright.ml.store import ModelStore
+    from linewright.plans.promotion import promote
+    from linewright.sources import get_properties
+
+    tagged = data.withColumn(
+        "split", F.when(F.col("id") < 200, "train").when(F.col("id") < 300, "validation").otherwise("test")
+    )
+    store = ModelStore(spark, str(tmp_path / "store"))
+    assert store.champion() is None and store.events().count() == 0
+
+    def go(version, settings):
+        facts = dict(store=store, baseline_table="store_baseline", run_id=f"run{version}", test_end="2024-02-01")
+        return promote(prepared, tagged, "y", settings, version, None, str(tmp_path / f"baseline{version}"), **facts)
+
+    first = go(1, {"reg": 50.0, "max_iter": 1})
+    assert first.promoted and store.champion()[0] == 2
+    stored = store.champion()[2]
+    assert stored["run_id"] == "run1" and 0 <= stored["threshold"] <= 1 and stored["settings"] == {"reg": 50.0, "max_iter": 1}
+    again = models.score(store.champion()[1], tagged).select("id", "probability_defective").collect()
+    assert {tuple(r) for r in again} == {tuple(r) for r in models.score(first.champion, tagged).select("id", "probability_defective").collect()}
+    tie = go(3, {"reg": 50.0, "max_iter": 1})
+    assert not tie.promoted or tie.decision.first().delta > 0  # measured against the stored champion
+    state = {r.version: r.alias for r in store.aliases().collect()}
+    assert state[1] == "retired" and state[3] in ("rejected", "retired")
+    assert sum(alias == "champion" for alias in state.values()) == 1
+    facts = get_properties(spark, "store_baseline")
+    spark.sql("DROP TABLE store_baseline")
+    assert facts["baseline.run_id"] in ("run1", "run3") and float(facts["baseline.threshold"]) == store.champion()[2]["threshold"]
+    before = store.events().count()
+    for version, alias in ((7, "champion"), (1, "champion"), (store.champion()[0], "candidate")):
+        with pytest.raises(ValueError):
+            store.append([(8, "candidate", {}), (version, alias, {})])
+    assert store.events().count() == before
+    with pytest.raises(ValueError):
+        store.crown(42)

@@ -1,10 +1,12 @@
 import pytest
 from plant_files import inspection, write_catalogs, write_lines
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from linewright import sources
 from linewright.schemas import CATALOGS, RESCUED, event_schema
 from linewright.session import materialize, shared_dir
+from linewright.sources import pointer
 
 
 @pytest.fixture()
@@ -58,6 +60,29 @@ def test_inferred_schema_is_kept(spark, landing, tmp_path):
     assert {f.name: f.dataType.simpleString() for f in schema} == {"a": "bigint", "b": "double", "c": "string"}
 
 
+def test_catalogue_files_may_order_their_columns_apart(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "a.csv").write_text("line_id,daily_capacity,clean_room_class\nL1,100,ISO5\n")
+    (folder / "b.csv").write_text("\ufeffclean_room_class,line_id,daily_capacity\r\nISO8,L2,200\r\n")
+    (folder / "c.csv").write_text("daily_capacity,extra,line_id,clean_room_class\nmany,x,L3,ISO1\n")
+    got = sources.read_catalog(spark, "lines", str(folder)).collect()
+    rows = sorted((r.line_id, r.daily_capacity, r.clean_room_class, r.source_file.rsplit("/")[-1]) for r in got)
+    assert rows == [("L1", 100, "ISO5", "a.csv"), ("L2", 200, "ISO8", "b.csv"), ("L3", None, "ISO1", "c.csv")]
+    (folder / "d.csv").write_text("line_id,daily_capacity\nL4,1\n")
+    with pytest.raises(AnalysisException):
+        sources.read_catalog(spark, "lines", str(folder)).collect()
+
+
+def test_pointer_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "deep" / "CURRENT")
+    assert pointer.pointed(spark, path) is None
+    for name in ("one", "zw\u00e9i", ""):
+        pointer.point(spark, path, name)
+        assert pointer.pointed(spark, path) == name
+    assert [c for c in pointer.children(spark, str(tmp_path / "deep")) if not c.endswith(".crc")] == ["CURRENT"]
+
+
 def test_month_partitions_prune(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.sql("SELECT timestamp'2024-01-15' + make_interval(0, id) AS t FROM range(4)")
