@@ -268,6 +268,11 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def forget() -> None:
+    """Free this worker's tables."""
+    codec.cache_clear()
+
+
 def encode(docs: DataFrame, tokenizer: str, ids: str = "ids", text_col: str = "text") -> DataFrame:
     """All columns and `ids`, the token ids of the whole text (binary, little-endian 32 bits).
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import sys
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -99,3 +100,10 @@ def give_back() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
     if trim:
         trim(0)
+
+
+def make_room(own: str = "") -> None:
+    """At a task's start: tables that tasks of modules other than `own` have left in this Python worker go."""
+    for name in ("tokens", "bpe", "toxicity"):
+        if name != own and (module := sys.modules.get(f"{__package__}.{name}")):
+            module.forget()

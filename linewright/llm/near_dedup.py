@@ -3,8 +3,13 @@
 A document is its shingles of five words, each with the weight count * idf. Improved consistent weighted sampling draws,
 for each of BANDS * ROWS random seeds, one (shingle, level) so that two documents draw the same with a probability equal to
 their weighted Jaccard similarity. ROWS draws make a band key. Documents that share a key are candidates, and the weighted
-Jaccard similarity of the whole shingle sets decides. In rounds, leaders of each bucket of a key are compared with all other
-members, until no two members are left that are of different classes and were not compared.
+Jaccard similarity of the whole shingle sets decides.
+
+Candidates are kept linear in the rows. Each bucket of a key has one leader, the member that shares most keys with others, so the
+middle of a group; all members are compared with it, and what is like it is one class. Then only members of different classes are
+left to compare: all of them in buckets of SMALL members or fewer. A larger bucket is split by further draws: its members get
+SPLIT_KEYS longer keys of SPLIT_ROWS draws out of SPLIT_SEEDS, and meet where they share one. Before whole sets are compared, the
+share of equal draws, four bits of each, has to leave the similarity possible.
 
 idf falls with the share of documents that hold a shingle, from 1 at a share of COMMON or less to FLOOR where all
 hold it: lines that stand everywhere count less, and a group of copies does not lose its weight. The share is counted over all
@@ -22,10 +27,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dropping, give_back, materialize, query, table, whole
+from .common import dropping, give_back, make_room, materialize, query, table, whole
 from .exact_dedup import small
 
 WORDS = 5
@@ -35,8 +40,13 @@ BANDS, ROWS = 16, 3
 COMMON, FLOOR = 0.01, 0.5
 #: Counters of each row of the sketch; rows; counters that are summed together; partial sketches that a task adds up.
 WIDTH, DEPTH, SEGMENT, FAN_IN = 1 << 18, 2, 1 << 12, 64
-#: A bucket with so many members outside its largest class has all of them lead at once; leaders of another one in its first further round.
-ALL_LEAD, LEADERS = 64, 4
+#: Members of a bucket that are compared with each other; beyond, the bucket is split by keys of so many draws, so many keys, from
+#: so many seeds. Rows with a similarity of 0.8 share one with a chance of 0.99, rows of 0.55 with one of 0.07.
+SMALL = 16
+SPLIT_ROWS, SPLIT_KEYS, SPLIT_SEEDS = 12, 96, 144
+#: Least number of equal draws, of BANDS * ROWS and of SPLIT_SEEDS: 3 to 4 deviations below that of a weighted similarity of 0.73,
+#: which is that of a plain 0.8 in a large group of copies.
+LEAST_EQUAL, LEAST_EQUAL_SPLIT = 24, 92
 #: Bytes of text that are worked on at a time.
 GROUP_BYTES = 1 << 20
 
@@ -46,6 +56,9 @@ _BYTE = _rng.integers(0, 1 << 63, 256, dtype="u8") * np.uint64(2) + np.uint64(1)
 _PLACE = _rng.integers(0, 1 << 63, 4096, dtype="u8") * np.uint64(2) + np.uint64(1)
 _WORD = _rng.integers(0, 1 << 63, WORDS, dtype="u8") * np.uint64(2) + np.uint64(1)
 _SEED = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype="u8") * np.uint64(2) + np.uint64(1)
+_SPLIT_SEED = _rng.integers(0, 1 << 63, SPLIT_SEEDS, dtype="u8") * np.uint64(2) + np.uint64(1)
+#: Which draws make each longer key.
+_SPLIT = np.stack([_rng.permutation(SPLIT_SEEDS)[:SPLIT_ROWS] for _ in range(SPLIT_KEYS)], axis=1)
 #: Word bytes: ASCII letters and digits, and all bytes of other characters.
 _IN_WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
@@ -155,6 +168,7 @@ def count_documents(numbered: DataFrame) -> np.ndarray:
     """The sketch: how many documents hold the shingles of each counter. Partial sketches are added up in a tree."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         sketch = np.zeros((DEPTH, WIDTH), "i8")
         for batch in batches:
             for _, _, shingles in groups(batch.column(0)):
@@ -198,12 +212,12 @@ class Weights:
         return reduce(np.maximum, (self.idf[row][slot] for row, slot in enumerate(slots(hashes)))).astype("f8")
 
 
-def draws(shingles: Shingles, weights: np.ndarray) -> np.ndarray:
-    """One row for each document: the draws of BANDS * ROWS seeds, by improved consistent weighted sampling."""
+def draws(shingles: Shingles, weights: np.ndarray, seeds: np.ndarray = _SEED) -> np.ndarray:
+    """One row for each document: the draws of the seeds, by improved consistent weighted sampling."""
     begin, doc = shingles.begin, shingles.doc
     log_weight = np.log(weights)
-    out = np.empty((len(begin), BANDS * ROWS), "u8")
-    for j, seed in enumerate(_SEED):
+    out = np.empty((len(begin), len(seeds)), "u8")
+    for j, seed in enumerate(seeds):
         x = (shingles.hash ^ seed) * np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(32)
         x *= np.uint64(0x94D049BB133111EB)
@@ -219,24 +233,64 @@ def draws(shingles: Shingles, weights: np.ndarray) -> np.ndarray:
     return out
 
 
+def _lists(values: np.ndarray) -> pa.Array:
+    """Rows of 64-bit numbers as lists."""
+    rows, width = values.shape
+    return pa.ListArray.from_arrays(np.arange(0, rows * width + 1, width, dtype="i4"), pa.array(values.view("i8").ravel()))
+
+
+def sketched(drawn: np.ndarray) -> np.ndarray:
+    """Four bits of each draw, sixteen draws to a number."""
+    bits = (drawn >> np.uint64(60)).reshape(len(drawn), -1, 16) << np.arange(0, 64, 4, dtype="u8")
+    return np.bitwise_or.reduce(bits, axis=2)
+
+
+def alike(a: str, b: str, draws_: int, least: int) -> Column:
+    """Whether two sketches agree in `least` of their draws or more; other draws agree by chance one time in sixteen."""
+    differing = F.lit(0)
+    for k in range(draws_ // 16):
+        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        differing = differing + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return differing <= draws_ - least
+
+
 def sign(numbered: DataFrame, weights: Weights) -> DataFrame:
-    """(uid, id, p, q, bands): the word sequence's fingerprint and the band keys of each document."""
+    """(uid, id, p, q, bands, sketch): the word sequence's fingerprint, the band keys and bits of the draws of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             for low, high, shingles in groups(batch.column(2)):
                 drawn = draws(shingles, shingles.count * weights.of(shingles.hash))
                 keys = np.zeros((high - low, BANDS), "u8")
                 for row in range(ROWS):
                     keys = mixed(keys ^ drawn[:, row::ROWS] + np.arange(BANDS, dtype="u8"))
-                bands = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype="i4"), pa.array(keys.view("i8").ravel()))
                 some = batch.slice(low, high - low)
-                columns = [some.column(0), some.column(1), *(pa.array(p.view("i8")) for p in shingles.prints), bands]
-                yield pa.record_batch(columns, names=["uid", "id", "p", "q", "bands"])
+                columns = [some.column(0), some.column(1), *(pa.array(p.view("i8")) for p in shingles.prints), _lists(keys), _lists(sketched(drawn))]
+                yield pa.record_batch(columns, names=["uid", "id", "p", "q", "bands", "sketch"])
         give_back()
 
     kind = numbered.schema["id"].dataType.simpleString()
-    return numbered.select("uid", "id", "text").mapInArrow(run, f"uid long, id {kind}, p long, q long, bands array<long>")
+    return numbered.select("uid", "id", "text").mapInArrow(run, f"uid long, id {kind}, p long, q long, bands array<long>, sketch array<long>")
+
+
+def split_keys(numbered: DataFrame, weights: Weights) -> DataFrame:
+    """(uid, keys, sketch): SPLIT_KEYS longer keys from draws of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, shingles in groups(batch.column(1)):
+                drawn = draws(shingles, shingles.count * weights.of(shingles.hash), _SPLIT_SEED)
+                keys = np.zeros((high - low, SPLIT_KEYS), "u8")
+                for chosen in _SPLIT:
+                    keys = mixed(keys ^ drawn[:, chosen] + np.arange(SPLIT_KEYS, dtype="u8"))
+                columns = [batch.column(0).slice(low, high - low), _lists(keys), _lists(sketched(drawn))]
+                yield pa.record_batch(columns, names=["uid", "keys", "sketch"])
+        give_back()
+
+    return numbered.select("uid", "text").mapInArrow(run, "uid long, keys array<long>, sketch array<long>")
 
 
 def vectors_of(numbered: DataFrame, weights: Weights) -> DataFrame:
@@ -273,7 +327,12 @@ def similarity(a: bytes, b: bytes) -> tuple[float, float]:
 
 
 def verify(pairs: DataFrame, numbered: DataFrame, weights: Weights, threshold: float) -> DataFrame:
-    """Pairs (uid, leader) whose weighted or plain Jaccard similarity reaches the threshold. Written."""
+    """Pairs (uid, leader) whose weighted or plain Jaccard similarity reaches the threshold. Written; what it takes is deleted."""
+    with dropping(pairs.sparkSession):
+        return _verify(materialize(pairs, "pairs"), numbered, weights, threshold)
+
+
+def _verify(pairs: DataFrame, numbered: DataFrame, weights: Weights, threshold: float) -> DataFrame:
     involved = materialize(pairs.select(F.explode(F.array("uid", "leader")).alias("uid")).distinct(), "involved")
     texts = numbered.select("uid", "text").join(small(involved), "uid", "left_semi")
     vectors = materialize(vectors_of(texts, weights), "vectors")
@@ -288,15 +347,20 @@ def verify(pairs: DataFrame, numbered: DataFrame, weights: Weights, threshold: f
         give_back()
 
     found = joined.select("uid", "leader", "vector", "leader_vector").mapInArrow(run, "uid long, leader long")
-    return materialize(found, "links")
+    return materialize(found, "links", keep=True)
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(uid, root) of all rows that links (uid, leader) join: the smallest uid that can be reached.
+    """(uid, root) of all rows that links (uid, leader) join: the smallest uid that can be reached. Written.
 
     Each round takes the least label of the neighbours and then the label of the label, as written tables, until no label
     changes; the number of rounds follows the logarithm of the longest way.
     """
+    with dropping(links.sparkSession):
+        return materialize(_components(links), "components", keep=True)
+
+
+def _components(links: DataFrame) -> DataFrame:
     both = links.select("uid", F.col("leader").alias("to")).unionByName(links.select(F.col("leader").alias("uid"), F.col("uid").alias("to")))
     both = materialize(both.distinct(), "edges")
     labels = materialize(both.groupBy("uid").agg(F.least(F.min("to"), F.col("uid")).alias("root")), "labels")
@@ -316,75 +380,66 @@ def link_counts(links: DataFrame) -> DataFrame:
     return links.select(F.explode(F.array("uid", "leader")).alias("uid")).groupBy("uid").agg(F.count("*").alias("links"))
 
 
-def further_links(rest: DataFrame, numbered: DataFrame, weights: Weights, threshold: float) -> DataFrame | None:
-    """Links between members of a bucket that were not compared; None if there are none.
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.greatest(a, b).alias("uid"), F.least(a, b).alias("leader")]
+
+
+def _across(members: DataFrame, by: list[str], draws_: int, least: int) -> DataFrame:
+    """Pairs (uid, leader) of members of a bucket that are in different classes and whose draws leave them possible."""
+    other = members.select(*by, F.col("uid").alias("to"), F.col("root").alias("to_root"), F.col("sketch").alias("to_sketch"))
+    apart = reduce(lambda x, y: x & y, [members[c] == other[c] for c in by]) & (members["root"] < other["to_root"])
+    met = members.join(other, apart & alike("sketch", "to_sketch", draws_, least))
+    return met.select(*_pair("uid", "to")).distinct()
 
-    `rest` has (band, key, uid, root, links): a bucket's members that have not led it, their class and number of links. In each
-    round leaders are compared with all members of other classes and leave; a pair of one class needs no link. Where few members
-    are outside the bucket's largest class, these lead, which leaves one class. Otherwise rows with most links lead first, as the
-    middle of a group joins it at once, and the number of leaders grows fourfold, so that a bucket of n members is done after
-    about log(n) / 2 rounds, whatever its members are.
-    """
-    out, leaders_each = None, LEADERS
-    while True:
-        parts = rest.groupBy("band", "key", "root").agg(F.count("*").alias("n"))
-        buckets = parts.groupBy("band", "key").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"))
-        buckets = buckets.filter("n > most.n").select("band", "key", F.col("most.root").alias("largest"), (F.col("n") - F.col("most.n")).alias("others"))
-        buckets = materialize(buckets, "open-buckets")
-        if buckets.isEmpty():
-            return out
-        rest = materialize(rest.join(small(buckets), ["band", "key"]), "open-members")
-        few = F.col("others") <= ALL_LEAD
-        slot = F.when(few, F.col("uid")).otherwise(F.pmod(F.xxhash64("uid", F.lit(leaders_each)), F.lit(leaders_each)))
-        best = F.max(F.struct("links", F.xxhash64("uid").alias("hash"), "uid", "root")).alias("best")
-        leaders = rest.filter(~few | (F.col("root") != F.col("largest"))).groupBy("band", "key", slot.alias("slot")).agg(best)
-        leaders = materialize(leaders.select("band", "key", F.col("best.uid").alias("leader"), F.col("best.root").alias("leader_root")), "leaders")
-        pairs = rest.join(small(leaders), ["band", "key"]).filter("root <> leader_root")
-        pairs = pairs.select(F.greatest("uid", "leader").alias("uid"), F.least("uid", "leader").alias("leader")).distinct()
-        links = verify(materialize(pairs, "pairs"), numbered, weights, threshold)
-        left = rest.drop("largest", "others").join(small(leaders.select("band", "key", F.col("leader").alias("uid"))), ["band", "key", "uid"], "left_anti")
-        if not links.isEmpty():
-            out = links if out is None else out.unionByName(links)
-            root_of = rest.select("uid", "root").distinct()
-            edges = links.join(root_of, "uid").select("leader", F.col("root").alias("a")).join(root_of.withColumnRenamed("uid", "leader"), "leader")
-            merged = components(materialize(edges.select(F.col("a").alias("uid"), F.col("root").alias("leader")).distinct(), "merged"))
-            merged = merged.select(F.col("uid").alias("root"), F.col("root").alias("now"))
-            made = link_counts(links).withColumnRenamed("links", "made")
-            left = left.join(merged, "root", "left").join(made, "uid", "left").select(
-                "band", "key", "uid", F.coalesce("now", "root").alias("root"), (F.col("links") + F.coalesce("made", F.lit(0))).alias("links")
-            )
-        rest = materialize(left, "bucket-members")
-        leaders_each *= 4
+
+def _open(members: DataFrame, by: list[str]) -> DataFrame:
+    """Buckets that hold members of several classes, with their sizes."""
+    sizes = members.groupBy(*by).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+    return sizes.filter("low < high").select(*by, "n")
 
 
 def classes(numbered: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """From a written (uid, id, text): uid and class of rows in classes of two or more, and links."""
+    """From a written (uid, id, text): uid and class of rows in classes of two or more, and links. Both written."""
+    with dropping(numbered.sparkSession):
+        return _classes(numbered, threshold)
+
+
+def _classes(numbered: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     weights = Weights(count_documents(numbered), numbered.count())
     signed = materialize(sign(numbered, weights), "signatures")
 
     # rows of the same words: one stands for all
     same = materialize(signed.groupBy("p", "q").agg(F.min("uid").alias("leader"), F.count("*").alias("n")), "word-sequences")
     copies = signed.select("uid", "p", "q").join(same.filter("n > 1"), ["p", "q"]).filter("uid <> leader").select("uid", "leader")
-    copies = materialize(copies, "copies")
-    distinct = signed.join(small(copies.select("uid")), "uid", "left_anti").select("uid", F.posexplode("bands").alias("band", "key"))
-
-    # in each bucket every member is compared with the first and the last of it, which leaves no pair where there are three
-    ends = distinct.groupBy("band", "key").agg(F.min("uid").alias("first"), F.max("uid").alias("last"), F.count("*").alias("n")).filter("first < last")
-    ends = materialize(ends, "buckets")
-    met = distinct.join(small(ends.drop("n")), ["band", "key"])
-    pairs = met.select("uid", F.explode(F.array("first", "last")).alias("leader")).filter("uid <> leader")
-    pairs = materialize(pairs.select(F.greatest("uid", "leader").alias("uid"), F.least("uid", "leader").alias("leader")).distinct(), "pairs")
-    links = verify(pairs, numbered, weights, threshold).unionByName(copies)
+    copies = materialize(copies, "copies", keep=True)
+    distinct = signed.join(small(copies.select("uid")), "uid", "left_anti")
+    keyed = distinct.select("uid", "sketch", F.posexplode("bands").alias("band", "key"))
+
+    # buckets, and in each the member that shares most keys with others; of such ones any, but the same in all buckets
+    sizes = keyed.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    members = materialize(keyed.join(sizes, ["band", "key"]), "members")
+    degrees = members.groupBy("uid").agg(F.sum(F.col("n") - 1).alias("shared"))
+    place = F.shiftleft(F.least("shared", F.lit((1 << 30) - 1)), 32).bitwiseOR(F.xxhash64("uid").bitwiseAND(F.lit((1 << 32) - 1)))
+    degrees = degrees.select("uid", place.alias("place"))
+    leaders = members.select("band", "key", "uid").join(degrees, "uid").groupBy("band", "key").agg(F.max_by("uid", "place").alias("leader"))
+    leaders = leaders.join(distinct.select(F.col("uid").alias("leader"), F.col("sketch").alias("leader_sketch")), "leader")
+    near = members.join(leaders, ["band", "key"]).filter((F.col("uid") != F.col("leader")) & alike("sketch", "leader_sketch", BANDS * ROWS, LEAST_EQUAL))
+    links = verify(near.select(*_pair("uid", "leader")).distinct(), numbered, weights, threshold).unionByName(copies)
     found = components(links)
 
-    rest = distinct.join(small(ends.filter("n > 3").drop("n")), ["band", "key"]).filter("uid <> first AND uid <> last")
-    rest = rest.join(found, "uid", "left").join(link_counts(links), "uid", "left")
-    rest = rest.select("band", "key", "uid", F.coalesce("root", "uid").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
-    more = further_links(materialize(rest, "bucket-members"), numbered, weights, threshold)
-    if more is None:
-        return found, links
+    # what is left are members of different classes
+    placed = members.join(found, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+    placed = materialize(placed.drop("n"), "placed")
+    rest = materialize(placed.join(_open(placed, ["band", "key"]), ["band", "key"]), "open")
+    few = _across(rest.filter(F.col("n") <= SMALL), ["band", "key"], BANDS * ROWS, LEAST_EQUAL)
+    many = materialize(rest.filter(F.col("n") > SMALL).select("uid", "root").distinct(), "split")
+    split = split_keys(numbered.join(small(many.select("uid")), "uid", "left_semi"), weights).join(many, "uid")
+    split = materialize(split.select("uid", "root", "sketch", F.posexplode("keys").alias("band", "key")), "split-members")
+    split = split.join(_open(split, ["band", "key"]), ["band", "key"])
+    pairs = few.unionByName(_across(split, ["band", "key"], SPLIT_SEEDS, LEAST_EQUAL_SPLIT)).distinct()
+    more = verify(pairs, numbered, weights, threshold)
     links = links.unionByName(more)
-    return components(links), links
+    return (components(links) if not more.isEmpty() else found), links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:

@@ -206,3 +206,8 @@ class PieceEncoder:
 def encoder(path: str) -> PieceEncoder:
     """One for each Python worker and file."""
     return PieceEncoder(path)
+
+
+def forget() -> None:
+    """Free this worker's tables."""
+    encoder.cache_clear()
