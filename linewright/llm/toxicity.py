@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from linewright.session import materialize
 
-from .common import bucket_of, free_name, query, table, whole
+from .common import bucket_of, free_name, make_room, query, table, whole
 from .exact_dedup import small
 
 # Identity terms that may stand for each other.
@@ -53,6 +53,11 @@ def features_of(word: str) -> tuple[str, ...]:
     return (word, *(f"{word[:n]}*" for n in (4, 5, 6) if len(word) >= n))
 
 
+def forget() -> None:
+    """Free this worker's table of words."""
+    features_of.cache_clear()
+
+
 def features(words: set[str]) -> set[str]:
     return set().union(*map(features_of, words)) if words else set()
 
@@ -87,6 +92,7 @@ def _count_features(sample: DataFrame) -> DataFrame:
     """(feature, toxic, other): texts of each class that have it."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        make_room("toxicity")
         counts = {0: Counter(), 1: Counter()}
         for frame in frames:
             for text, label in zip(frame["text"], frame["label"], strict=True):
@@ -197,6 +203,7 @@ def score(docs: DataFrame, model: Model, column: str = "score", text_col: str =
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        make_room("toxicity")
         for texts in batches:
             yield pd.Series([model.score(t) for t in texts], dtype="float64")
 
