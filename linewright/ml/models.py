@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate
 from ..operators.dataset import with_class_weights
 from ..session import materialize
+from ..sources.digests import fingerprint
 from .stages import FEATURES, selected_names
 
 WEIGHT = "class_weight"
@@ -74,8 +76,19 @@ def _trainable(df: DataFrame, label: str) -> DataFrame:
 
 
 def fit(stages: list, classifier, df: DataFrame, label: str) -> PipelineModel:
-    """Fit preparation and classifier on all labelled rows, as one model over raw columns."""
-    return Pipeline(stages=[*stages, classifier]).fit(_trainable(df, label))
+    """Fit preparation and classifier on all labelled rows, as one model over raw columns.
+
+    The raw rows are read once and stored; class sizes and each stage of the preparation are fitted on these, and the classifier
+    on the stored vectors, so neither the stages nor its rounds read the lineage again."""
+    stored = materialize(df.filter(F.col(label).isNotNull()), "training-rows")
+    preparer, vectors = prepared(stages, _trainable(stored, label), label)
+    return PipelineModel(stages=[*preparer.stages, classifier.fit(vectors)])
+
+
+def prepared(stages: list, trainable: DataFrame, label: str) -> tuple[PipelineModel, DataFrame]:
+    """The fitted preparation, and the vectors, labels and weights of the rows it was fitted on, stored."""
+    preparer = Pipeline(stages=stages).fit(trainable)
+    return preparer, materialize(preparer.transform(trainable).select(FEATURES, label, WEIGHT), "vectors")
 
 
 def score(model, df: DataFrame) -> DataFrame:
@@ -134,8 +147,10 @@ MEASURES = ["avg_precision", "auc_roc", "auc_pr_trapezoid", "precision", "recall
 def _runs_schema(settings: Sequence[str]) -> str:
     parts = ["run_id string", "parent_run_id string", "run_type string", "status string", "error string"]
     parts += [f"{s} string" for s in settings]
-    parts += [f"{side}_{m} double" for side in ("train", "val") for m in MEASURES]
-    return ", ".join([*parts, "best_threshold double", "best_f1 double"])
+    parts += [f"{side}_{m} double" for side in ("train", "val", "gap") for m in MEASURES]
+    parts += ["best_threshold double", "best_f1 double", "iterations int", "converged boolean", "final_loss double"]
+    parts += [f"{side}_{fact}" for side in ("train", "val") for fact in ("rows long", "digest string")]
+    return ", ".join([*parts, "preparation string"])
 
 
 @dataclass
@@ -154,7 +169,18 @@ class _Trial:
         out = {"run_id": self.run_id, "parent_run_id": parent, "run_type": "training", "status": status, "error": self.problem}
         out |= {name: str(value) for name, value in self.settings.items()}
         out |= {f"{side}_{m}": found[m] for side, found in self.measures.items() for m in MEASURES}
-        return out | {name: self.measures.get("val", {}).get(name) for name in ("best_threshold", "best_f1")}
+        for m in MEASURES if self.measures else ():
+            ours, theirs = out[f"train_{m}"], out[f"val_{m}"]
+            out[f"gap_{m}"] = None if ours is None or theirs is None else ours - theirs
+        return out | self._convergence() | {name: self.measures.get("val", {}).get(name) for name in ("best_threshold", "best_f1")}
+
+    def _convergence(self) -> dict:
+        """Iterations, whether they ended before their limit, and the last loss; nothing for models that don't iterate."""
+        if self.model is None or not getattr(self.model, "hasSummary", False) or not hasattr(self.model.summary, "totalIterations"):
+            return {}
+        summary = self.model.summary
+        done = summary.totalIterations < self.model.getMaxIter()
+        return {"iterations": summary.totalIterations, "converged": done, "final_loss": float(summary.objectiveHistory[-1])}
 
 
 def _train(build: Callable, settings: dict, vectors: DataFrame, attempts: int) -> _Trial:
@@ -173,6 +199,13 @@ def _train(build: Callable, settings: dict, vectors: DataFrame, attempts: int) -
         return _Trial(settings, problem=next(iter(str(refusal).splitlines()), type(refusal).__name__))
 
 
+def _described(stages: list) -> str:
+    """The stages and the settings that were made, as JSON."""
+    plain = lambda v: v if isinstance(v, (str, int, float, bool, list, type(None))) else str(v)
+    listed = [{"stage": type(s).__name__, **{p.name: plain(v) for p, v in s.extractParamMap().items() if s.isSet(p)}} for s in stages]
+    return json.dumps(listed, sort_keys=True)
+
+
 def grid_search(
     stages: list,
     train: DataFrame,
@@ -188,10 +221,16 @@ def grid_search(
     so each setting reads vectors only. A setting that can't be trained becomes a failed run and
     the rest goes on; if none can, the search fails. The models' scores are written side by side
     in one table, which the measures read. Returns the table of runs, the best model (by
-    validation average precision) over raw columns, and its row.
+    validation average precision) over raw columns, and its row. A run's row also holds the gaps between training and
+    validation, how the training ended, the fingerprints of both parts and the stages of the preparation with their settings.
     """
     grid = grid or {"reg": REG_PARAMS, "elastic_net": ELASTIC_NET_PARAMS, "max_iter": MAX_ITERS}
     spark, parent = train.sparkSession, uuid.uuid4().hex
+    train, validation = materialize(train, "train-rows"), materialize(validation, "val-rows")
+    facts = {"preparation": _described(stages)}
+    for side, rows in (("train", train), ("val", validation)):
+        found = fingerprint(rows).first()
+        facts |= {f"{side}_rows": found["row_count"], f"{side}_digest": found["digest"]}
     train, validation = _trainable(train, label), _trainable(validation, label)
     preparer = Pipeline(stages=stages).fit(train)
 
@@ -222,7 +261,7 @@ def grid_search(
 
     schema = _runs_schema(list(grid))
     columns = [part.split()[0] for part in schema.split(", ")]
-    rows = [t.row(parent) for t in trials]
+    rows = [t.row(parent) | facts for t in trials]
     runs = spark.createDataFrame([tuple(map(r.get, columns)) for r in rows], schema)
     ranked = sorted(able, key=lambda t: t.measures["val"]["avg_precision"] or 0.0, reverse=True)
-    return runs, PipelineModel(stages=[*preparer.stages, ranked[0].model]), ranked[0].row(parent)
+    return runs, PipelineModel(stages=[*preparer.stages, ranked[0].model]), ranked[0].row(parent) | facts

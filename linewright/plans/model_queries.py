@@ -87,8 +87,8 @@ def _(spark, folder):
 def _(spark, folder):
     rows = _rows(spark, folder)
     model = models.fit(_stages(rows), models.boosted("label"), _train(rows), "label")
-    scored = models.score(model, rows.filter("split = 'test'"))
-    return evaluate.ranking_metrics(scored, "label", "probability_defective")
+    scored = models.score(model, rows.filter("split = 'test'")).select("label", "probability_defective")
+    return evaluate.ranking_metrics(scored, "label", "probability_defective")  # one pass over the model's scores
 
 
 @query("weighted_metrics")

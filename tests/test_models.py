@@ -157,3 +157,30 @@ def test_two_promotions_in_a_row(spark, data, prepared, tmp_path):
     assert store.events().count() == before
     with pytest.raises(ValueError):
         store.crown(42)
+
+
+def test_a_fit_reads_its_rows_once(spark, data, prepared):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    watched = data.withColumn("b", counted("b"))
+    model = models.fit(prepared, models.logistic("y"), watched, "y")
+    assert 0 < seen.value <= data.count()
+    plain = models.fit(prepared, models.logistic("y"), data, "y")
+    assert model.stages[-1].coefficients.toArray().tolist() == pytest.approx(plain.stages[-1].coefficients.toArray().tolist())
+
+
+def test_run_rows_are_complete(spark, data, prepared):
+    train, validation = data.filter("id < 200"), data.filter("id >= 200")
+    grid = {"reg": [0.01, 1.0], "max_iter": [1, 100]}
+    runs, _, best = models.grid_search(prepared, train, validation, "y", grid=grid)
+    for r in runs.collect():
+        assert r.gap_auc_roc == pytest.approx(r.train_auc_roc - r.val_auc_roc)
+        assert (r.train_rows, r.val_rows) == (200, data.count() - 200) and r.train_digest != r.val_digest
+        assert r.iterations <= int(r.max_iter) and r.converged == (r.iterations < int(r.max_iter)) and r.final_loss > 0
+        assert "Imputer" in r.preparation
+    assert best["train_digest"] == runs.first().train_digest
