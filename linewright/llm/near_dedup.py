@@ -44,9 +44,9 @@ WIDTH, DEPTH, SEGMENT, FAN_IN = 1 << 18, 2, 1 << 12, 64
 #: so many seeds. Rows with a similarity of 0.8 share one with a chance of 0.99, rows of 0.55 with one of 0.07.
 SMALL = 16
 SPLIT_ROWS, SPLIT_KEYS, SPLIT_SEEDS = 12, 96, 144
-#: Least number of equal draws, of BANDS * ROWS and of SPLIT_SEEDS: 3 to 4 deviations below that of a weighted similarity of 0.73,
-#: which is that of a plain 0.8 in a large group of copies.
-LEAST_EQUAL, LEAST_EQUAL_SPLIT = 24, 92
+#: Least number of equal draws, of BANDS * ROWS and of SPLIT_SEEDS. A weighted similarity of 0.73, which is that of a plain 0.8 in a
+#: large group of copies, has fewer with a chance of 0.003; one of 0.8 with a chance of 0.0001.
+LEAST_EQUAL, LEAST_EQUAL_SPLIT = 28, 92
 #: Bytes of text that are worked on at a time.
 GROUP_BYTES = 1 << 20
 
@@ -333,7 +333,7 @@ def verify(pairs: DataFrame, numbered: DataFrame, weights: Weights, threshold: f
 
 
 def _verify(pairs: DataFrame, numbered: DataFrame, weights: Weights, threshold: float) -> DataFrame:
-    involved = materialize(pairs.select(F.explode(F.array("uid", "leader")).alias("uid")).distinct(), "involved")
+    involved = materialize(pairs.select("uid").union(pairs.select("leader")).distinct(), "involved")
     texts = numbered.select("uid", "text").join(small(involved), "uid", "left_semi")
     vectors = materialize(vectors_of(texts, weights), "vectors")
     other = vectors.select(F.col("uid").alias("leader"), F.col("vector").alias("leader_vector"))
