@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..ml import models, stages
 from ..operators import dataset, evaluate
+from ..session import materialize
 from .registry import labelled_lines, query
 
 _COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "is_first_line"]
@@ -103,3 +104,40 @@ def _(spark, folder):
     rows = _rows(spark, folder)
     runs, _, _ = models.grid_search(_stages(rows), _train(rows), rows.filter("split = 'validation'"), "label")
     return runs.drop("run_id", "parent_run_id")
+
+
+@query(
+    "model_checks",
+    """SELECT unnest(['gradient', 'intercept', 'scores', 'loss', 'importances', 'boosted_ranks']) AS check_name, true AS passed""",
+)
+def _(spark, folder):
+    """What has to hold for fitted models, whatever the way of the fit: the penalised loss is flat at the coefficients, scores are
+    the logistic function of coefficients times features, the loss never rises, importances share out one, and boosted trees rank
+    test rows better than chance."""
+    rows = _rows(spark, folder)
+    train = materialize(_train(rows).filter("label IS NOT NULL"), "train")
+    reg = 0.01
+    model = models.fit(_stages(rows), models.logistic("label", reg=reg), train, "label")
+    last = model.stages[-1]
+    weighted = dataset.with_class_weights(train, "label", models.WEIGHT)
+    found = model.transform(weighted).select(
+        vector_to_array(stages.FEATURES).alias("x"), vector_to_array("probability")[1].alias("p"), F.col("label").cast("double").alias("y"), models.WEIGHT
+    )
+    slopes = [float(b) for b in last.coefficients.toArray()]
+    margin = sum((F.col("x")[i] * b for i, b in enumerate(slopes)), F.lit(float(last.intercept)))
+    weight, miss = F.sum(models.WEIGHT), F.col(models.WEIGHT) * (F.col("p") - F.col("y"))
+    steep = [F.abs(F.sum(miss * F.col("x")[i]) / weight + reg * b) for i, b in enumerate(slopes)]
+    apart = F.max(F.abs(F.col("p") - 1 / (1 + F.exp(-margin))))
+    history = last.summary.objectiveHistory
+    forest = models.fit(_stages(rows), models.forest("label"), train, "label").stages[-1].featureImportances.toArray()
+    boosted = models.fit(_stages(rows), models.boosted("label"), train, "label")
+    ranks = evaluate.ranking_metrics(models.score(boosted, train).select("label", "probability_defective"), "label", "probability_defective").first()
+    conditions = {
+        "gradient": F.greatest(*steep, F.lit(0.0)) < 1e-3,
+        "intercept": F.abs(F.sum(miss) / weight) < 1e-3,
+        "scores": apart < 1e-9,
+        "loss": F.lit(all(a >= b - 1e-12 for a, b in zip(history, history[1:]))),
+        "importances": F.lit(bool((forest >= 0).all() and abs(forest.sum() - 1) < 1e-9)),
+        "boosted_ranks": F.lit(ranks["auc_roc"] > 0.5),
+    }
+    return dataset.checks(found, conditions)

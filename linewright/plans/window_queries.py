@@ -132,20 +132,21 @@ def _(spark, folder):
 
 @query(
     "interval_join",
-    """SELECT c.event_id AS click_id, c.user_id, c.ts AS click_ts, p.event_id AS purchase_id, p.ts AS purchase_ts
-    FROM (SELECT * FROM events WHERE event_type = 'click') c
-    LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
-      ON c.user_id = p.user_id AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL '24 hours'""",
+    """SELECT a.l_orderkey, a.l_linenumber AS line, a.l_shipdate AS shipped, b.l_linenumber AS later_line, b.l_shipdate AS later_shipped
+    FROM (SELECT * FROM lineitem WHERE l_returnflag <> 'N') a
+    LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'N') b
+      ON a.l_orderkey = b.l_orderkey AND b.l_shipdate >= a.l_shipdate AND b.l_shipdate <= a.l_shipdate + INTERVAL '30 days'""",
 )
 def _(spark, folder):
-    events = table(spark, folder, "events")
+    """On the order, a selective key: its few lines make few pairs."""
+    lines = table(spark, folder, "lineitem")
 
-    def side(kind):
-        named = [F.col("event_id").alias(f"{kind}_id"), "user_id", F.col("ts").alias(f"{kind}_ts")]
-        return events.filter(F.col("event_type") == kind).select(*named)
+    def side(there, line, time):
+        return lines.filter(there).select("l_orderkey", F.col("l_linenumber").alias(line), F.col("l_shipdate").alias(time))
 
+    known = F.col("l_returnflag") != "N"
     return interval_left_join(
-        side("click"), side("purchase"), "user_id", "click_ts", "purchase_ts", "24 hours", slices=2
+        side(known, "line", "shipped"), side(~known, "later_line", "later_shipped"), "l_orderkey", "shipped", "later_shipped", "30 days", slices=2
     )
 
 
