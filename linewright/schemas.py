@@ -35,6 +35,7 @@ SENSORS = [
     "cycle_time_s",
 ]
 
+# Column names and types of the records.
 INSPECTION_KEYS = ["unit_id", "timestamp", "machine_id", "line_id", "shift", "supplier_id", "material_batch_id"]
 LABEL_COLUMNS = ["unit_id", "is_defective", "label_available_date"]
 
