@@ -48,7 +48,7 @@ SPLIT_ROWS, SPLIT_KEYS, SPLIT_SEEDS = 12, 96, 144
 #: large group of copies, has fewer with a chance of 0.003; one of 0.8 with a chance of 0.0001.
 LEAST_EQUAL, LEAST_EQUAL_SPLIT = 28, 92
 #: Bytes of text that are worked on at a time.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 19
 
 _rng = np.random.default_rng(20)
 #: Random numbers of the hash functions.
