@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -18,57 +19,128 @@ from .tokens import encoder
 PER_WORKER = 1 << 33
 
 
-def cuts(tokens: int, capacity: int) -> Iterator[tuple[int, int]]:
-    """(length, class) of a document's pieces: class k holds lengths of exactly capacity / k, k a power of two."""
-    for _ in range(tokens // capacity):
-        yield capacity, 1
-    k = 2
-    while k <= capacity:
-        if tokens % capacity & capacity // k:
-            yield capacity // k, k
-        k *= 2
+#: Classes up to this one hold lengths over capacity / (class + 1); the last one all shorter ones.
+LAST_CLASS = 64
+
+
+class Piece(NamedTuple):
+    """Tokens of a document: where they start in it, how many, their ids, the document's tokens, and how often it was cut here."""
+
+    doc: object
+    start: int
+    length: int
+    ids: bytes
+    tokens: int
+    cuts: int = 0
+
+    def cut(self, at: int) -> tuple[Piece, Piece]:
+        more = self.cuts + 1
+        head = self._replace(length=at, ids=self.ids[: 4 * at], cuts=more)
+        return head, self._replace(start=self.start + at, length=self.length - at, ids=self.ids[4 * at :], cuts=more)
+
+
+class Bin:
+    def __init__(self, k: int, capacity: int):
+        self.k, self.gap, self.pieces = k, capacity, []
+
+    def add(self, piece: Piece) -> None:
+        self.pieces.append(piece)
+        self.gap -= piece.length
 
 
 class Bins:
-    """The open bins of one worker: a bin of class k is full with its k-th piece."""
+    """The bins of one worker: that of class k has its number of pieces with the k-th, and waits for one more that fills its gap.
+
+    Each document fills at most one gap by being cut, which is as many as it can leave.
+    """
 
     def __init__(self, capacity: int, first: int):
         self.capacity, self.next, self.open = capacity, first, {}
-
-    def put(self, k: int, piece: tuple) -> Iterator[tuple]:
-        """Yields the bin's pieces when it is full."""
-        held = self.open.setdefault(k, [])
-        held.append(piece)
-        if len(held) == k:
-            yield from self._close(k, self.open.pop(k))
-
-    def _close(self, k: int, pieces: list[tuple]) -> Iterator[tuple]:
-        for at, piece in enumerate(pieces):
-            yield (*piece, self.next, at * (self.capacity // k), k)
+        self.waiting: list[Bin] = []
+
+    def put(self, piece: Piece) -> Iterator[tuple]:
+        """Take a whole sequence, or a document's rest; yields the rows of bins that are full."""
+        if piece.length == self.capacity:
+            yield from self._rows(1, [piece])
+            return
+        while self.waiting:
+            bin_ = self.waiting[-1]
+            if piece.length > bin_.gap and piece.cuts:
+                break
+            whole_ = piece.length <= bin_.gap
+            head, piece = (piece, None) if whole_ else piece.cut(bin_.gap)
+            bin_.add(head)
+            if not bin_.gap:
+                yield from self._rows(bin_.k, self.waiting.pop().pieces)
+            if whole_:
+                return
+        yield from self._class(piece)
+
+    def _class(self, piece: Piece) -> Iterator[tuple]:
+        k = min(self.capacity // piece.length, LAST_CLASS)
+        bin_ = self.open.get(k) or self.open.setdefault(k, Bin(k, self.capacity))
+        if piece.length > bin_.gap:  # of the last class, whose bins hold what fits
+            self.waiting.append(bin_)
+            bin_ = self.open[k] = Bin(k, self.capacity)
+        bin_.add(piece)
+        if not bin_.gap:
+            yield from self._rows(k, self.open.pop(k).pieces)
+        elif k < LAST_CLASS and len(bin_.pieces) == k:
+            self.waiting.append(self.open.pop(k))
+
+    def _rows(self, k: int, pieces: list[Piece]) -> Iterator[tuple]:
+        offset = 0
+        for p in pieces:
+            yield p.doc, p.start, p.length, p.ids, p.tokens, self.next, offset, k
+            offset += p.length
         self.next += 1
 
     def end(self) -> Iterator[tuple]:
-        """Bins that stayed open: their piece count in binary, so that each sequence's length is a power of two."""
-        for k, pieces in sorted(self.open.items()):
-            while pieces:
-                n = 1 << (len(pieces).bit_length() - 1)
-                yield from self._close(k, pieces[:n])
-                pieces = pieces[n:]
+        """What is in bins that are not full, one behind the other: whole sequences, then sequences whose lengths are powers of two.
+
+        A piece is cut here once at most; where that does not do, the last sequence is one that has to be padded.
+        """
+        left = [p for _, bin_ in sorted(self.open.items()) for p in bin_.pieces] + [p for bin_ in self.waiting for p in bin_.pieces]
+        most = {id(p): p.cuts + 1 for p in left}
+        total = sum(p.length for p in left)
+        rest = total % self.capacity
+        sizes = [self.capacity] * (total // self.capacity) + [1 << k for k in reversed(range(rest.bit_length())) if rest >> k & 1]
+        held: list[Piece] = []
+        room, left = sizes.pop(0) if sizes else 0, left[::-1]
+        allowed = [most[id(p)] for p in left]
+        while left:
+            piece, may = left.pop(), allowed.pop()
+            if piece.length > room:
+                if piece.cuts >= may:  # only behind the whole sequences
+                    yield from self._rows(LAST_CLASS, [*held, piece, *left[::-1]])
+                    return
+                head, tail = piece.cut(room)
+                left.append(tail)
+                allowed.append(may)
+                piece = head
+            held.append(piece)
+            room -= piece.length
+            if not room:
+                yield from self._rows(LAST_CLASS, held)
+                held, room = [], sizes.pop(0) if sizes else 0
 
 
 def pack(
     docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Cut all documents' token ids into pieces and pack the pieces into sequences of `capacity` (a power of two).
+    """Pack all documents' token ids into sequences of `capacity` (a power of two).
 
-    A document is its ids and `end_id`; it gives whole sequences, and its rest one piece for each binary digit, so each
-    piece's length is capacity / k exactly. That is the harmonic class k, whose bins hold k pieces. Each worker
-    (partition) fills its own bins, without a shuffle; it holds fewer than k pieces for each of log2(capacity) + 1
-    classes. At its end it closes the open bins as sequences whose lengths are powers of two, so nothing is padded.
+    A document is its ids and `end_id`; it gives whole sequences and a rest. A rest of more than capacity / (k + 1) and at most
+    capacity / k tokens is of the harmonic class k, whose bins take k rests each, whole; the last class takes all short ones. A
+    bin with its number of rests has a gap, which the next document fills: whole if it fits, else by being cut once, and what is left
+    of it is of the class of its length. Each worker (partition) fills its own bins, without a shuffle; it holds fewer than k
+    rests of each class k. At its end it joins what is left to whole sequences and ones whose lengths are powers of two. So a
+    document shorter than a sequence is in three pieces at most, and at most one sequence of a worker has to be padded.
 
     Returns a row for each piece: id, start, length, ids (binary, little-endian 32 bits), doc_tokens, sequence_id
     (worker number * 2**33 + count), offset, bin_class (k). Null and empty texts are the end id alone, a null id stays
-    null, repeated rows are packed as often as they occur, an empty table gives no rows, other columns are not read.
+    null, repeated rows are packed as often as they occur, very long texts give one whole sequence after the other, an empty table
+    gives no rows, other columns are not read.
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity has to be a power of two")
@@ -102,10 +174,10 @@ def pack(
             texts = (x.as_py() for x in batch.column(1))
             for doc, ids in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
                 ids += end
-                tokens, start = len(ids) // 4, 0
-                for length, k in cuts(tokens, capacity):
-                    rows.extend(bins.put(k, (doc, start, length, ids[4 * start : 4 * (start + length)], tokens)))
-                    start += length
+                tokens = len(ids) // 4
+                for start in range(0, tokens, capacity):
+                    length = min(capacity, tokens - start)
+                    rows.extend(bins.put(Piece(doc, start, length, ids[4 * start : 4 * (start + length)], tokens)))
                 size += len(ids)
                 if size >= 1 << 22 and rows:
                     yield out(rows)

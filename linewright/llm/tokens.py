@@ -25,6 +25,8 @@ _SPACE = re.compile(f" (?={_WORD_START})")
 MARKS = string.punctuation
 #: Letters below this character are letters in every version of the tables that libraries carry.
 _SETTLED = "\u0530"
+#: Letters below this one are composed, and each has its lower case by itself, but for the one that becomes two characters.
+_LATIN, _DOTTED = "\u0250", "\u0130"
 
 #: Characters of text that are cut and encoded at a time.
 GROUP_CHARS = 1 << 20
@@ -80,10 +82,11 @@ class LetterWords:
 
     A piece of this form is composed of its words' ids: a line break and the marks are words of their own. Each word goes to
     the library's model once; `room` words are remembered, then the older half is forgotten. Other pieces give None.
+    With `lower` the vocabulary is one of lower-case words without spaces; only Latin words are composed then.
     """
 
-    def __init__(self, tokenizer, as_bytes: list[bytes], room: int, longest: int = 48):
-        self.model, self.as_bytes, self.room, self.longest = tokenizer.model, as_bytes, room // 2, longest
+    def __init__(self, tokenizer, as_bytes: list[bytes], room: int, longest: int = 48, lower: bool = False):
+        self.model, self.as_bytes, self.room, self.longest, self.lower = tokenizer.model, as_bytes, room // 2, longest, lower
         self.letters = dict(enumerate(byte_letters()))
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -93,6 +96,8 @@ class LetterWords:
         if ids is None:
             if word.isascii() and word[0] == " ":
                 shown = self.letters[32] + word[1:]
+            elif self.lower and word.isascii():
+                shown = word
             else:
                 shown = word.encode().decode("latin-1").translate(self.letters)
             ids = b"".join([self.as_bytes[x.id] for x in self.model.tokenize(shown)])
@@ -103,6 +108,8 @@ class LetterWords:
         return ids
 
     def of(self, lead: str, piece: str) -> bytes | None:
+        if self.lower:
+            return self._lower(piece)
         out = b""
         for line in piece.split("\n") if "\n" in piece else (piece,):
             word = line.rstrip(MARKS)
@@ -119,6 +126,16 @@ class LetterWords:
         return out
 
 
+    def _lower(self, piece: str) -> bytes | None:
+        word = piece.rstrip(MARKS)
+        if not word.isalpha() or not (word.isascii() or (max(word) < _LATIN and _DOTTED not in word)):
+            return None
+        marks = piece[len(word) :]
+        word = word.lower()
+        ids = self.known.get(word) or self._word(word)
+        return ids + (self.known.get(marks) or self._word(marks)) if marks else ids
+
+
 class PieceEncoder:
     """Encodes texts as little-endian unsigned 32-bit ids; `room` pieces are remembered."""
 
@@ -134,7 +151,7 @@ class PieceEncoder:
         added = [x["content"] for x in json.loads(self.tokenizer.to_str()).get("added_tokens") or []]
         # no added token is a part of such pieces if marks stand before letters or digits in each of them
         plain = all(any(a in MARKS and b.isalnum() for a, b in pairwise(x)) for x in added)
-        self.words = LetterWords(self.tokenizer, self.as_bytes, room) if self.lead and plain else None
+        self.words = LetterWords(self.tokenizer, self.as_bytes, room, lower=not self.lead) if plain and (self.lead or self._lower_words()) else None
         self.inner = Pieces(self._ids, self.lead or "", room, words=self.words)
         self.first = Pieces(self._ids, "", room // 20, words=self.words) if self.lead else self.inner
 
@@ -152,6 +169,17 @@ class PieceEncoder:
                 return ""
         return None
 
+    def _lower_words(self) -> bool:
+        """Whether words are put into lower case and split into runs of letters, digits and other characters."""
+        if self.lead is None:
+            return False
+        layout = json.loads(self.tokenizer.to_str())
+        kinds = [x["type"] for x in (layout.get("normalizer") or {}).get("normalizers", [])]
+        steps = (layout.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        pattern = steps[0]["pattern"].get("Regex", "") if steps else ""
+        runs = pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        return kinds == ["NFC", "Replace", "Lowercase"] and runs and [x["type"] for x in steps[1:]] == ["ByteLevel"]
+
     def _ids(self, pieces: list[str]) -> list[bytes]:
         found, table = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), self.as_bytes.__getitem__
         return [b"".join(map(table, x.ids)) for x in found]

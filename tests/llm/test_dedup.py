@@ -210,3 +210,36 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(101, 100), (102, 100)], "uid long, leader long")
     found = dict(near_dedup.components(links).collect())
     assert found == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
+
+
+def test_near_recall_on_the_table(spark):
+    """Links of all pairs of the documents table, by brute force over its shingles: at least nine in ten join one class, and
+    no class joins documents that links do not."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()]
+    shingles = [plain_shingles(t) for _, t in rows]
+    holders = defaultdict(list)
+    for i, s in enumerate(shingles):
+        for g in s:
+            holders[g].append(i)
+    pairs = {(a, b) for members in holders.values() if len(members) <= 60 for n, a in enumerate(members) for b in members[n + 1 :]}
+    links = [(i, j) for i, j in pairs if plain_similarity(shingles[i], shingles[j]) >= 0.8]
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert len(links) > 20
+    kept = sum(found[rows[i][0]] == found[rows[j][0]] for i, j in links)
+    assert kept >= 0.9 * len(links)
+
+
+def test_unlike_members_of_one_bucket_make_few_pairs(docs_of, monkeypatch):
+    """A passage that a thousand documents share fills buckets with members that are not alike: none of them is compared whole."""
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(5000)]
+    passage = [rng.choice(words) for _ in range(60)]
+    rows = [(i, " ".join([rng.choice(words) for _ in range(60)] + passage + [rng.choice(words) for _ in range(20)])) for i in range(1000)]
+    seen = []
+    verify = near_dedup.verify
+    monkeypatch.setattr(near_dedup, "verify", lambda pairs, *rest: seen.append(pairs.count()) or verify(pairs, *rest))
+    found = near_dedup.near_duplicates(docs_of(rows, parts=4)).collect()
+    assert {r["class_size"] for r in found} == {1}
+    assert len(seen) == 2 and sum(seen) < 2 * len(rows)

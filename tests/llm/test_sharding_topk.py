@@ -68,18 +68,18 @@ def test_shards_of_an_empty_table(docs_of):
 
 
 def brute_topk(rows, k, is_query):
-    best = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        q = [math.floor(64 * x) for x in v]
-        best[i] = min(best.get(i, q), q)
-    out = set()
-    for i, q in best.items():
+    """Rows that share an id are different rows."""
+    usable = [
+        (n, i, [math.floor(64 * x) for x in v])
+        for n, (i, v) in enumerate(rows)
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    out = []
+    for n, i, q in usable:
         if is_query(i):
-            scores = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in best.items() if j != i and len(v) == len(q))
-            out |= {(i, rank, j, -s) for rank, (s, j) in enumerate(scores[:k], 1)}
-    return out
+            scores = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for m, j, v in usable if m != n and len(v) == len(q))
+            out += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores[:k], 1)]
+    return sorted(out)
 
 
 @pytest.mark.parametrize("block_rows,scale", [(7, 0.3), (64, 0.3), (10_000, 0.3), (50, 1e6)])
@@ -91,7 +91,9 @@ def test_topk_is_exact(spark, block_rows, scale):
     rows += [(2005, [1.0, 2.0]), (2025, [2.0, -1.0]), (None, rows[3][1]), (rows[3][0], rows[3][1]), (rows[4][0], rows[5][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     got = topk.top_k(df, F.col("vec_id") % 5 == 0, k=9, block_rows=block_rows)
-    assert {tuple(r) for r in got.collect()} == brute_topk(rows, 9, lambda i: i % 5 == 0)
+    assert sorted(map(tuple, got.collect())) == brute_topk(rows, 9, lambda i: i % 5 == 0)
+    clash = {name: F.lit(1) for name in ("block", "id", "impacts", "row", "rows", "queries", "batch")}
+    assert sorted(topk.top_k(df.withColumns(clash), F.col("vec_id") % 5 == 0, k=9, block_rows=block_rows).collect()) == sorted(got.collect())
 
 
 def test_topk_stops_before_the_last_segment():
@@ -101,11 +103,11 @@ def test_topk_stops_before_the_last_segment():
     block[:25] += 200
     queries = np.full((1, 16), 50)
     segments = topk._segments(block)
-    found = list(topk.search_block(np.arange(200), segments, np.array([999]), queries, 20))
+    found = list(topk.search_block(np.arange(200), np.arange(200), segments, np.array([999]), queries, 20))
     order = sorted(range(200), key=lambda i: (-int(queries[0] @ block[i]), i))[:20]
-    assert [x[1] for x in found] == order
+    assert [x[2] for x in found] == order
     broken = segments[:1] + [s | {"level": 0} for s in segments[1:]]
-    assert [x[1] for x in topk.search_block(np.arange(200), broken, np.array([999]), queries, 20)] == order
+    assert [x[2] for x in topk.search_block(np.arange(200), np.arange(200), broken, np.array([999]), queries, 20)] == order
 
 
 def test_topk_of_an_empty_table(spark):
