@@ -277,7 +277,8 @@ def encode(docs: DataFrame, tokenizer: str, ids: str = "ids", text_col: str = "t
     """All columns and `ids`, the token ids of the whole text (binary, little-endian 32 bits).
 
     Null and empty texts have no ids. A column that is named like `ids` already is an error; other columns are
-    kept as they are.
+    kept as they are. Words above 1024 bytes go in by blocks, so very long words take memory in proportion; a text and its
+    ids are held whole. Repeated rows have the same ids, an empty table gives no rows.
     """
     if free_name(docs.columns, ids) != ids:
         raise ValueError(f"there is a column {ids} already")
@@ -291,7 +292,10 @@ def encode(docs: DataFrame, tokenizer: str, ids: str = "ids", text_col: str = "t
 
 
 def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """All columns and `text`, decoded from `ids`; null ids give an empty text."""
+    """All columns and `text`, decoded from `ids`; null ids give an empty text.
+
+    Ids are decoded in blocks, whatever their number; repeated rows have the same text, an empty table gives no rows.
+    """
     if free_name(docs.columns, text) != text:
         raise ValueError(f"there is a column {text} already")
 
@@ -304,7 +308,11 @@ def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decod
 
 
 def round_trip(docs: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded", text_col: str = "text") -> DataFrame:
-    """All columns, `ids` and `text` as `encode` and then `decode` give them, by one Python worker for each task."""
+    """All columns, `ids` and `text` as `encode` and then `decode` give them, by one Python worker for each task.
+
+    Null, empty and very long texts, repeated rows and empty tables are as there. A column that is named like one of these
+    already is an error.
+    """
     if free_name([*docs.columns, text], ids) != ids or free_name(docs.columns, text) != text:
         raise ValueError(f"there is a column {ids} or {text} already")
     held = free_name(docs.columns, "both")

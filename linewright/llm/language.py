@@ -179,7 +179,9 @@ def fit(docs: DataFrame, learn, per_language: int = PER_LANGUAGE, id_col: str =
 def predict(docs: DataFrame, model: Model, column: str = "lang_pred", score: str = "score", text_col: str = "text") -> DataFrame:
     """All rows and columns, the predicted language of the whole text and a score from 0 to 1.
 
-    Texts that are null or have no letter are `und` with score 0, and so is everything if nothing could be learned.
+    Texts that are null or have no letter are `und` with score 0, and so is everything if nothing could be learned. Very long
+    texts are read whole. Of equal margins or votes the later name in the alphabet is taken, so repeated rows get the same language
+    and score; an empty table gives no rows. A column that is named like `column` or `score` already is an error.
     """
     if free_name([*docs.columns, score], column) != column or free_name(docs.columns, score) != score:
         raise ValueError(f"there is a column {column} or {score} already")

@@ -197,7 +197,11 @@ def fit(
 
 
 def score(docs: DataFrame, model: Model, column: str = "score", text_col: str = "text") -> DataFrame:
-    """All rows and columns, and `column`: the score of the whole text from 0 to 1; null counts as empty."""
+    """All rows and columns, and `column`: the score of the whole text from 0 to 1; null counts as empty.
+
+    Very long texts are read whole, repeated rows get the same score, an empty table gives no rows. A column that is named like
+    `column` already is an error.
+    """
     if free_name(docs.columns, column) != column:
         raise ValueError(f"there is a column {column} already")
 
