@@ -44,9 +44,9 @@ WIDTH, DEPTH, SEGMENT, FAN_IN = 1 << 18, 2, 1 << 12, 64
 #: so many seeds. Rows with a similarity of 0.8 share one with a chance of 0.99, rows of 0.55 with one of 0.07.
 SMALL = 16
 SPLIT_ROWS, SPLIT_KEYS, SPLIT_SEEDS = 12, 96, 144
-#: Least number of equal draws, of BANDS * ROWS and of SPLIT_SEEDS. A weighted similarity of 0.73, which is that of a plain 0.8 in a
+#: Least number of equal draws, of BANDS * ROWS and of these and SPLIT_SEEDS together. A weighted similarity of 0.73, which is that of a plain 0.8 in a
 #: large group of copies, has fewer with a chance of 0.003; one of 0.8 with a chance of 0.0001.
-LEAST_EQUAL, LEAST_EQUAL_SPLIT = 28, 92
+LEAST_EQUAL, LEAST_EQUAL_SPLIT = 28, 126
 #: Bytes of text that are worked on at a time.
 GROUP_BYTES = 1 << 19
 
@@ -277,12 +277,12 @@ def sign(numbered: DataFrame, weights: Weights) -> DataFrame:
 
 
 def split_keys(numbered: DataFrame, weights: Weights) -> DataFrame:
-    """(uid, keys, sketch): SPLIT_KEYS longer keys from draws of their own."""
+    """(uid, keys, sketch): SPLIT_KEYS longer keys from draws of their own, and bits of all draws."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, shingles in groups(batch.column(1)):
-                drawn = draws(shingles, shingles.count * weights.of(shingles.hash), _SPLIT_SEED)
+                drawn = draws(shingles, shingles.count * weights.of(shingles.hash), np.concatenate([_SPLIT_SEED, _SEED]))
                 keys = np.zeros((high - low, SPLIT_KEYS), "u8")
                 for chosen in _SPLIT:
                     keys = mixed(keys ^ drawn[:, chosen] + np.arange(SPLIT_KEYS, dtype="u8"))
@@ -436,7 +436,7 @@ def _classes(numbered: DataFrame, threshold: float) -> tuple[DataFrame, DataFram
     split = split_keys(numbered.join(small(many.select("uid")), "uid", "left_semi"), weights).join(many, "uid")
     split = materialize(split.select("uid", "root", "sketch", F.posexplode("keys").alias("band", "key")), "split-members")
     split = split.join(_open(split, ["band", "key"]), ["band", "key"])
-    pairs = few.unionByName(_across(split, ["band", "key"], SPLIT_SEEDS, LEAST_EQUAL_SPLIT)).distinct()
+    pairs = few.unionByName(_across(split, ["band", "key"], SPLIT_SEEDS + BANDS * ROWS, LEAST_EQUAL_SPLIT)).distinct()
     more = verify(pairs, numbered, weights, threshold)
     links = links.unionByName(more)
     return (components(links) if not more.isEmpty() else found), links
