@@ -26,8 +26,11 @@ def small(side: DataFrame) -> DataFrame:
 
 
 def _named(distinct: DataFrame, *keys: str) -> DataFrame:
-    """Sort distinct keys over the cluster and number them: equal keys, and only they, share a name. Written, so names hold."""
-    ordered = distinct.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    """Sort distinct keys over the cluster and number them: equal keys, and only they, share a name. Written, so names hold.
+
+    Ranges are those of the first key, a number, so no text is sampled; keys that share it are in one range.
+    """
+    ordered = distinct.repartitionByRange(keys[0]).sortWithinPartitions(*keys)
     return materialize(ordered.withColumn("name", F.monotonically_increasing_id()), "names")
 
 
