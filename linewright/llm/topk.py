@@ -58,20 +58,22 @@ SEGMENT = "struct<level int, dims binary, rows binary, impacts binary, rest bina
 
 
 def build_index(vectors: DataFrame, blocks: int) -> DataFrame:
-    """One row per block of (id, impacts): ids and posting segments by descending impact. All rows are indexed."""
+    """One row per block of (row, id, impacts): row numbers, ids and posting segments by descending impact. All rows are indexed."""
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("id")
+        part = part.sort_values(["id", "row"])
         block = np.array(part["impacts"].tolist(), "i8").reshape(len(part), -1)
-        row = {"width": block.shape[1], "block": part["block"].iloc[0], "ids": part["id"].to_numpy("<i8").tobytes(), "segments": _segments(block)}
-        return pd.DataFrame([row])
+        numbers = {name: part[column].to_numpy("<i8").tobytes() for name, column in (("rows", "row"), ("ids", "id"))}
+        return pd.DataFrame([{"width": block.shape[1], "block": part["block"].iloc[0], **numbers, "segments": _segments(block)}])
 
-    placed = vectors.select("id", "impacts", F.size("impacts").alias("width"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
-    return placed.groupBy("width", "block").applyInPandas(build, f"width int, block int, ids binary, segments array<{SEGMENT}>")
+    placed = vectors.select("row", "id", "impacts", F.size("impacts").alias("width"), F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"))
+    return placed.groupBy("width", "block").applyInPandas(build, f"width int, block int, rows binary, ids binary, segments array<{SEGMENT}>")
 
 
-def search_block(ids: np.ndarray, segments: list[dict], query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple]:
-    """(query, id, score) of each query's best k of a block, ties to smaller ids.
+def search_block(
+    numbers: np.ndarray, ids: np.ndarray, segments: list[dict], query_rows: np.ndarray, queries: np.ndarray, k: int
+) -> Iterator[tuple]:
+    """(query's row, row, id, score) of each query's best k of a block, ties to smaller ids. A query's own row takes no part.
 
     Adds up segments by descending impact. What is left of a vector is at most |query| * |rest of the vector| (and a
     little for rounding), so a vector is possible while its sum plus that reaches the k-th best sum less that. Stops when
@@ -87,7 +89,7 @@ def search_block(ids: np.ndarray, segments: list[dict], query_ids: np.ndarray, q
         levels.append((dims, rows, values, np.frombuffer(segment["rest"], "<f8")))
     # sums below 2**53 are whole numbers in doubles too
     exact = bool(whole.size) and float(np.abs(whole).max()) * float(np.abs(queries).max() if queries.size else 0) * width < 2.0**53
-    own = query_ids[:, None] == ids[None, :]
+    own = query_rows[:, None] == numbers[None, :]
     norm = np.sqrt((queries.astype("f8") ** 2).sum(1))
     sums = np.zeros((len(queries), count))
     possible = ~own
@@ -103,12 +105,12 @@ def search_block(ids: np.ndarray, segments: list[dict], query_ids: np.ndarray, q
         possible = (sums + slack >= kth[:, None]) & ~own
         if possible.sum() <= FEW * k * len(queries):
             break
-    for row, number in enumerate(query_ids):
+    for row, number in enumerate(query_rows):
         members = np.flatnonzero(possible[row])
         scores = (queries[row][None, :] @ whole[:, members])[0]
-        best = np.lexsort((ids[members], -scores))[:k]
+        best = np.lexsort((numbers[members], ids[members], -scores))[:k]
         for m in best:
-            yield int(number), int(ids[members[m]]), int(scores[m])
+            yield int(number), int(numbers[members[m]]), int(ids[members[m]]), int(scores[m])
 
 
 def top_k(
@@ -126,21 +128,22 @@ def top_k(
     `block_rows`, each with its own impact-ordered index; batches of queries go to every block, a block answers with k rows
     for each query, and the answers are merged. Nothing is left out: a block stops only when no other row can be a member.
 
-    Null vectors, those with a null, NaN or infinite component, and rows with a null id take no part; of rows with the same id the
-    smallest vector counts. Only vectors of the query's length are candidates. Fewer than k candidates give fewer
-    rows; an empty table gives none. Other columns are not read. Sums must fit 64 bits.
+    Null vectors, those with a null, NaN or infinite component, and rows with a null id take no part. Rows that share an id are
+    different rows, as candidates and as queries. Only vectors of the query's length are candidates. Fewer than k candidates give fewer
+    rows; an empty table gives none. Other columns are not read. Sums must fit 64 bits. A block of very wide vectors takes
+    `block_rows` times their width; give fewer rows then.
     """
     if block_rows < 1 or k < 1:
         raise ValueError("block_rows and k must be positive")
     usable_rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
     usable_rows = usable_rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
-    whole = usable_rows.select("id", impacts(F.col("vector"), scale).alias("impacts")).groupBy("id").agg(F.min("impacts").alias("impacts"))
+    whole = usable_rows.select(F.monotonically_increasing_id().alias("row"), "id", impacts(F.col("vector"), scale).alias("impacts"))
     whole = materialize(whole, "impacts")
     blocks = max(1, math.ceil(whole.count() / block_rows))
     asked = whole.withColumnRenamed("id", id_col).filter(is_query).withColumnRenamed(id_col, "id")
     batches = max(1, math.ceil(asked.count() / BATCH_QUERIES))
     index = materialize(build_index(whole, blocks), "impact-index")
-    dealt = asked.select(F.size("impacts").alias("width"), F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch"), F.struct("id", "impacts").alias("q"))
+    dealt = asked.select(F.size("impacts").alias("width"), F.pmod(F.xxhash64("row"), F.lit(batches)).cast("int").alias("batch"), F.struct("row", "impacts").alias("q"))
     groups = dealt.groupBy("width", "batch").agg(F.collect_list("q").alias("queries"))  # about BATCH_QUERIES each
     everywhere = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     work = index.join(everywhere, ["width", "block"])
@@ -148,28 +151,29 @@ def top_k(
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
-                numbers = np.array([q["id"] for q in row.queries], "i8")
-                queries = np.array([q["impacts"] for q in row.queries], "i8").reshape(len(numbers), -1)
-                found = search_block(np.frombuffer(row.ids, "<i8"), list(row.segments), numbers, queries, k)
-                yield pd.DataFrame(list(found), columns=["query_id", "id", "score"]).astype("int64")
+                asking = np.array([q["row"] for q in row.queries], "i8")
+                queries = np.array([q["impacts"] for q in row.queries], "i8").reshape(len(asking), -1)
+                found = search_block(np.frombuffer(row.rows, "<i8"), np.frombuffer(row.ids, "<i8"), list(row.segments), asking, queries, k)
+                yield pd.DataFrame(list(found), columns=["query_row", "row", "id", "score"]).astype("int64")
 
-    found = work.select("ids", "segments", "queries").mapInPandas(search, "query_id long, id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    found = work.select("rows", "ids", "segments", "queries").mapInPandas(search, "query_row long, row long, id long, score long")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "id", "row")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
+    names = asked.select(F.col("row").alias("query_row"), F.col("id").alias("query_id"))
+    return ranked.join(names, "query_row").select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
 @query(
     "op9_impact_topk",
     """
     WITH v AS (
-        SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
+        SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
         FROM embeddings
         WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     s AS (
-        SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
-        FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
-    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        SELECT a.n AS q, a.vec_id AS query_id, b.n, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.n <> b.n)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id, n) AS INTEGER) AS rank, vec_id, score
     FROM s QUALIFY rank <= 20
     """,
 )
