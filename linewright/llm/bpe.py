@@ -268,6 +268,11 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def holds() -> bool:
+    """Whether this worker has tables."""
+    return codec.cache_info().currsize > 0
+
+
 def forget() -> None:
     """Free this worker's tables."""
     codec.cache_clear()

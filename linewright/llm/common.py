@@ -104,6 +104,8 @@ def give_back() -> None:
 
 def make_room(own: str = "") -> None:
     """At a task's start: tables that tasks of modules other than `own` have left in this Python worker go."""
-    for name in ("tokens", "bpe", "toxicity"):
-        if name != own and (module := sys.modules.get(f"{__package__}.{name}")):
-            module.forget()
+    left = [m for name in ("tokens", "bpe") if name != own and (m := sys.modules.get(f"{__package__}.{name}")) and m.holds()]
+    for module in left:
+        module.forget()
+    if left:
+        give_back()

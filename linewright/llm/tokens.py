@@ -2,7 +2,7 @@
 
 A text is cut at spaces where the tokenizer starts a new word anyway, so the ids of the pieces, joined, are the ids
 of the text. Pieces recur, so a bounded table of them answers most; the library encodes the others, in byte-level
-vocabularies word by word, as different pieces hold the same words.
+vocabularies word by word, as different pieces hold the same words: a word and the pieces it is in share one table.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from .bpe import byte_letters
 #: A space before one of these characters always begins a word. White space and format characters are left out.
 _WORD_START = "[!-~¡-¬®-ᙿ、-퟿豈-﷿]"
 _SPACE = re.compile(f" (?={_WORD_START})")
+_STARTS = re.compile(_WORD_START).match
 
 #: Marks of ASCII: a run of them behind a word of letters is a word of its own.
 MARKS = string.punctuation
@@ -28,118 +29,115 @@ _SETTLED = "\u0530"
 #: Letters below this one are composed, and each has its lower case by itself, but for the one that becomes two characters.
 _LATIN, _DOTTED = "\u0250", "\u0130"
 
-#: Characters of text that are cut and encoded at a time.
+#: Characters of a text that are cut and encoded at a time, and of texts after which long pieces are forgotten.
 GROUP_CHARS = 1 << 20
 
 
-class Pieces:
-    """Ids of pieces that stand behind `lead`, encoded when first asked for.
+class NoWordStart(Exception):
+    """A cut piece does not begin as a word does, so the space before it is no border."""
 
-    It holds `room` pieces; then the older half is forgotten. Pieces longer than `longest` are not kept. `words`, if given,
-    composes what it can, and the library encodes the other pieces.
+
+class Pieces(dict):
+    """Ids of pieces that stand behind `lead`, worked out when first asked for.
+
+    It holds `room` pieces, and as many older ones. Pieces longer than `longest` are kept until `forget_long`. `words`, if given,
+    composes what it can, of pieces in this table and, behind a line break, in `lines`; the library encodes the others.
     """
 
-    def __init__(self, encode, lead: str, room: int, longest: int = 48, words: LetterWords | None = None):
-        self.encode, self.lead, self.room, self.longest, self.words = encode, lead, room // 2, longest, words
-        self.known: dict[str, bytes] = {}
+    def __init__(self, library, lead: str, room: int, longest: int = 48, words: LetterWords | None = None, lines: Pieces | None = None):
+        super().__init__()
+        self.library, self.lead, self.room, self.longest, self.words, self.lines = library, lead, room, longest, words, lines
         self.older: dict[str, bytes] = {}
-        self.long: list[str] = []
-
-    def learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """A table with all these pieces."""
-        new = pieces.difference(self.known)
-        if len(self.known) + len(new) > self.room and self.known:
-            self.older, self.known = self.known, {}
-            new = pieces
-        known, older = self.known, self.older
-        missing, tails = [], {}
-        for piece in new:
-            if (ids := older.get(piece)) is not None or (self.words and (ids := self.words.of(self.lead, piece)) is not None):
-                known[piece] = ids
-            elif not self.words and len(piece) > 1 and piece[-1] in ",." and piece[-2].isalpha():
-                tails[piece] = piece[:-1]  # no word goes over the border of a letter and a mark
-            else:
-                missing.append(piece)
-        if tails:
-            self.known.update((p, older[p]) for p in tails.values() if p not in known and p in older)
-            missing.extend(set(tails.values()).difference(known, missing))
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            known.update(zip(part, self.encode([self.lead + p for p in part]), strict=True))
-        if tails:
-            marks = dict(zip(",.", self.encode([",", "."]), strict=True))
-            known.update((p, known[word] + marks[p[-1]]) for p, word in tails.items())
-        self.long = [p for p in new if len(p) > self.longest]
-        return known
+        self.long: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(piece) > self.longest:
+            ids = self.long.get(piece)
+            if ids is None:
+                ids = self.long[piece] = self._new(piece)
+            return ids
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self._new(piece)
+        if len(self) >= self.room:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+    def _new(self, piece: str) -> bytes:
+        if self.lead and not _STARTS(piece):
+            raise NoWordStart
+        if self.words is not None:
+            if (ids := self.words.of(self, piece)) is not None:
+                return ids
+        elif len(piece) > 1 and piece[-1] in ",." and piece[-2].isalpha():  # no word goes over the border of a letter and a mark
+            return self[piece[:-1]] + self.library(piece[-1])
+        return self.library(self.lead + piece)
 
     def forget_long(self) -> None:
-        for piece in self.long:
-            del self.known[piece]
+        self.long.clear()
 
 
 class LetterWords:
     """Ids of byte-level pieces that are words of letters, each with marks behind it or not, on one or more lines.
 
-    A piece of this form is composed of its words' ids: a line break and the marks are words of their own. Each word goes to
-    the library's model once; `room` words are remembered, then the older half is forgotten. Other pieces give None.
-    With `lower` the vocabulary is one of lower-case words without spaces; only Latin words are composed then.
+    A piece of this form is composed of its words' ids: a line break and the marks are words of their own. A single word goes to
+    the library's model. Other pieces give None. With `lower` the vocabulary is one of lower-case words without spaces; only
+    Latin words are composed then.
     """
 
-    def __init__(self, tokenizer, as_bytes: list[bytes], room: int, longest: int = 48, lower: bool = False):
-        self.model, self.as_bytes, self.room, self.longest, self.lower = tokenizer.model, as_bytes, room // 2, longest, lower
+    def __init__(self, tokenizer, as_bytes: list[bytes], lower: bool = False):
+        self.model, self.as_bytes, self.lower = tokenizer.model, as_bytes, lower
         self.letters = dict(enumerate(byte_letters()))
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        ids = self.older.get(word)
+        if word.isascii() and word[0] == " ":
+            shown = self.letters[32] + word[1:]
+        elif self.lower and word.isascii():
+            shown = word
+        else:
+            shown = word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.as_bytes[x.id] for x in self.model.tokenize(shown)])
+
+    def _marks(self, marks: str) -> bytes:
+        ids = self.marks.get(marks)
         if ids is None:
-            if word.isascii() and word[0] == " ":
-                shown = self.letters[32] + word[1:]
-            elif self.lower and word.isascii():
-                shown = word
-            else:
-                shown = word.encode().decode("latin-1").translate(self.letters)
-            ids = b"".join([self.as_bytes[x.id] for x in self.model.tokenize(shown)])
-        if len(word) <= self.longest:
-            if len(self.known) >= self.room:
-                self.older, self.known = self.known, {}
-            self.known[word] = ids
+            if len(self.marks) >= 4096:
+                self.marks.clear()
+            ids = self.marks[marks] = self._word(marks)
         return ids
 
-    def of(self, lead: str, piece: str) -> bytes | None:
+    def of(self, table: Pieces, piece: str) -> bytes | None:
         if self.lower:
-            return self._lower(piece)
+            return self._lower(table, piece)
         out = b""
         for line in piece.split("\n") if "\n" in piece else (piece,):
             word = line.rstrip(MARKS)
             if not word.isalpha() or not (word.isascii() or max(word) < _SETTLED):
                 return None
             if out:
-                out += self.known.get("\n") or self._word("\n")
-                lead = ""
-            marks = line[len(word) :]
-            word = lead + word
-            out += self.known.get(word) or self._word(word)
-            if marks:
-                out += self.known.get(marks) or self._word(marks)
+                out += self._marks("\n")
+                table = table if table.lines is None else table.lines
+            out += self._word(table.lead + word) if word == piece else table[word]
+            if len(word) < len(line):
+                out += self._marks(line[len(word) :])
         return out
 
-
-    def _lower(self, piece: str) -> bytes | None:
+    def _lower(self, table: Pieces, piece: str) -> bytes | None:
         word = piece.rstrip(MARKS)
         if not word.isalpha() or not (word.isascii() or (max(word) < _LATIN and _DOTTED not in word)):
             return None
-        marks = piece[len(word) :]
-        word = word.lower()
-        ids = self.known.get(word) or self._word(word)
-        return ids + (self.known.get(marks) or self._word(marks)) if marks else ids
+        low = word.lower()
+        ids = self._word(low) if low == piece else table[low]
+        return ids + self._marks(piece[len(word) :]) if len(word) < len(piece) else ids
 
 
 class PieceEncoder:
-    """Encodes texts as little-endian unsigned 32-bit ids; `room` pieces are remembered."""
+    """Encodes texts as little-endian unsigned 32-bit ids; `room` pieces behind spaces are remembered."""
 
-    def __init__(self, path: str, room: int = 400_000):
+    def __init__(self, path: str, room: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
@@ -151,9 +149,10 @@ class PieceEncoder:
         added = [x["content"] for x in json.loads(self.tokenizer.to_str()).get("added_tokens") or []]
         # no added token is a part of such pieces if marks stand before letters or digits in each of them
         plain = all(any(a in MARKS and b.isalnum() for a, b in pairwise(x)) for x in added)
-        self.words = LetterWords(self.tokenizer, self.as_bytes, room, lower=not self.lead) if plain and (self.lead or self._lower_words()) else None
-        self.inner = Pieces(self._ids, self.lead or "", room, words=self.words)
-        self.first = Pieces(self._ids, "", room // 20, words=self.words) if self.lead else self.inner
+        self.words = LetterWords(self.tokenizer, self.as_bytes, lower=not self.lead) if plain and (self.lead or self._lower_words()) else None
+        library = functools.partial(_by_library, self.tokenizer, self.as_bytes)  # nothing here refers to itself, so `forget` frees all at once
+        self.first = Pieces(library, "", max(1, room // 8), words=self.words) if self.lead else None
+        self.inner = Pieces(library, self.lead or "", max(1, room // 2), words=self.words, lines=self.first)
 
     @staticmethod
     def _lead(layout: dict) -> str | None:
@@ -180,15 +179,6 @@ class PieceEncoder:
         runs = pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         return kinds == ["NFC", "Replace", "Lowercase"] and runs and [x["type"] for x in steps[1:]] == ["ByteLevel"]
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        found, table = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), self.as_bytes.__getitem__
-        return [b"".join(map(table, x.ids)) for x in found]
-
-    def pieces(self, text: str) -> list[str]:
-        if self.lead is None:
-            return [text]
-        return _SPACE.split(text) if self.lead else text.replace("\n", " ").split(" ")
-
     def slices(self, text: str) -> Iterator[tuple[str, bool]]:
         """A long text in parts that can be encoded one by one, and whether a part stands behind a cut space."""
         start, behind = 0, False
@@ -200,34 +190,41 @@ class PieceEncoder:
             start, behind = cut.end(), True
         yield text[start:], behind
 
-    def _encode_group(self, texts: list[str], behind: bool = False) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        firsts = [[] if behind else [pieces.pop(0)] for pieces in cut] if self.lead else [[]] * len(cut)
-        lead = self.first.learn(set().union(*firsts)).__getitem__ if self.lead else None
-        table = self.inner.learn(set().union(*cut)).__getitem__
-        out = [b"".join([*map(lead, a), *map(table, b)]) if a else b"".join(map(table, b)) for a, b in zip(firsts, cut, strict=True)]
-        self.inner.forget_long()
-        if self.lead:
-            self.first.forget_long()
-        return out
+    def _joined(self, pieces: list[str], behind: bool) -> bytes:
+        if self.lead and not behind:
+            return self.first[pieces.pop(0)] + b"".join(map(self.inner.__getitem__, pieces))
+        return b"".join(map(self.inner.__getitem__, pieces))
+
+    def _ids(self, text: str, behind: bool = False) -> bytes:
+        if self.lead is None:
+            return self._joined([text], behind)
+        if not self.lead:
+            return self._joined(text.replace("\n", " ").split(" "), behind)
+        if "  " not in text:
+            try:  # nearly always all spaces are borders
+                return self._joined(text.split(" "), behind)
+            except NoWordStart:
+                pass
+        return self._joined(_SPACE.split(text), behind)
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text, in order; memory follows GROUP_CHARS and the longest text."""
-        group: list[str] = []
         chars = 0
         for text in texts:
             if len(text) > GROUP_CHARS:
-                yield from self._encode_group(group) if group else ()
-                group, chars = [], 0
-                yield b"".join(self._encode_group([part], behind)[0] for part, behind in self.slices(text))
-                continue
-            group.append(text)
+                yield b"".join(self._ids(part, behind) for part, behind in self.slices(text))
+            else:
+                yield self._ids(text)
             chars += len(text)
             if chars >= GROUP_CHARS:
-                yield from self._encode_group(group)
-                group, chars = [], 0
-        if group:
-            yield from self._encode_group(group)
+                for table in (self.inner,) if self.first is None else (self.inner, self.first):
+                    table.forget_long()
+                chars = 0
+
+
+def _by_library(tokenizer, as_bytes: list[bytes], text: str) -> bytes:
+    (found,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+    return b"".join(map(as_bytes.__getitem__, found.ids))
 
 
 @functools.cache
@@ -236,6 +233,11 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+def holds() -> bool:
+    """Whether this worker has tables."""
+    return encoder.cache_info().currsize > 0
+
+
 def forget() -> None:
     """Free this worker's tables."""
     encoder.cache_clear()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from linewright.session import materialize
 
-from .common import bucket_of, free_name, make_room, query, table, whole
+from .common import bucket_of, free_name, give_back, make_room, query, table, whole
 from .exact_dedup import small
 
 # Identity terms that may stand for each other.
@@ -47,17 +47,15 @@ THRESHOLD = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 
 
-@functools.lru_cache(maxsize=1 << 17)
+#: Words whose features in the model a scoring task remembers.
+ROOM = 1 << 16
+
+
 def features_of(word: str) -> tuple[str, ...]:
     """The word, and its beginnings of four to six letters."""
     return (word, *(f"{word[:n]}*" for n in (4, 5, 6) if len(word) >= n))
 
 
-def forget() -> None:
-    """Free this worker's table of words."""
-    features_of.cache_clear()
-
-
 def features(words: set[str]) -> set[str]:
     return set().union(*map(features_of, words)) if words else set()
 
@@ -92,7 +90,7 @@ def _count_features(sample: DataFrame) -> DataFrame:
     """(feature, toxic, other): texts of each class that have it."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make_room("toxicity")
+        make_room()
         counts = {0: Counter(), 1: Counter()}
         for frame in frames:
             for text, label in zip(frame["text"], frame["label"], strict=True):
@@ -101,6 +99,8 @@ def _count_features(sample: DataFrame) -> DataFrame:
         for at in range(0, len(names), 50_000):
             part = names[at : at + 50_000]
             yield pd.DataFrame({"feature": part, "toxic": [counts[1][f] for f in part], "other": [counts[0][f] for f in part]})
+        del counts, names
+        give_back()
 
     parts = sample.mapInPandas(count, "feature string, toxic long, other long")
     return parts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
@@ -139,12 +139,16 @@ class Model:
     def __init__(self, weights: dict[str, float], bias: float | None):
         self.weights, self.bias = weights, bias
 
-    def score(self, text: str) -> float:
+    def active(self, word: str) -> tuple[str, ...]:
+        """The word's features that have a weight."""
+        return tuple(f for f in features_of(word) if f in self.weights)
+
+    def score(self, text: str, active=None) -> float:
+        """`active`, if given, is `self.active` behind a table of words."""
         if self.bias is None:
             return 0.0
-        weights = self.weights
-        active = {f for word in words_of(text) for f in features_of(word) if f in weights}
-        total = self.bias + math.fsum(sorted(weights[f] for f in active))
+        found = set().union(*map(active or self.active, words_of(text)))
+        total = self.bias + math.fsum(sorted(map(self.weights.__getitem__, found)))
         return 1 / (1 + math.exp(-min(40.0, max(-40.0, total))))
 
 
@@ -207,9 +211,12 @@ def score(docs: DataFrame, model: Model, column: str = "score", text_col: str =
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        make_room("toxicity")
+        make_room()
+        active = functools.lru_cache(maxsize=ROOM)(model.active)  # goes with the task
         for texts in batches:
-            yield pd.Series([model.score(t) for t in texts], dtype="float64")
+            yield pd.Series([model.score(t, active) for t in texts], dtype="float64")
+        del active
+        give_back()
 
     return docs.withColumn(column, run(whole(text_col)))
 

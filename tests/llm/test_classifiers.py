@@ -152,3 +152,17 @@ def test_toxicity_query_on_the_table(spark):
     found = Counter((marks[r["doc_id"]], r["predicted"]) for r in rows)
     assert found[1, 1] >= 0.85 * (found[1, 1] + found[1, 0])
     assert found[0, 1] <= 0.02 * (found[0, 0] + found[0, 1])
+
+
+def test_scores_behind_a_table_of_words_are_the_same():
+    """A scoring task remembers words in a table of its own, and none is left in the worker."""
+    import functools
+
+    from linewright.llm import toxicity
+
+    model = toxicity.Model({"stupid": 2.0, "stup*": 1.5, "nice*": -1.0}, -0.5)
+    active = functools.lru_cache(maxsize=2)(model.active)
+    for text in ["You stupid, stupider one", "", "nicely said, nice", "nothing of it"]:
+        assert model.score(text, active) == model.score(text)
+    assert abs(model.score("stupid") - 1 / (1 + 2.718281828459045**-3.0)) < 1e-12
+    assert not hasattr(toxicity.features_of, "cache_info")

@@ -289,3 +289,30 @@ def test_pieces_composed_of_words_get_the_ids_of_whole_texts(room):
     assert encoder.words is not None
     got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
     assert got == library(BYTE, texts)
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_forgotten_tables_are_free_at_once(path):
+    """No table refers to itself, so nothing waits for the garbage collector."""
+    import gc
+    import weakref
+
+    from linewright.llm import tokens
+
+    gc.disable()
+    try:
+        held = weakref.ref(tokens.encoder(path))
+        list(held().encode(["some words, and\nmore words ", " 12  ab"]))
+        assert tokens.holds()
+        tokens.forget()
+        assert held() is None and not tokens.holds()
+    finally:
+        gc.enable()
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_a_word_and_its_pieces_share_a_table(path):
+    encoder = PieceEncoder(path)
+    texts = ["a word, word. Words\nword word\n\nword", "x  word \n word́ 日本 word", " word", "word ", "Ⱥb İx Ɓa,"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == library(path, texts)
+    assert "word" in encoder.inner and encoder.words is not None and not hasattr(encoder.words, "known")
