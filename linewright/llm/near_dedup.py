@@ -9,7 +9,9 @@ Candidates are kept linear in the rows. Each bucket of a key has one leader, the
 middle of a group; all members are compared with it, and what is like it is one class. Then only members of different classes are
 left to compare: all of them in buckets of SMALL members or fewer. A larger bucket is split by further draws: its members get
 SPLIT_KEYS longer keys of SPLIT_ROWS draws out of SPLIT_SEEDS, and meet where they share one. Before whole sets are compared, the
-share of equal draws, four bits of each, has to leave the similarity possible.
+share of equal draws, four bits of each, has to leave the similarity possible, and in split buckets the shingles that no other
+row has must leave it possible too: a row that differs from all others in too many gets no keys, and of two rows either has to have
+enough of what is left. This bound loses no link.
 
 idf falls with the share of documents that hold a shingle, from 1 at a share of COMMON or less to FLOOR where all
 hold it: lines that stand everywhere count less, and a group of copies does not lose its weight. The share is counted over all
@@ -19,6 +21,7 @@ documents at most on average, whatever the number of documents, so the sketch ne
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Iterator
 from functools import reduce
@@ -145,6 +148,14 @@ class Shingles:
         self.count = np.diff(np.append(at, len(hashes)))
         self.begin = np.searchsorted(self.doc, np.arange(docs))  # every document has a shingle
 
+    def only(self, keep: np.ndarray) -> Shingles:
+        """Those of the documents for which `keep` is true."""
+        out, inside = copy.copy(self), keep[self.doc]
+        out.doc, out.hash, out.count = (np.cumsum(keep) - 1)[self.doc[inside]], self.hash[inside], self.count[inside]
+        out.begin = np.searchsorted(out.doc, np.arange(keep.sum()))
+        out.prints = [p[keep] for p in self.prints]
+        return out
+
 
 def groups(texts: pa.Array) -> Iterator[tuple[int, int, Shingles]]:
     """(first row, end row, shingles) of groups of rows of about GROUP_BYTES. The texts hold no null."""
@@ -276,21 +287,56 @@ def sign(numbered: DataFrame, weights: Weights) -> DataFrame:
     return numbered.select("uid", "id", "text").mapInArrow(run, f"uid long, id {kind}, p long, q long, bands array<long>, sketch array<long>")
 
 
-def split_keys(numbered: DataFrame, weights: Weights) -> DataFrame:
-    """(uid, keys, sketch): SPLIT_KEYS longer keys from draws of their own, and bits of all draws."""
+def own_shingles(texts: DataFrame, weights: Weights) -> DataFrame:
+    """(uid, own, own_weight): count and weight of each row's shingles that no other of these rows (uid, text) has. Written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, _, shingles in groups(batch.column(1)):
+                columns = [batch.column(0).take(pa.array(shingles.doc + low)), pa.array(shingles.hash.view("i8")), pa.array(shingles.count)]
+                columns.append(pa.array(shingles.count * weights.of(shingles.hash)))
+                yield pa.record_batch(columns, names=["uid", "shingle", "n", "weight"])
+        give_back()
+
+    each = texts.select("uid", "text").mapInArrow(run, "uid long, shingle long, n long, weight double")
+    alone = each.groupBy("shingle").agg(F.count("*").alias("rows"), *(F.min(c).alias(c) for c in ("uid", "n", "weight"))).filter("rows = 1")
+    return materialize(alone.groupBy("uid").agg(F.sum("n").alias("own"), F.sum("weight").alias("own_weight")), "own-shingles")
+
+
+def reaches(shared, total, threshold: float):
+    """Whether a Jaccard similarity can reach the threshold, if at most `shared` is in common and both sides add up to `total`; for
+    numbers, arrays and columns. Sums of floats may differ in their last bits."""
+    return shared * (1 + threshold) >= total * (threshold - 1e-9)
+
+
+def split_keys(texts: DataFrame, weights: Weights, threshold: float) -> DataFrame:
+    """(uid, keys, sketch, total, shared, weight, shared_weight): SPLIT_KEYS longer keys from draws of their own, and bits of all draws; the
+    row's total, and what other rows may have of it, by counts and by weights. From (uid, text, own, own_weight); rows of which others
+    have too little for any link are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, shingles in groups(batch.column(1)):
-                drawn = draws(shingles, shingles.count * weights.of(shingles.hash), np.concatenate([_SPLIT_SEED, _SEED]))
-                keys = np.zeros((high - low, SPLIT_KEYS), "u8")
+                heavy = shingles.count * weights.of(shingles.hash)
+                total, weight = (np.add.reduceat(x, shingles.begin) for x in (shingles.count, heavy))
+                own, own_weight = (batch.column(k).slice(low, high - low).to_numpy(zero_copy_only=False) for k in (2, 3))
+                shared, shared_weight = total - own, weight - own_weight
+                keep = reaches(shared, total + shared, threshold) | reaches(shared_weight, weight + shared_weight, threshold)
+                if not keep.any():
+                    continue
+                inside = keep[shingles.doc]
+                some, heavy = shingles.only(keep), heavy[inside]
+                drawn = draws(some, heavy, np.concatenate([_SPLIT_SEED, _SEED]))
+                keys = np.zeros((len(drawn), SPLIT_KEYS), "u8")
                 for chosen in _SPLIT:
                     keys = mixed(keys ^ drawn[:, chosen] + np.arange(SPLIT_KEYS, dtype="u8"))
-                columns = [batch.column(0).slice(low, high - low), _lists(keys), _lists(sketched(drawn))]
-                yield pa.record_batch(columns, names=["uid", "keys", "sketch"])
+                columns = [batch.column(0).slice(low, high - low).filter(pa.array(keep)), _lists(keys), _lists(sketched(drawn))]
+                columns += [pa.array(x[keep]) for x in (total, shared, weight, shared_weight)]
+                yield pa.record_batch(columns, names=["uid", "keys", "sketch", "total", "shared", "weight", "shared_weight"])
         give_back()
 
-    return numbered.select("uid", "text").mapInArrow(run, "uid long, keys array<long>, sketch array<long>")
+    schema = "uid long, keys array<long>, sketch array<long>, total long, shared long, weight double, shared_weight double"
+    return texts.select("uid", "text", "own", "own_weight").mapInArrow(run, schema)
 
 
 def vectors_of(numbered: DataFrame, weights: Weights) -> DataFrame:
@@ -384,12 +430,21 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("uid"), F.least(a, b).alias("leader")]
 
 
-def _across(members: DataFrame, by: list[str], draws_: int, least: int) -> DataFrame:
-    """Pairs (uid, leader) of members of a bucket that are in different classes and whose draws leave them possible."""
-    other = members.select(*by, F.col("uid").alias("to"), F.col("root").alias("to_root"), F.col("sketch").alias("to_sketch"))
+#: What `split_keys` tells of a row: pairs of totals and what other rows may have of them.
+_BOUNDS = (("total", "shared"), ("weight", "shared_weight"))
+
+
+def _across(members: DataFrame, by: list[str], draws_: int, least: int, threshold: float | None = None) -> DataFrame:
+    """Pairs (uid, leader) of members of a bucket that are in different classes and whose draws leave them possible, and, with a
+    threshold, whose bounds do: two rows have in common what other rows may have of either at most."""
+    bounds = [c for pair in _BOUNDS for c in pair] if threshold is not None else []
+    other = members.select(*by, *(F.col(c).alias(f"to_{c}") for c in ("uid", "root", "sketch", *bounds)))
     apart = reduce(lambda x, y: x & y, [members[c] == other[c] for c in by]) & (members["root"] < other["to_root"])
-    met = members.join(other, apart & alike("sketch", "to_sketch", draws_, least))
-    return met.select(*_pair("uid", "to")).distinct()
+    possible = alike("sketch", "to_sketch", draws_, least)
+    if bounds:
+        reached = [reaches(F.least(s, f"to_{s}"), F.col(n) + F.col(f"to_{n}"), threshold) for n, s in _BOUNDS]
+        possible = (reached[0] | reached[1]) & possible
+    return members.join(other, apart & possible).select(*_pair("uid", "to_uid")).distinct()
 
 
 def _open(members: DataFrame, by: list[str]) -> DataFrame:
@@ -433,10 +488,12 @@ def _classes(numbered: DataFrame, threshold: float) -> tuple[DataFrame, DataFram
     rest = materialize(placed.join(_open(placed, ["band", "key"]), ["band", "key"]), "open")
     few = _across(rest.filter(F.col("n") <= SMALL), ["band", "key"], BANDS * ROWS, LEAST_EQUAL)
     many = materialize(rest.filter(F.col("n") > SMALL).select("uid", "root").distinct(), "split")
-    split = split_keys(numbered.join(small(many.select("uid")), "uid", "left_semi"), weights).join(many, "uid")
-    split = materialize(split.select("uid", "root", "sketch", F.posexplode("keys").alias("band", "key")), "split-members")
+    held = numbered.select("uid", "text").join(small(many.select("uid")), "uid", "left_semi")
+    held = held.join(small(own_shingles(held, weights)), "uid", "left").fillna(0, ["own", "own_weight"])
+    split = split_keys(held, weights, threshold).join(many, "uid").select("*", F.posexplode("keys").alias("band", "key")).drop("keys")
+    split = materialize(split, "split-members")
     split = split.join(_open(split, ["band", "key"]), ["band", "key"])
-    pairs = few.unionByName(_across(split, ["band", "key"], SPLIT_SEEDS + BANDS * ROWS, LEAST_EQUAL_SPLIT)).distinct()
+    pairs = few.unionByName(_across(split, ["band", "key"], SPLIT_SEEDS + BANDS * ROWS, LEAST_EQUAL_SPLIT, threshold)).distinct()
     more = verify(pairs, numbered, weights, threshold)
     links = links.unionByName(more)
     return (components(links) if not more.isEmpty() else found), links

@@ -243,3 +243,26 @@ def test_unlike_members_of_one_bucket_make_few_pairs(docs_of, monkeypatch):
     found = near_dedup.near_duplicates(docs_of(rows, parts=4)).collect()
     assert {r["class_size"] for r in found} == {1}
     assert len(seen) == 2 and sum(seen) < 2 * len(rows)
+
+
+def test_rows_with_too_much_of_their_own_are_no_candidates(spark, docs_of):
+    """Rows that share most draws, but of which others have too little for a link, get no keys or make no pair; a real link stays."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    shared = [f"w{k}" for k in range(200)]
+    rows = [(i, " ".join(shared + [f"own{i}x{k}" for k in range(40)])) for i in range(20)]  # similarity 0.71, bound of each alone 0.83
+    far = [(100 + i, " ".join(shared + [f"far{i}x{k}" for k in range(60)])) for i in range(20)]  # bound of each alone 0.77
+    near = [(200 + i, " ".join([*shared, f"near{i}"])) for i in range(2)]
+    weights = near_dedup.Weights(np.zeros((near_dedup.DEPTH, near_dedup.WIDTH), "i8"), 100)
+    texts = docs_of([*rows, *far, *near]).withColumnRenamed("doc_id", "uid")
+    own = near_dedup.own_shingles(texts, weights)
+    assert {r["uid"]: r["own"] for r in own.collect()} == {i: 40 for i in range(20)} | {100 + i: 60 for i in range(20)} | {200: 1, 201: 1}
+    split = near_dedup.split_keys(texts.join(own, "uid"), weights, 0.8).withColumn("root", F.col("uid"))
+    split = near_dedup.materialize(split.select("*", F.posexplode("keys").alias("band", "key")).drop("keys"), "split")
+    assert {r["uid"] for r in split.select("uid").distinct().collect()} == {*range(20), 200, 201}
+    draws = near_dedup.SPLIT_SEEDS + near_dedup.BANDS * near_dedup.ROWS
+    by_draws = near_dedup._across(split, ["band", "key"], draws, near_dedup.LEAST_EQUAL_SPLIT).collect()
+    bound = near_dedup._across(split, ["band", "key"], draws, near_dedup.LEAST_EQUAL_SPLIT, 0.8).collect()
+    assert sum(r["uid"] < 20 for r in by_draws) > 50 and not any(r["uid"] < 20 for r in bound)
+    assert (201, 200) in {(r["uid"], r["leader"]) for r in bound}
