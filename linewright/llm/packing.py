@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, query, table, whole
-from .tokens import encoder
+from .common import give_back, make_room, query, table, whole
+from .tokens import ROOM, encoder
 
 #: Sequence numbers of one worker: its partition number times this, and on.
 PER_WORKER = 1 << 33
@@ -126,7 +126,13 @@ class Bins:
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = 4096,
+    end_id: int = 2,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    room: int = ROOM,
 ) -> DataFrame:
     """Pack all documents' token ids into sequences of `capacity` (a power of two).
 
@@ -137,6 +143,8 @@ def pack(
     rests of each class k. At its end it joins what is left to whole sequences and ones whose lengths are powers of two. So a
     document shorter than a sequence is in three pieces at most, and at most one sequence of a worker has to be padded.
 
+    A worker remembers the ids of `room` pieces of texts; fewer take less memory and more time, and give the same rows.
+
     Returns a row for each piece: id, start, length, ids (binary, little-endian 32 bits), doc_tokens, sequence_id
     (worker number * 2**33 + count), offset, bin_class (k). Null and empty texts are the end id alone, a null id stays
     null, repeated rows are packed as often as they occur, very long texts give one whole sequence after the other, an empty table
@@ -160,9 +168,10 @@ def pack(
     )
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room(own="tokens")
         context = TaskContext.get()
         bins = Bins(capacity, (context.partitionId() if context else 0) * PER_WORKER)
-        encode, rows, size, kind = encoder(tokenizer).encode, [], 0, None
+        encode, rows, size, kind = encoder(tokenizer, room).encode, [], 0, None
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True))

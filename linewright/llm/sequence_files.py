@@ -19,6 +19,9 @@ from linewright.session import materialize, scratch_path
 from .common import query, table, whole
 from .tokens import encoder
 
+#: Pieces that a worker remembers: new words are what encoding costs, and nothing else of size is in a worker of this job.
+ROOM = 1_200_000
+
 #: Codes that `SequenceFile.sequence` gives.
 PADDING, TOKEN, LAST_OF_DOCUMENT = 0, 1, 2
 
@@ -79,6 +82,7 @@ def write_sequences(
     end_id: int = 0,
     id_col: str = "doc_id",
     text_col: str = "text",
+    room: int = ROOM,
 ) -> DataFrame:
     """Write the token ids of all documents, each with `end_id` after it, in ascending order of id; returns the parts.
 
@@ -89,6 +93,8 @@ def write_sequences(
     document), and `<part>.documents.arrow` with (id, start in the part, tokens). Only the last sequence of a part is padded. A task that runs again
     writes under a new name, and only files named in the returned table count, so lost executors do no harm.
 
+    A worker remembers the ids of `room` pieces of texts; fewer take less memory and more time, and give the same files.
+
     Returns part, sequences_file, documents_file, tokens, documents, start (tokens of all parts before). Null and empty
     texts are the end id alone; an empty table gives no parts; other columns are not read.
     """
@@ -101,7 +107,8 @@ def write_sequences(
         part = TaskContext.get().partitionId()
         file = f"part-{part:07d}-{uuid.uuid4().hex}"
         about = {"length": str(length), "per_batch": str(per_batch)}
-        small = encoder(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
+        encode = encoder(tokenizer, room).encode
+        small = encoder(tokenizer, room).tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
         kind = np.dtype("<u2" if small else "<u4")
         kinds = {"ids": pa.from_numpy_dtype(kind), "mask": pa.bool_(), "ends": pa.bool_()}
         values = pa.schema([(name, pa.list_(k, length)) for name, k in kinds.items()], metadata=about)
@@ -134,7 +141,7 @@ def write_sequences(
                     index = pa.schema([("id", batch.schema.field(0).type), ("start", pa.int64()), ("tokens", pa.int64())])
                     sequences, documents = ipc.new_file(a, values), ipc.new_file(b, index)
                 starts, sizes = [], []
-                for ids in encoder(tokenizer).encode(x.as_py() for x in batch.column(1)):
+                for ids in encode(x.as_py() for x in batch.column(1)):
                     flat = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)).astype(kind)
                     starts.append(total)
                     sizes.append(len(flat))

@@ -7,6 +7,7 @@ vocabularies word by word, as different pieces hold the same words: a word and t
 
 from __future__ import annotations
 
+import codecs
 import functools
 import json
 import os
@@ -31,6 +32,8 @@ _LATIN, _DOTTED = "\u0250", "\u0130"
 
 #: Characters of a text that are cut and encoded at a time, and of texts after which long pieces are forgotten.
 GROUP_CHARS = 1 << 20
+#: Pieces that an encoder remembers, unless told; a hundred thousand take about 17 MB.
+ROOM = 600_000
 
 
 class NoWordStart(Exception):
@@ -89,7 +92,7 @@ class LetterWords:
 
     def __init__(self, tokenizer, as_bytes: list[bytes], lower: bool = False):
         self.model, self.as_bytes, self.lower = tokenizer.model, as_bytes, lower
-        self.letters = dict(enumerate(byte_letters()))
+        self.letters = "".join(byte_letters())  # by byte
         self.marks: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
@@ -98,7 +101,7 @@ class LetterWords:
         elif self.lower and word.isascii():
             shown = word
         else:
-            shown = word.encode().decode("latin-1").translate(self.letters)
+            shown, _ = codecs.charmap_decode(word.encode(), "strict", self.letters)
         return b"".join([self.as_bytes[x.id] for x in self.model.tokenize(shown)])
 
     def _marks(self, marks: str) -> bytes:
@@ -137,7 +140,7 @@ class LetterWords:
 class PieceEncoder:
     """Encodes texts as little-endian unsigned 32-bit ids; `room` pieces behind spaces are remembered."""
 
-    def __init__(self, path: str, room: int = 600_000):
+    def __init__(self, path: str, room: int = ROOM):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
@@ -145,11 +148,14 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size() + 1)]
-        self.lead = self._lead(json.loads(self.tokenizer.to_str()))
-        added = [x["content"] for x in json.loads(self.tokenizer.to_str()).get("added_tokens") or []]
+        # these parts alone: with its vocabulary and merges, the layout takes more memory than a full table
+        parts = {name: getattr(self.tokenizer, name) for name in ("normalizer", "pre_tokenizer")}
+        layout = {name: json.loads(part.__getstate__()) for name, part in parts.items() if part}
+        self.lead = self._lead(layout)
+        added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         # no added token is a part of such pieces if marks stand before letters or digits in each of them
         plain = all(any(a in MARKS and b.isalnum() for a, b in pairwise(x)) for x in added)
-        self.words = LetterWords(self.tokenizer, self.as_bytes, lower=not self.lead) if plain and (self.lead or self._lower_words()) else None
+        self.words = LetterWords(self.tokenizer, self.as_bytes, lower=not self.lead) if plain and (self.lead or self._lower_words(layout)) else None
         library = functools.partial(_by_library, self.tokenizer, self.as_bytes)  # nothing here refers to itself, so `forget` frees all at once
         self.first = Pieces(library, "", max(1, room // 8), words=self.words) if self.lead else None
         self.inner = Pieces(library, self.lead or "", max(1, room // 2), words=self.words, lines=self.first)
@@ -168,11 +174,10 @@ class PieceEncoder:
                 return ""
         return None
 
-    def _lower_words(self) -> bool:
+    def _lower_words(self, layout: dict) -> bool:
         """Whether words are put into lower case and split into runs of letters, digits and other characters."""
         if self.lead is None:
             return False
-        layout = json.loads(self.tokenizer.to_str())
         kinds = [x["type"] for x in (layout.get("normalizer") or {}).get("normalizers", [])]
         steps = (layout.get("pre_tokenizer") or {}).get("pretokenizers") or []
         pattern = steps[0]["pattern"].get("Regex", "") if steps else ""
@@ -228,9 +233,9 @@ def _by_library(tokenizer, as_bytes: list[bytes], text: str) -> bytes:
 
 
 @functools.cache
-def encoder(path: str) -> PieceEncoder:
-    """One for each Python worker and file."""
-    return PieceEncoder(path)
+def encoder(path: str, room: int = ROOM) -> PieceEncoder:
+    """One for each Python worker, file and room."""
+    return PieceEncoder(path, room)
 
 
 def holds() -> bool:

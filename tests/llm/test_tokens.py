@@ -316,3 +316,29 @@ def test_a_word_and_its_pieces_share_a_table(path):
     texts = ["a word, word. Words\nword word\n\nword", "x  word \n word́ 日本 word", " word", "word ", "Ⱥb İx Ɓa,"]
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == library(path, texts)
     assert "word" in encoder.inner and encoder.words is not None and not hasattr(encoder.words, "known")
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_an_encoder_keeps_the_room_it_is_given_and_reads_no_vocabulary_as_objects(path, monkeypatch):
+    from linewright.llm import tokens
+
+    read = []
+    monkeypatch.setattr(tokens.json, "loads", lambda text, plain=tokens.json.loads: read.append(len(text)) or plain(text))
+    try:
+        few = tokens.encoder(path, 16)
+        assert few.inner.room == 8 and tokens.encoder(path).inner.room == tokens.ROOM // 2
+    finally:
+        tokens.forget()
+    assert max(read) < 10_000  # normalizer and pre-tokenizer alone
+    texts = list(odd_texts(300, 3))
+    assert [np.frombuffer(x, "<u4").tolist() for x in few.encode(texts)] == library(path, texts)
+
+
+def test_less_room_gives_the_same_files_and_sequences(spark, docs_of, odd_rows):
+    docs = docs_of(odd_rows, parts=1)
+    files, packed = [], []
+    for more in ({}, {"room": 16}):
+        parts = sequence_files.write_sequences(docs, BYTE, scratch_path(spark, "room"), **more)
+        files.append(sorted(map(repr, sequence_files.read_documents(parts).collect())))
+        packed.append(sorted(map(repr, packing.pack(docs, WORD, **more).collect())))
+    assert files[0] == files[1] and packed[0] == packed[1] and len(files[0]) == len(odd_rows)
