@@ -11,13 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linewright.llm import exact_dedup, near_dedup, packing, secret_scan, toxicity
-from linewright.llm.common import reach, table
+from linewright.llm.common import reach, small_batches, table
 from linewright.session import materialize
 
+#: Pieces that a packing worker remembers: a third of what it does by itself, as executors still hold what the stages before took.
+ROOM = 200_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.7 or more for toxicity go (operator 8); the model learns from labelled rows of these documents."""
     reach(spark)
+    small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.learn_fold())
     return toxicity.drop_toxic(docs, model)
 
@@ -30,12 +34,14 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates, one stays (operator 6)."""
     reach(spark)
+    small_batches(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
 def replace_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; secrets in their texts are replaced, and n_chars follows (operator 1)."""
     reach(spark)
+    small_batches(spark)
     return secret_scan.redact(docs)
 
 
@@ -44,7 +50,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     reach(spark)
-    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    small_batches(spark)
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), room=ROOM)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bin_class")
 
 

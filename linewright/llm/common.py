@@ -20,6 +20,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+#: Rows of an Arrow batch of texts, and the setting that bounds it.
+BATCH_ROWS = 2000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: The folder that holds the package.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -47,6 +51,16 @@ def reach(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, ROOT) if x)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Spark and its Python workers exchange BATCH_ROWS rows at a time at most in this session (Spark's own limit is 10,000).
+
+    For jobs on whole texts: Spark and the worker hold each batch several times, and keep the buffers.
+    """
+    now = int(spark.conf.get(BATCH_SETTING))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

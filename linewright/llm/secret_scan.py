@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from linewright.session import materialize
 
-from .common import free_name, query, table, whole
+from .common import free_name, give_back, make_room, query, table, whole
 
 # Fixed: the base patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(
@@ -130,6 +130,7 @@ FOUND = (
 
 def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     named = lambda names, rows: [dict(zip(names, x, strict=True)) for x in rows]
+    make_room()
     for texts in batches:
         base = [base_spans(t) for t in texts]
         tested = [candidates(t, b) for t, b in zip(texts, base, strict=True)]
@@ -139,6 +140,7 @@ def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
                 "tested": [named(("start", "stop", "stratum", "p", "inside", "hash"), row) for row in tested],
             }
         )
+    give_back()
 
 
 def thresholds(counts: dict[str, dict[int, int]], rate: float) -> dict[str, float]:
